@@ -32,6 +32,9 @@ def write_songs_csv(df: DataFrame, path: str, stringify_nulls: bool = True) -> N
         .option("quoteAll", True)
         .option("escape", '"')
         .option("encoding", "UTF-8")
+        # Spark trims fields on write by default; the text must survive whole.
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
@@ -49,6 +52,8 @@ def read_songs_csv(
         .option("header", True)
         .option("escape", '"')
         .option("multiLine", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
