@@ -10,8 +10,9 @@ every document still sends one row per map task.
 from __future__ import annotations
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator
-from pyspark.ml.feature import CountVectorizerModel, Tokenizer
+from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Tokenizer
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.sql import Column, DataFrame, Window
@@ -120,3 +121,46 @@ class Vocabulary(Estimator, HasInputCol, HasOutputCol):
         return CountVectorizerModel.from_vocabulary(
             terms, inputCol=col, outputCol=self.getOutputCol()
         )
+
+
+class TfIdf(Estimator, HasInputCol, HasOutputCol):
+    """Term counts and IDF weights fitted in one pass (M3 + M4 fused).
+
+    MLlib fits CountVectorizer and IDF with two passes over the data; the
+    term statistics pass already holds each term's document count, and the
+    document count comes with it, so the IDF weights
+    ``ln((N + 1) / (df + 1))`` (MLlib's formula) are computed there. The
+    fitted model is a pipeline of two stock JVM stages: a
+    ``CountVectorizerModel`` and an ``ElementwiseProduct`` with the weights,
+    which multiplies each count by its term's weight exactly as
+    ``IDFModel`` does.
+    """
+
+    vocabSize = Param(Params._dummy(), "vocabSize", "max vocabulary size", TypeConverters.toInt)
+    minDF = Param(Params._dummy(), "minDF", "min documents (>=1) or share (<1)", TypeConverters.toFloat)
+    countsCol = Param(Params._dummy(), "countsCol", "column of the raw counts", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, inputCol="words", outputCol="features", countsCol="rawFeatures",
+                 vocabSize=VOCAB_SIZE, minDF=MIN_DF):
+        super().__init__()
+        self._setDefault(vocabSize=VOCAB_SIZE, minDF=MIN_DF, countsCol="rawFeatures")
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        col = self.getInputCol()
+        tokens = dataset.select(col)
+        stats = term_stats(tokens, col)
+        n_docs = tokens.select(F.count(F.lit(1))).scalar()
+        min_df = self.getOrDefault(self.minDF)
+        vocab = idf_weights(vocabulary(stats, self.getOrDefault(self.vocabSize), min_df, n_docs), n_docs)
+        rows = vocab.select("index", "term", "idf").orderBy("index").collect()
+        counts_col = self.getOrDefault(self.countsCol)
+        counts = CountVectorizerModel.from_vocabulary(
+            [r["term"] for r in rows], inputCol=col, outputCol=counts_col
+        )
+        weights = ElementwiseProduct(
+            scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol=counts_col,
+            outputCol=self.getOutputCol(),
+        )
+        return PipelineModel(stages=[counts, weights])

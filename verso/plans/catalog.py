@@ -44,7 +44,7 @@ from verso.operators.prepare import (
 from verso.operators.score import decode_label, labels_array, score, score_json, percent
 from verso.plans.corpus import corpus_from_documents, corpus_report
 from verso.plans.training import train_and_evaluate, train_merged
-from verso.session import scratch_path
+from verso.session import scratch_path, spread
 from verso.schema import SONG_COLUMNS
 from verso.sources.csv import read_songs_csv, write_songs_csv
 from verso.sources.models import load_model, save_model
@@ -58,7 +58,10 @@ ROUND = 6
 
 
 def _docs(spark, d):
-    return read_table(spark, d, "documents")
+    # documents is the one wide text table; a file with a single row group
+    # arrives as one split, so spread it (a no-op for inputs already split
+    # into many partitions).
+    return spread(read_table(spark, d, "documents"))
 
 
 # --------------------------------------------------------------- text (T*)

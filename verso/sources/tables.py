@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verso.functions.text import first_year
+from verso.session import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -77,6 +78,6 @@ def song_records(documents: DataFrame, pages: DataFrame | None = None) -> DataFr
 
 
 def songs(spark: SparkSession, sf_dir: str, with_year: bool = True) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents"))
     pages = read_table(spark, sf_dir, "pages") if with_year else None
     return song_records(docs, pages)
