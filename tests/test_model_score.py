@@ -1,0 +1,83 @@
+"""Training, persistence, scoring, streaming (small forest, sf0.001)."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from conftest import SF_SMALL
+from verso.operators.model import build_pipeline, fit_classifier, small_settings
+from verso.operators.score import score, score_json
+from verso.plans.training import train_and_evaluate
+from verso.session import scratch_path
+from verso.sources.models import load_model, model_labels, save_model
+from verso.sources.tables import songs
+from verso.streaming.score_stream import run_score_stream
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    s = songs(spark, SF_SMALL, with_year=False)
+    return train_and_evaluate(s, small_settings(vocab_size=300, num_trees=10, max_depth=4, min_df=2.0))
+
+
+def test_pipeline_stage_order():
+    names = [type(s).__name__ for s in build_pipeline().getStages()]
+    assert names == ["Tokenizer", "TfIdf", "StringIndexer", "RandomForestClassifier"]
+
+
+def test_fitted_stages_are_jvm_and_labels(trained):
+    names = [type(s).__name__ for s in trained.model.stages]
+    assert names == ["Tokenizer", "CountVectorizerModel", "ElementwiseProduct", "StringIndexerModel",
+                     "RandomForestClassificationModel"]
+    assert set(model_labels(trained.model)) == {"en", "fr", "de", "es"}
+
+
+def test_metrics_row(trained):
+    m = trained.metrics.collect()[0]
+    assert 0.0 <= m["accuracy"] <= 1.0 and m["n"] == trained.test.count()
+
+
+def test_save_load_same_predictions(spark, trained):
+    path = save_model(trained.model, scratch_path(spark, "test-model"))
+    loaded = load_model(path)
+    a = score(trained.model, trained.test).select("doc_id", "predicted_label", "confidence")
+    b = score(loaded, trained.test).select("doc_id", "predicted_label", "confidence")
+    assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_score_rejects_and_percentages(spark, trained):
+    rows = [(1, None), (2, ""), (3, "short"), (4, "0123456789"), (5, "the the and of the and to be")]
+    df = spark.createDataFrame(rows, "doc_id long, lyrics string").withColumn("genre", F.lit("never seen"))
+    out = {r["doc_id"]: r for r in score(trained.model, df).collect()}
+    for i in (1, 2, 3):
+        assert out[i]["error"] and out[i]["predicted_label"] is None and out[i]["probabilities"] is None
+    for i in (4, 5):
+        r = out[i]
+        assert r["error"] is None and r["predicted_label"] in r["probabilities"]
+        assert abs(sum(r["probabilities"].values()) - 100.0) < 0.05
+        assert r["confidence"] == r["probabilities"][r["predicted_label"]]
+
+
+def test_score_json(spark, trained):
+    import json
+
+    df = spark.createDataFrame([(1, "the the and of the and to be"), (2, "tiny")], "doc_id long, lyrics string")
+    out = {r["doc_id"]: json.loads(r["reply"]) for r in score_json(score(trained.model, df)).collect()}
+    assert set(out[1]) == {"labels", "data", "predictedLabel", "confidence"}
+    assert out[2] == {"error": "Please provide lyrics with at least 10 characters"}
+
+
+def test_stream_equals_batch(spark, trained):
+    landing = scratch_path(spark, "test-landing")
+    trained.test.select("doc_id", "lyrics").write.parquet(landing)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lyrics", T.StringType())])
+    out = run_score_stream(spark, trained.model, landing, schema, keep=("doc_id",))
+    streamed = spark.read.parquet(out).select("doc_id", "predicted_label", "confidence").collect()
+    batch = score(trained.model, trained.test).select("doc_id", "predicted_label", "confidence").collect()
+    assert sorted(streamed) == sorted(batch)
+
+
+def test_fit_on_one_partition_input(spark):
+    s = songs(spark, SF_SMALL, with_year=False).select("lyrics", "genre").coalesce(1)
+    model = fit_classifier(s, small_settings(vocab_size=100, num_trees=3, max_depth=3, min_df=2.0), min_partitions=4)
+    assert model.transform(s.limit(5)).count() == 5
