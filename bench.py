@@ -48,6 +48,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{CPUS}]")
         .appName("verso-bench")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", str(CPUS * 2))
         .config("spark.sql.adaptive.enabled", "true")

@@ -81,3 +81,13 @@ def test_fit_on_one_partition_input(spark):
     s = songs(spark, SF_SMALL, with_year=False).select("lyrics", "genre").coalesce(1)
     model = fit_classifier(s, small_settings(vocab_size=100, num_trees=3, max_depth=3, min_df=2.0), min_partitions=4)
     assert model.transform(s.limit(5)).count() == 5
+
+
+def test_predict_genre_literal_frame(spark, trained):
+    from verso.sources.literals import predict_genre, texts_frame
+
+    row = predict_genre(spark, trained.model, "the the and of the and to be", None).collect()[0]
+    assert row["predicted_label"] in {"en", "fr", "de", "es"} and row["error"] is None
+    # an all-null text still builds (explicit schema) and is rejected
+    assert predict_genre(spark, trained.model, None).collect()[0]["error"]
+    assert texts_frame(spark, [None, "x"]).count() == 2

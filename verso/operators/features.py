@@ -47,14 +47,28 @@ def term_stats(tokens_df: DataFrame, tokens_col: str = "words") -> DataFrame:
 
 def doc_term_counts(tokens_df: DataFrame, id_col: str = "doc_id", tokens_col: str = "words") -> DataFrame:
     """Count of each token in each document (shuffle on the pair, which has
-    no hot key: a document is at most its own length)."""
+    no hot key: a document is at most its own length).
+
+    ``explode_outer`` plus a null filter gives the same rows as ``explode``
+    (tokens are never null) but stops Catalyst from inferring a
+    ``size(tokens) > 0`` filter that would run the tokenizer twice per row.
+    """
     return (
-        tokens_df.select(id_col, F.explode(tokens_col).alias("term"))
+        tokens_df.select(id_col, F.explode_outer(tokens_col).alias("term"))
+        .where(F.col("term").isNotNull())
         .groupBy(id_col, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
 
 
+def term_stats_from_counts(counts: DataFrame) -> DataFrame:
+    """A6 from per-document counts: lets a plan that needs both (TF-IDF per
+    document) tokenise once and share the (doc, term) exchange."""
+    return counts.groupBy("term").agg(
+        F.sum("tf").cast("bigint").alias("tf"), F.count(F.lit(1)).cast("bigint").alias("df")
+    )
+
+
 def vocabulary(stats: DataFrame, vocab_size: int = VOCAB_SIZE, min_df: float = MIN_DF,
                n_docs: Column | None = None) -> DataFrame:
     """M3 / L3: terms in at least ``min_df`` documents, the ``vocab_size``

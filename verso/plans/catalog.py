@@ -24,7 +24,7 @@ from verso.functions.text import (
 )
 from verso.operators import corpus as corp
 from verso.operators import features as feat
-from verso.operators.evaluate import classification_metrics, confusion_counts
+from verso.operators.evaluate import classification_metrics, confusion_counts, metrics_report
 from verso.operators.filters import (
     collect_filter,
     exclude_titles,
@@ -138,6 +138,12 @@ def q_unmatched_records(spark, d):
     return corp.unmatched_records(docs, hits, ["doc_id"])
 
 
+def q_matched_records(spark, d):
+    docs = _docs(spark, d).select("doc_id", "source")
+    hits = read_table(spark, d, "pages").select(F.col("page_id").alias("doc_id"))
+    return corp.matched_records(docs, hits, ["doc_id"])
+
+
 def q_top_songs_per_artist(spark, d):
     docs = _docs(spark, d).select("source", "doc_id", "n_chars")
     return corp.top_per_group(docs, ["source"], [F.desc("n_chars"), F.asc("doc_id")], corp.SONGS_PER_ARTIST, "rank")
@@ -253,8 +259,10 @@ def q_idf_weights(spark, d):
 
 def q_tfidf_terms(spark, d):
     counts = feat.doc_term_counts(_tokens(spark, d), "doc_id", "words")
+    n_docs = _docs(spark, d).select(F.count(F.lit(1))).scalar()
+    vocab = feat.vocabulary(feat.term_stats_from_counts(counts), feat.VOCAB_SIZE, feat.MIN_DF)
     # The vocabulary holds at most VOCAB_SIZE rows: a bounded broadcast.
-    idf = F.broadcast(_idf(spark, d).select("term", "idf"))
+    idf = F.broadcast(feat.idf_weights(vocab, n_docs).select("term", "idf"))
     return counts.join(idf, "term").select(
         "doc_id", "term", "tf", F.round(F.col("tf") * F.col("idf"), ROUND).alias("tfidf")
     )
@@ -277,6 +285,10 @@ def q_classification_metrics(spark, d):
     return m.select(*[F.round(c, ROUND).alias(c) for c in ("accuracy", "precision", "recall", "f1")], "n")
 
 
+def q_metrics_report(spark, d):
+    return metrics_report(classification_metrics(_label_pairs(spark, d)))
+
+
 # ----------------------------------------------------------- model (M*, R1)
 
 QUERY_SETTINGS = small_settings()
@@ -371,6 +383,7 @@ QUERIES: dict[str, Query] = {
     "filter_record_kind": q_filter_record_kind,
     "tag_constant_label": q_tag_constant_label,
     "unmatched_records": q_unmatched_records,
+    "matched_records": q_matched_records,
     "top_songs_per_artist": q_top_songs_per_artist,
     "dedup_songs": q_dedup_songs,
     "cap_at_target": q_cap_at_target,
@@ -392,6 +405,7 @@ QUERIES: dict[str, Query] = {
     "tfidf_terms": q_tfidf_terms,
     "confusion_counts": q_confusion_counts,
     "classification_metrics": q_classification_metrics,
+    "metrics_report": q_metrics_report,
     # rows-only checks (no SQL twin): model fitting and scoring
     "train_and_evaluate": q_train_and_evaluate,
     "train_with_year": q_train_with_year,

@@ -157,6 +157,9 @@ ORACLE_SQL: dict[str, str] = {
     "unmatched_records": (
         "SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM pages p WHERE p.page_id = d.doc_id)"
     ),
+    "matched_records": (
+        "SELECT doc_id, source FROM documents d WHERE EXISTS (SELECT 1 FROM pages p WHERE p.page_id = d.doc_id)"
+    ),
     "top_songs_per_artist": (
         "SELECT * FROM (SELECT source, doc_id, n_chars, CAST(row_number() OVER "
         "(PARTITION BY source ORDER BY n_chars DESC, doc_id) AS INTEGER) AS rank FROM documents) WHERE rank <= 10"
@@ -214,4 +217,11 @@ ORACLE_SQL: dict[str, str] = {
         "round(sum(recall * actual) / sum(actual), 6) AS recall, "
         "round(sum(f1 * actual) / sum(actual), 6) AS f1, sum(actual)::BIGINT AS n FROM pcf"
     ),
+    "metrics_report": (
+        f"WITH {_METRICS}, m AS (SELECT sum(tp) / sum(actual) AS accuracy, sum(precision * actual) / sum(actual) AS precision, "
+        "sum(recall * actual) / sum(actual) AS recall, sum(f1 * actual) / sum(actual) AS f1 FROM pcf) "
+        "SELECT 'Accuracy' AS metric, round(accuracy, 4) AS value FROM m UNION ALL "
+        "SELECT 'Precision', round(precision, 4) FROM m UNION ALL SELECT 'Recall', round(recall, 4) FROM m "
+        "UNION ALL SELECT 'F1', round(f1, 4) FROM m"
+    ),
 }
