@@ -137,3 +137,19 @@ def test_payload_year_fallback_and_malformed(spark):
     assert [got[i]["release_year"] for i in range(5)] == ["2001", "1998", None, None, None]
     assert got[0]["artist_name"] == "A" and got[0]["song_id"] == 1 and got[0]["lyrics"] == "la"
     assert got[4]["track_name"] is None
+
+
+def test_kept_groups_with_own_order_column(spark):
+    # groups taken in order of their first doc_id, not by name
+    data = [(10, "z", "t1", "x"), (11, "z", "t2", "x"), (20, "a", "t1", "x"), (30, "m", "t1", "x")]
+    df = spark.createDataFrame(data, SCHEMA)
+    kept = {r["artist_name"]: (r["songs"], r["prior_songs"]) for r in corp.kept_groups(df, "artist_name", "doc_id", 3).collect()}
+    assert kept == {"z": (2, 0), "a": (1, 2)}
+
+
+def test_spread_only_when_few_splits(spark):
+    from verso.session import spread
+
+    many = spark.range(1000).repartition(16)
+    assert spread(many, 8) is many
+    assert spread(spark.range(10).coalesce(1), 8).rdd.getNumPartitions() == 8

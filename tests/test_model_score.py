@@ -91,3 +91,21 @@ def test_predict_genre_literal_frame(spark, trained):
     # an all-null text still builds (explicit schema) and is rejected
     assert predict_genre(spark, trained.model, None).collect()[0]["error"]
     assert texts_frame(spark, [None, "x"]).count() == 2
+
+
+def test_tune_and_merge_small_grid(spark):
+    from verso.operators.prepare import prepare_text_rows
+    from verso.plans.training import train_merged
+    from verso.operators.model import tune_classifier
+
+    s = songs(spark, SF_SMALL, with_year=False)
+    rows = prepare_text_rows(s, keep=("doc_id",))
+    settings = small_settings(vocab_size=100, num_trees=4, min_df=2.0)
+    model, avg = tune_classifier(rows, settings, vocab_sizes=[100], num_trees=[4], max_depths=[2, 4], num_folds=2)
+    assert len(avg) == 2 and all(0.0 <= a <= 1.0 for a in avg)
+    assert type(model.stages[-1]).__name__ == "RandomForestClassificationModel"
+    primary, secondary = s.where(F.col("genre") == "en"), s.where(F.col("genre") != "en")
+    _, metrics, avg2 = train_merged(primary, secondary, settings, vocab_sizes=[100], num_trees=[4],
+                                    max_depths=[3], num_folds=2)
+    m = metrics.collect()[0]
+    assert len(avg2) == 1 and m["n"] > 0
