@@ -153,3 +153,34 @@ def test_spread_only_when_few_splits(spark):
     many = spark.range(1000).repartition(16)
     assert spread(many, 8) is many
     assert spread(spark.range(10).coalesce(1), 8).rdd.getNumPartitions() == 8
+
+
+def test_hot_key_third_of_rows_matches_brute_force(spark):
+    # one artist and one (artist, title) pair hold a third of all rows
+    rnd = random.Random(11)
+    data = []
+    for i in range(900):
+        if i % 3 == 0:
+            data.append((i, "hot", "same title", f"x{i}"))
+        else:
+            data.append((i, f"ar{rnd.randint(0, 40)}", f"t{rnd.randint(0, 3)}", f"x{i}"))
+    rnd.shuffle(data)
+    df = spark.createDataFrame(data, SCHEMA).repartition(9)
+    dedup = _rows(corp.dedup_first(df), "doc_id")
+    first = {}
+    for i, a, t, _ in sorted(data):
+        first.setdefault((a, t), i)
+    assert dedup == sorted((i,) for i in first.values())
+    pop = df.withColumn("pop", F.col("doc_id") % 7)
+    top = _rows(corp.top_per_group(pop, ["artist_name"], [F.desc("pop"), F.asc("doc_id")], 10), "doc_id")
+    by_artist = {}
+    for i, a, _, _ in data:
+        by_artist.setdefault(a, []).append((-(i % 7), i))
+    expect = sorted((i,) for rows in by_artist.values() for _, i in sorted(rows)[:10])
+    assert top == expect
+
+
+def test_dedup_plan_aggregates_before_shuffle(spark):
+    df = spark.range(100).selectExpr("id as doc_id", "'a' as artist_name", "'t' as track_name", "'x' as lyrics")
+    plan = corp.dedup_first(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_min_by") > plan.index("Exchange")  # partial sits below (after) the exchange in the tree text

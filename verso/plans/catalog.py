@@ -299,7 +299,8 @@ _models_lock = threading.Lock()
 def _trained(spark, d, with_year=False):
     """Fit once per (data, settings) in this process; queries that score
     share the model."""
-    key = (d, with_year, QUERY_SETTINGS)
+    # Keyed by application too: a model belongs to the JVM that fitted it.
+    key = (spark.sparkContext.applicationId, d, with_year, QUERY_SETTINGS)
     with _models_lock:
         if key not in _models:
             s = QUERY_SETTINGS if not with_year else small_settings(use_year=True)

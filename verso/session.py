@@ -68,7 +68,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     downstream stage in a single task.
     """
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. Spark Connect): leave it to the engine
+        return df
+    if have >= target:
         return df
     return df.repartition(target)
