@@ -76,7 +76,10 @@ def dedup_first(
 ) -> DataFrame:
     """One row per key, the first in ``order_col`` (collection
     order). Exact and case-sensitive; the key is the column pair, not a
-    joined string. Repeatable under any partitioning."""
+    joined string. Repeatable under any partitioning.
+
+    Every non-key column travels in the ``min_by`` struct, so project to the
+    columns you need first."""
     keys = list(key_cols)
     rest = [c for c in df.columns if c not in keys]
     first = F.min_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("_first")
