@@ -84,3 +84,11 @@ def test_confusion_and_report(spark):
     assert cc == {(0.0, 0.0): 1, (0.0, 1.0): 1, (1.0, 1.0): 2}
     rep = {r["metric"]: r["value"] for r in metrics_report(classification_metrics(pred)).collect()}
     assert set(rep) == {"Accuracy", "Precision", "Recall", "F1"} and rep["Accuracy"] == 0.75
+
+
+def test_vocabulary_estimator_is_repeatable_countvectorizer(spark, tokens):
+    model = feat.Vocabulary(inputCol="words", outputCol="raw", vocabSize=200, minDF=3.0).fit(tokens)
+    expect = [r["term"] for r in feat.vocabulary(feat.term_stats(tokens), 200, 3.0).orderBy("index").collect()]
+    assert list(model.vocabulary) == expect
+    again = feat.Vocabulary(inputCol="words", outputCol="raw", vocabSize=200, minDF=3.0).fit(tokens.repartition(5))
+    assert list(again.vocabulary) == expect
