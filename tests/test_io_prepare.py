@@ -12,7 +12,7 @@ from verso.sources.csv import read_songs_csv, write_songs_csv
 
 def test_csv_round_trip_quotes_commas_newlines(spark):
     rows = [
-        ("Girls' Generation", 'He said "hi", then left', 2009, "K-Pop", "line one\nline two, with comma"),
+        ("Band's Name", 'He said "hi", then left', 2009, "K-Pop", "line one\nline two, with comma"),
         ("  padded  ", "title", None, "K-Pop", 'quote " alone'),
         ("a", "", 1999, None, "tab\there"),
     ]

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's for right results.
 SITE_ARTIFACT = "EmbedShare URLCopyEmbedCopy"
+BRACKET_PATTERN = r"\[.*?\]"
+WHITESPACE_PATTERN = r"\s+"
 YEAR_PATTERN = r"(\d{4})"
 REJECT_MESSAGE = "Please provide lyrics with at least 10 characters"
 RAW_MIN_CHARS = 10  # collection: skip when shorter than this
@@ -20,11 +22,11 @@ DEFAULT_YEAR = 2000
 DEFAULT_GENRE = "K-Pop"
 EXCLUDED_TITLE_TERMS = ["(Remix)", "(Live)", "(Cover)", "Instrumental"]
 
-# Shortest bracket pair on one line; (?d) makes only "\n" a line end, as in
-# Python's "." (Java would otherwise also stop at \r, U+0085, U+2028, U+2029).
-_BRACKETS = r"(?d)\[.*?\]"
-# Python's Unicode "\s": Java's Unicode white space plus the four
-# information separators U+001C..U+001F, which Python also counts.
+# The two patterns above are Python regexes; the Java forms that match the
+# same text: (?d) makes only "\n" a line end, as Python's "." does (Java
+# would also stop at \r, U+0085, U+2028, U+2029); Python's Unicode "\s" is
+# Java's Unicode white space plus the separators U+001C..U+001F.
+_BRACKETS = "(?d)" + BRACKET_PATTERN
 _WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 
 
