@@ -29,19 +29,22 @@ def tokenize(df: DataFrame, text_col: str = "lyrics", out_col: str = "words") ->
     return Tokenizer(inputCol=text_col, outputCol=out_col).transform(df)
 
 
-def _term_events(tokens: Column) -> Column:
-    every = F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df")))
-    once = F.transform(
-        F.array_distinct(tokens), lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df"))
-    )
-    return F.concat(every, once)
-
-
 def term_stats(tokens_df: DataFrame, tokens_col: str = "words") -> DataFrame:
-    """Per term, total count ``tf`` and document count ``df``."""
-    events = tokens_df.select(F.explode(_term_events(F.col(tokens_col))).alias("e"))
-    return events.groupBy(F.col("e.term").alias("term")).agg(
-        F.sum("e.tf").cast("bigint").alias("tf"), F.sum("e.df").cast("bigint").alias("df")
+    """Per term, total count ``tf`` and document count ``df``.
+
+    Each document emits its tokens followed by its distinct tokens; the
+    position tells the two apart (below the token count: one occurrence,
+    else: one document). All native expressions, so the explode runs in
+    generated code; ``posexplode_outer`` keeps Catalyst from inferring a
+    filter that would tokenise twice (tokens are never null).
+    """
+    words = F.col(tokens_col)
+    events = tokens_df.select(
+        F.size(words).alias("_n"), F.posexplode_outer(F.concat(words, F.array_distinct(words))).alias("_pos", "term")
+    ).where(F.col("term").isNotNull())
+    occurrence = F.col("_pos") < F.col("_n")
+    return events.groupBy("term").agg(
+        F.sum(occurrence.cast("bigint")).alias("tf"), F.sum((~occurrence).cast("bigint")).alias("df")
     )
 
 
