@@ -109,3 +109,12 @@ def test_tune_and_merge_small_grid(spark):
                                     max_depths=[3], num_folds=2)
     m = metrics.collect()[0]
     assert len(avg2) == 1 and m["n"] > 0
+
+
+def test_fixed_layout_makes_forest_repeatable(spark):
+    s = songs(spark, SF_SMALL, with_year=False).select("doc_id", "lyrics", "genre")
+    settings = small_settings(vocab_size=100, num_trees=5, max_depth=4, min_df=2.0)
+    a = fit_classifier(s.repartition(3), settings, layout=("doc_id", 4))
+    b = fit_classifier(s.repartition(7), settings, layout=("doc_id", 4))
+    # first line holds the model uid
+    assert a.stages[-1].toDebugString.split("\n")[1:] == b.stages[-1].toDebugString.split("\n")[1:]
