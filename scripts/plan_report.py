@@ -23,7 +23,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
 
-ROWS_ONLY_SKIP = {"train_and_evaluate", "train_with_year", "model_round_trip", "score_stream",
+ROWS_ONLY_SKIP = {"train_and_evaluate", "train_with_year", "model_round_trip", "score_stream", "score_conversations",
                   "tune_classifier", "train_merged", "csv_round_trip"}
 
 

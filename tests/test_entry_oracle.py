@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 
 ROWS_ONLY = {
     "train_and_evaluate", "train_with_year", "model_round_trip", "score_batch", "score_json",
-    "score_stream", "tune_classifier", "train_merged",
+    "score_stream", "tune_classifier", "train_merged", "score_conversations",
 }
 
 

@@ -333,6 +333,12 @@ def q_score_batch(spark, d):
     return score(_trained(spark, d).model, _docs(spark, d), text_col="text", keep=("doc_id",))
 
 
+def q_score_conversations(spark, d):
+    """Scoring on a second text table (every conversation turn)."""
+    conv = read_table(spark, d, "conversations")
+    return score(_trained(spark, d).model, spread(conv), text_col="text", keep=("conv_id", "turn"))
+
+
 def q_score_json(spark, d):
     return score_json(q_score_batch(spark, d), keep=("doc_id",))
 
@@ -417,6 +423,7 @@ QUERIES: dict[str, Query] = {
     "model_round_trip": q_model_round_trip,
     "score_batch": q_score_batch,
     "score_json": q_score_json,
+    "score_conversations": q_score_conversations,
     "score_stream": q_score_stream,
     "tune_classifier": q_tune_classifier,
     "train_merged": q_train_merged,
