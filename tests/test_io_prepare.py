@@ -85,3 +85,13 @@ def test_folds_cover_range(spark):
     df = with_fold(spark.range(300).withColumnRenamed("id", "doc_id"), folds=3)
     counts = {r["fold"]: r["count"] for r in df.groupBy("fold").count().collect()}
     assert set(counts) == {0, 1, 2} and all(c > 60 for c in counts.values())
+
+
+def test_csv_sink_writes_nothing_for_no_rows(spark):
+    import os
+
+    path = scratch_path(spark, "test-csv-empty")
+    empty = spark.createDataFrame([], SONG_SCHEMA)
+    assert write_songs_csv(empty, path) is False
+    assert not os.path.exists(path)
+    assert write_songs_csv(spark.createDataFrame([("a", "t", 1, "g", "x")], SONG_SCHEMA), path) is True

@@ -104,3 +104,11 @@ def test_title_pattern_groups_brackets():
     assert not pat.search("Plain Song")
     lit = re.compile(tx.title_exclusion_pattern(literal=True).replace("(?i)", ""), re.IGNORECASE)
     assert lit.search("Song (Live)") and not lit.search("alive")
+
+
+def test_request_text_json_or_form(spark):
+    rows = [(True, '{"lyrics": "from json"}', "form"), (True, '{"x": 1}', "form"), (False, None, "from form"),
+            (False, '{"lyrics": "ignored"}', None)]
+    df = spark.createDataFrame(rows, "j boolean, body string, form string")
+    got = [r[0] for r in df.select(tx.request_text("j", "body", "form")).collect()]
+    assert got == ["from json", "", "from form", ""]

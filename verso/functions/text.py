@@ -91,6 +91,15 @@ def json_field(json_text: Column | str, path: str, default: str | None = "") ->
     return value if default is None else F.coalesce(value, F.lit(default))
 
 
+def request_text(is_json: Column | str, json_body: Column | str, form_value: Column | str,
+                 path: str = "$.lyrics") -> Column:
+    """P10: the text field of a request: from the JSON body when the request
+    is JSON, else from the form field; missing -> ""."""
+    from_json_body = json_field(json_body, path, "")
+    from_form = F.coalesce(_col(form_value), F.lit(""))
+    return F.when(_col(is_json), from_json_body).otherwise(from_form)
+
+
 def reject_reason(c: Column | str, min_chars: int = SCORE_MIN_CHARS) -> Column:
     """Error text for null, empty or too-short input, else null."""
     return F.when(~has_min_chars(c, min_chars), F.lit(REJECT_MESSAGE))

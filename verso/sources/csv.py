@@ -19,12 +19,16 @@ def stringify(df: DataFrame) -> DataFrame:
     return df.select(*[to_text_or_empty(c).alias(c) for c in df.columns])
 
 
-def write_songs_csv(df: DataFrame, path: str, stringify_nulls: bool = True) -> None:
+def write_songs_csv(df: DataFrame, path: str, stringify_nulls: bool = True, skip_empty: bool = True) -> bool:
     """Header, every field quoted, quotes doubled, UTF-8, overwrite.
 
-    One file per partition; the folder is the table. An empty frame writes
-    a folder with no data rows.
+    One file per partition; the folder is the table. As in the reference,
+    nothing is written for an empty frame (returns False). That check is a
+    ``limit 1`` job, which for an input behind a shuffle still runs the
+    shuffle's map side; pass ``skip_empty=False`` to write unconditionally.
     """
+    if skip_empty and df.isEmpty():
+        return False
     out = stringify(df) if stringify_nulls else df
     (
         out.write.mode("overwrite")
@@ -37,6 +41,7 @@ def write_songs_csv(df: DataFrame, path: str, stringify_nulls: bool = True) -> N
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
+    return True
 
 
 def read_songs_csv(
