@@ -20,7 +20,7 @@ def trained(spark):
     return train_and_evaluate(s, small_settings(vocab_size=300, num_trees=10, max_depth=4, min_df=2.0))
 
 
-def test_pipeline_stage_order():
+def test_pipeline_stage_order(spark):
     names = [type(s).__name__ for s in build_pipeline().getStages()]
     assert names == ["Tokenizer", "TfIdf", "StringIndexer", "RandomForestClassifier"]
 
@@ -118,3 +118,20 @@ def test_fixed_layout_makes_forest_repeatable(spark):
     b = fit_classifier(s.repartition(7), settings, layout=("doc_id", 4))
     # first line holds the model uid
     assert a.stages[-1].toDebugString.split("\n")[1:] == b.stages[-1].toDebugString.split("\n")[1:]
+
+
+def test_unseen_and_rare_classes(spark, trained):
+    from verso.operators.model import tune_classifier
+    from verso.plans.training import evaluate
+
+    # a class absent from training counts as wrong instead of failing
+    test = trained.test.select("lyrics", "genre").union(
+        spark.createDataFrame([("the the and of the and", "polka")], "lyrics string, genre string"))
+    m = evaluate(trained.model, test).collect()[0]
+    assert m["n"] == trained.test.count() + 1
+    # a one-row class cannot be in every fold; the indexer is fitted first
+    rows = songs(spark, SF_SMALL, with_year=False).select("doc_id", "lyrics", "genre").union(
+        spark.createDataFrame([(10**9, "la la la la la la la", "rare")], "doc_id long, lyrics string, genre string"))
+    model, avg = tune_classifier(rows, small_settings(vocab_size=50, num_trees=3, max_depth=3, min_df=2.0),
+                                 vocab_sizes=[50], num_trees=[3], max_depths=[3], num_folds=2)
+    assert "rare" in model_labels(model) and len(avg) == 1
