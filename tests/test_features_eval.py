@@ -92,3 +92,9 @@ def test_vocabulary_estimator_is_repeatable_countvectorizer(spark, tokens):
     assert list(model.vocabulary) == expect
     again = feat.Vocabulary(inputCol="words", outputCol="raw", vocabSize=200, minDF=3.0).fit(tokens.repartition(5))
     assert list(again.vocabulary) == expect
+
+
+def test_fractional_min_df_matches_countvectorizer(spark, tokens):
+    ours = feat.Vocabulary(inputCol="words", outputCol="raw", vocabSize=100000, minDF=0.05).fit(tokens)
+    native = CountVectorizer(inputCol="words", outputCol="raw", vocabSize=100000, minDF=0.05).fit(tokens)
+    assert set(ours.vocabulary) == set(native.vocabulary) and len(ours.vocabulary) > 10
