@@ -3,9 +3,9 @@
     python scripts/plan_report.py [sf_dir] > PLANS.md
 
 Per query: tables scanned with their read columns and pushed filters, the
-number of shuffles, round-robin spreads (only for inputs with fewer
-splits than the parallelism, as the one-row-group test files; none at
-scale), broadcasts, single-partition exchanges, Python evaluation nodes
+number of shuffles, spreads (`session.spread` repartitions, only for
+inputs with fewer splits than the parallelism, as the one-row-group test
+files; none at scale), broadcasts, single-partition exchanges, Python evaluation nodes
 and partial window limits. Plans are the optimizer's
 initial physical plans (AQE may still coalesce partitions or switch a join
 to broadcast at run time).
@@ -54,8 +54,9 @@ def main() -> None:
             continue
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
-        shuffles = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", plan))
-        spreads = plan.count("RoundRobinPartitioning")
+        exchanges = re.findall(r"Exchange (?:hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)[^\n]*", plan)
+        spreads = sum("REPARTITION_BY_NUM" in e for e in exchanges)
+        shuffles = len(exchanges) - spreads
         bcast = plan.count("BroadcastExchange")
         single = plan.count("Exchange SinglePartition")
         python = "yes" if re.search(r"(BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas)", plan) else "no"

@@ -61,7 +61,7 @@ def _docs(spark, d):
     # documents is the one wide text table; a file with a single row group
     # arrives as one split, so spread it (a no-op for inputs already split
     # into many partitions).
-    return spread(read_table(spark, d, "documents"))
+    return spread(read_table(spark, d, "documents"), key="doc_id")
 
 
 # --------------------------------------------------------------- text (T*)

@@ -60,12 +60,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when the input has too few partitions.
+def spread(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
+    """Repartition only when the input has too few partitions.
 
     A large input already arrives in many splits and is left alone (no
     extra shuffle); a file with one row group would otherwise run every
-    downstream stage in a single task.
+    downstream stage in a single task. With ``key`` (a unique id) the rows
+    are hash-partitioned on it, so a later aggregation keyed by it (e.g.
+    per-document term counts) needs no shuffle of its own; without, rows
+    are dealt round-robin.
     """
     spark = df.sparkSession
     try:
@@ -75,4 +78,4 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         return df
     if have >= target:
         return df
-    return df.repartition(target)
+    return df.repartition(target, key) if key else df.repartition(target)

@@ -78,6 +78,6 @@ def song_records(documents: DataFrame, pages: DataFrame | None = None) -> DataFr
 
 
 def songs(spark: SparkSession, sf_dir: str, with_year: bool = True) -> DataFrame:
-    docs = spread(read_table(spark, sf_dir, "documents"))
+    docs = spread(read_table(spark, sf_dir, "documents"), key="doc_id")
     pages = read_table(spark, sf_dir, "pages") if with_year else None
     return song_records(docs, pages)
