@@ -253,7 +253,7 @@ def q_vocabulary(spark, d):
 
 
 def _idf(spark, d):
-    n_docs = _docs(spark, d).select(F.count(F.lit(1))).scalar()
+    n_docs = read_table(spark, d, "documents").select(F.count(F.lit(1))).scalar()  # metadata-only count
     return feat.idf_weights(_vocab(spark, d), n_docs)
 
 
@@ -263,7 +263,7 @@ def q_idf_weights(spark, d):
 
 def q_tfidf_terms(spark, d):
     counts = feat.doc_term_counts(_tokens(spark, d), "doc_id", "words")
-    n_docs = _docs(spark, d).select(F.count(F.lit(1))).scalar()
+    n_docs = read_table(spark, d, "documents").select(F.count(F.lit(1))).scalar()  # metadata-only count
     vocab = feat.vocabulary(feat.term_stats_from_counts(counts), feat.VOCAB_SIZE, feat.MIN_DF)
     # The vocabulary holds at most VOCAB_SIZE rows: a bounded broadcast.
     idf = F.broadcast(feat.idf_weights(vocab, n_docs).select("term", "idf"))
