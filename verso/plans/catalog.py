@@ -57,11 +57,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 ROUND = 6
 
 
-def _docs(spark, d):
+def _docs(spark, d, key="doc_id"):
     # documents is the one wide text table; a file with a single row group
     # arrives as one split, so spread it (a no-op for inputs already split
     # into many partitions).
-    return spread(read_table(spark, d, "documents"), key="doc_id")
+    return spread(read_table(spark, d, "documents"), key=key)
 
 
 # --------------------------------------------------------------- text (T*)
@@ -236,8 +236,8 @@ def q_decode_label(spark, d):
     )
 
 
-def _tokens(spark, d):
-    return feat.tokenize(_docs(spark, d).select("doc_id", "text"), "text", "words")
+def _tokens(spark, d, key="doc_id"):
+    return feat.tokenize(_docs(spark, d, key).select("doc_id", "text"), "text", "words")
 
 
 def q_term_frequencies(spark, d):
@@ -262,7 +262,9 @@ def q_idf_weights(spark, d):
 
 
 def q_tfidf_terms(spark, d):
-    counts = feat.doc_term_counts(_tokens(spark, d), "doc_id", "words")
+    # Dealt round-robin, the (doc, term) counts get an exchange of their own,
+    # which the vocabulary branch reuses: the text is tokenised once.
+    counts = feat.doc_term_counts(_tokens(spark, d, key=None), "doc_id", "words")
     n_docs = read_table(spark, d, "documents").select(F.count(F.lit(1))).scalar()  # metadata-only count
     vocab = feat.vocabulary(feat.term_stats_from_counts(counts), feat.VOCAB_SIZE, feat.MIN_DF)
     # The vocabulary holds at most VOCAB_SIZE rows: a bounded broadcast.
