@@ -95,3 +95,14 @@ def test_csv_sink_writes_nothing_for_no_rows(spark):
     assert write_songs_csv(empty, path) is False
     assert not os.path.exists(path)
     assert write_songs_csv(spark.createDataFrame([("a", "t", 1, "g", "x")], SONG_SCHEMA), path) is True
+
+
+def test_prepare_year_strings(spark):
+    schema = T.StructType([T.StructField("doc_id", T.LongType())] + [
+        T.StructField(f.name, T.StringType()) for f in SONG_SCHEMA.fields
+    ])
+    years = ["1999", "1999-05-01", "", None, "n/a"]
+    rows = [(i, "a", "t", y, "g", "x" * 20) for i, y in enumerate(years)]
+    out = {r["doc_id"]: r["release_date"] for r in prepare_rows(spark.createDataFrame(rows, schema), keep=("doc_id",)).collect()}
+    # only a clean integer survives the cast; the rest become null and leave with the null check
+    assert out == {0: 1999}
