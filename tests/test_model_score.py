@@ -135,3 +135,25 @@ def test_unseen_and_rare_classes(spark, trained):
     model, avg = tune_classifier(rows, small_settings(vocab_size=50, num_trees=3, max_depth=3, min_df=2.0),
                                  vocab_sizes=[50], num_trees=[3], max_depths=[3], num_folds=2)
     assert "rare" in model_labels(model) and len(avg) == 1
+
+
+def test_cross_validate_equals_mllib_validator(spark):
+    from pyspark import StorageLevel
+    from pyspark.ml import Pipeline
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.feature import Tokenizer
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    from verso.operators.model import cross_validate, make_stages
+    from verso.operators.prepare import with_fold
+
+    s = with_fold(songs(spark, SF_SMALL, with_year=False).select("doc_id", "lyrics", "genre"), folds=3)
+    tokens = Tokenizer(inputCol="lyrics", outputCol="words").transform(s.repartition(4)).persist(StorageLevel.MEMORY_AND_DISK)
+    st = make_stages(small_settings(vocab_size=80, num_trees=4, max_depth=3, min_df=2.0))
+    pipe = Pipeline(stages=[st.tfidf, st.indexer.fit(tokens), st.forest])
+    grid = ParamGridBuilder().addGrid(st.forest.maxDepth, [2, 4]).build()
+    ours = cross_validate(pipe, grid, tokens, 3, "fold", parallelism=2)
+    ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="f1")
+    native = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=3, foldCol="fold").fit(tokens)
+    assert all(abs(a - b) < 1e-12 for a, b in zip(ours, native.avgMetrics))
+    tokens.unpersist()
