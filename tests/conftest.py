@@ -40,3 +40,8 @@ def duck():
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
+
+
+def local_path(uri: str) -> str:
+    """A file: URI (as scratch paths are) as a local path, for os.path checks."""
+    return uri[len("file:"):] if uri.startswith("file:") else uri

@@ -92,9 +92,12 @@ def test_csv_sink_writes_nothing_for_no_rows(spark):
 
     path = scratch_path(spark, "test-csv-empty")
     empty = spark.createDataFrame([], SONG_SCHEMA)
+    from conftest import local_path
+
     assert write_songs_csv(empty, path) is False
-    assert not os.path.exists(path)
+    assert not os.path.exists(local_path(path))
     assert write_songs_csv(spark.createDataFrame([("a", "t", 1, "g", "x")], SONG_SCHEMA), path) is True
+    assert os.path.isdir(local_path(path))
 
 
 def test_prepare_year_strings(spark):
