@@ -184,3 +184,30 @@ def test_dedup_plan_aggregates_before_shuffle(spark):
     df = spark.range(100).selectExpr("id as doc_id", "'a' as artist_name", "'t' as track_name", "'x' as lyrics")
     plan = corp.dedup_first(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_min_by") > plan.index("Exchange")  # partial sits below (after) the exchange in the tree text
+
+
+def test_payload_corpus_end_to_end(spark):
+    from verso.plans.corpus import build_corpus
+    from verso.sources.payload import corpus_records_from_payloads
+
+    def p(artist, sid, title, lyrics, song_date=None, album_date=None, detail=True):
+        d = {"artist": {"name": artist}, "song": {"id": sid, "title": title, "lyrics": lyrics}}
+        if detail:
+            d["detail"] = {"song": {"release_date": song_date, "album": {"release_date": album_date}}}
+        return json.dumps(d)
+
+    rows = [
+        (1, 50, p("A", 1, "one", "[Intro]\nla la la la la", "2001-02-03", "1999")),
+        (2, 40, p("A", 2, "two", "short", "2002")),  # too short: skipped
+        (3, 30, p("A", 3, "one", "duplicate title text", None, "1998-01-01")),  # dup of 1
+        (4, 20, p("B", 4, "Song (Remix)", "remix lyrics here", "2004")),  # excluded title
+        (5, 10, p("B", 5, "five", "album only year here", None, "1997", )),
+        (6, 5, p("C", 6, "six", "no detail record at all", detail=False)),
+        (7, 1, "{broken json"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, popularity long, payload string")
+    out = {r["doc_id"]: r for r in build_corpus(corpus_records_from_payloads(df), None).collect()}
+    assert sorted(out) == [1, 5, 6]  # 7 has no artist: its own group, but null lyrics fail the length test
+    assert out[1]["lyrics"] == "la la la la la" and out[1]["release_date"] == 2001
+    assert out[5]["release_date"] == 1997 and out[6]["release_date"] is None
+    assert {r["genre"] for r in out.values()} == {"K-Pop"}

@@ -42,13 +42,13 @@ from verso.operators.prepare import (
     TRAIN_BUCKETS,
 )
 from verso.operators.score import decode_label, labels_array, score, score_json, percent
-from verso.plans.corpus import corpus_from_documents, corpus_report
+from verso.plans.corpus import build_corpus, corpus_from_documents, corpus_report
 from verso.plans.training import train_and_evaluate, train_merged
 from verso.session import scratch_path, spread
 from verso.schema import SONG_COLUMNS
 from verso.sources.csv import read_songs_csv, write_songs_csv
 from verso.sources.models import load_model, save_model
-from verso.sources.payload import payload_records
+from verso.sources.payload import corpus_records_from_payloads, payload_records
 from verso.sources.tables import read_table, songs
 from verso.streaming.score_stream import run_score_stream
 
@@ -184,6 +184,28 @@ def q_build_corpus(spark, d):
     return corpus_from_documents(_docs(spark, d), read_table(spark, d, "pages"))
 
 
+def landed_payloads(spark, d):
+    """API-style payloads that Spark derives from the tables: the text as
+    the song's date and lyrics, the page html of the same id as the album's
+    date (missing page: no album date)."""
+    docs = _docs(spark, d)
+    pages = read_table(spark, d, "pages")
+    joined = docs.join(pages, docs["doc_id"] == pages["page_id"], "left")
+    payload = F.struct(
+        F.struct(F.col("source").alias("name")).alias("artist"),
+        F.struct(F.col("doc_id").alias("id"), F.substring("text", 1, 40).alias("title"),
+                 F.col("text").alias("lyrics")).alias("song"),
+        F.struct(F.struct(F.col("text").alias("release_date"),
+                          F.struct(F.col("html").alias("release_date")).alias("album")).alias("song")).alias("detail"),
+    )
+    return joined.select("doc_id", F.col("n_chars").alias("popularity"), F.to_json(payload).alias("payload"))
+
+
+def q_payload_corpus(spark, d):
+    records = corpus_records_from_payloads(landed_payloads(spark, d), "payload")
+    return build_corpus(records, None)
+
+
 def q_corpus_report(spark, d):
     return corpus_report(q_build_corpus(spark, d))
 
@@ -405,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "merge_corpora": q_merge_corpora,
     "build_corpus": q_build_corpus,
     "corpus_report": q_corpus_report,
+    "payload_corpus": q_payload_corpus,
     "csv_round_trip": q_csv_round_trip,
     "prepare_rows": q_prepare_rows,
     "prepare_text_rows": q_prepare_text_rows,

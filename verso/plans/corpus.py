@@ -35,18 +35,21 @@ def build_corpus(
     exclude: bool = True,
 ) -> DataFrame:
     """``records``: order_col, artist_name, track_name, popularity_col,
-    song_date (text holding the song's date, may be null), genre, lyrics
-    (raw). ``detail_years``: (detail_id, detail_year), one row per id.
+    genre, lyrics (raw), and either song_date (text holding the song's
+    date, may be null; the year is its first 4-digit run, else the detail
+    year) or release_year (already resolved, e.g. from a payload).
+    ``detail_years``: (detail_id, detail_year), one row per id.
     Returns order_col plus the five song columns, lyrics cleaned."""
     rows = exclude_titles(records) if exclude else records
     rows = top_per_group(rows, ["artist_name"], [F.desc(popularity_col), F.asc(order_col)], top_k)
-    if detail_years is not None:
-        rows = attach_detail_year(
-            rows, detail_years, order_col, "_detail_id", "_detail_year", "release_year",
-            song_year=first_year("song_date"),
-        )
-    else:
-        rows = rows.withColumn("release_year", first_year("song_date"))
+    if "song_date" in rows.columns:  # else release_year is already resolved
+        if detail_years is not None:
+            rows = attach_detail_year(
+                rows, detail_years, order_col, "_detail_id", "_detail_year", "release_year",
+                song_year=first_year("song_date"),
+            )
+        else:
+            rows = rows.withColumn("release_year", first_year("song_date"))
     rows = collect_filter(rows, "lyrics")
     rows = rows.select(
         order_col,

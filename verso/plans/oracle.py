@@ -85,10 +85,10 @@ pc AS (
   FROM actual a LEFT JOIN predicted p ON a.label = p.label),
 pcf AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM pc)"""
 
-_BUILD = f"""{_PAGE_YEARS},
+_BUILD_TEMPLATE = """{page_years},
 recs AS (
   SELECT doc_id, source AS artist_name, substr(text, 1, 40) AS track_name, n_chars AS popularity,
-         text AS song_date, lang AS genre, text AS lyrics
+         text AS song_date, {genre} AS genre, text AS lyrics
   FROM documents
   WHERE NOT coalesce(regexp_matches(substr(text, 1, 40), '(?i)((Remix))|((Live))|((Cover))|(Instrumental)'), false)),
 top AS (
@@ -97,8 +97,8 @@ top AS (
   WHERE rk <= 10),
 yr AS (
   SELECT t.doc_id, t.artist_name, t.track_name,
-         TRY_CAST(coalesce({_year('t.song_date')}, py.detail_year) AS INTEGER) AS release_date,
-         t.genre, {_clean('t.lyrics')} AS lyrics
+         TRY_CAST(coalesce({song_year}, py.detail_year) AS INTEGER) AS release_date,
+         t.genre, {clean} AS lyrics
   FROM top t LEFT JOIN page_years py ON t.doc_id = py.detail_id
   WHERE coalesce(length(t.lyrics), 0) >= 10),
 dedup AS (
@@ -115,6 +115,13 @@ corpus AS (
   SELECT doc_id, artist_name, track_name, release_date, genre, lyrics
   FROM dedup WHERE artist_name IN (SELECT artist_name FROM kept))"""
 
+_BUILD = _BUILD_TEMPLATE.format(page_years=_PAGE_YEARS, genre="lang", song_year=_year("t.song_date"),
+                                clean=_clean("t.lyrics"))
+# Payload path: the album date is the whole page html of the same id, and
+# every record carries the run's constant label.
+_BUILD_PAYLOAD = _BUILD_TEMPLATE.format(page_years=_PAGE_YEARS, genre="'K-Pop'", song_year=_year("t.song_date"),
+                                        clean=_clean("t.lyrics"))
+
 
 ORACLE_SQL: dict[str, str] = {
     "clean_lyrics": f"SELECT doc_id, {_clean('text')} AS lyrics FROM documents",
@@ -176,6 +183,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "build_corpus": f"WITH {_BUILD} SELECT * FROM corpus",
     "corpus_report": f"WITH {_BUILD} SELECT artist_name, count(*)::BIGINT AS songs FROM corpus GROUP BY artist_name",
+    "payload_corpus": f"WITH {_BUILD_PAYLOAD} SELECT * FROM corpus",
     "csv_round_trip": (
         f"WITH {_SONGS} SELECT doc_id, nullif(artist_name, '') AS artist_name, nullif(track_name, '') AS track_name, "
         "release_date, nullif(genre, '') AS genre, nullif(lyrics, '') AS lyrics FROM songs"

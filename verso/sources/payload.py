@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verso.functions.text import year_with_fallback
+from verso.functions.text import DEFAULT_GENRE, year_with_fallback
 from verso.schema import PAYLOAD_SCHEMA
 
 
@@ -39,3 +39,17 @@ def payload_records(df: DataFrame, json_col: str = "payload", keep=()) -> DataFr
         ).alias("release_year"),
         p.getField("song").getField("lyrics").alias("lyrics"),
     )
+
+
+def corpus_records_from_payloads(
+    df: DataFrame, json_col: str = "payload", id_col: str = "doc_id", popularity_col: str = "popularity",
+    genre: str = DEFAULT_GENRE,
+) -> DataFrame:
+    """Collector input from landed payloads: the record fields, the year
+    already resolved inside the payload (song date, else album date), and
+    the run's constant label (P11)."""
+    recs = payload_records(df, json_col, keep=(id_col, popularity_col))
+    return recs.select(
+        id_col, "artist_name", "track_name", popularity_col, "release_year",
+        F.lit(genre).alias("genre"), "lyrics",
+    )
