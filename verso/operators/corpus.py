@@ -39,8 +39,10 @@ def matched_records(songs: DataFrame, hits: DataFrame, keys: Sequence[str]) -> D
 
 
 def unmatched_records(songs: DataFrame, hits: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Songs without a hit (the ones the reference skips)."""
-    return songs.join(hits.select(*keys), list(keys), "left_anti")
+    """Songs without a hit (the ones the reference skips). Hits are
+    reduced to distinct keys first (partial aggregate), so a key repeated
+    across many hits does not land in one task."""
+    return songs.join(hits.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def attach_detail_year(
