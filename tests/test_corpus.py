@@ -211,3 +211,16 @@ def test_payload_corpus_end_to_end(spark):
     assert out[1]["lyrics"] == "la la la la la" and out[1]["release_date"] == 2001
     assert out[5]["release_date"] == 1997 and out[6]["release_date"] is None
     assert {r["genre"] for r in out.values()} == {"K-Pop"}
+
+
+def test_build_corpus_skips_songs_without_hit(spark):
+    from verso.plans.corpus import build_corpus
+
+    recs = spark.createDataFrame(
+        [(1, "A", "found", 9, None, "g", "long enough lyrics"), (2, "A", "missing", 8, None, "g", "long enough lyrics"),
+         (3, "A", "found too", 1, None, "g", "long enough lyrics")],
+        "doc_id long, artist_name string, track_name string, popularity long, song_date string, genre string, lyrics string")
+    hits = spark.createDataFrame([("A", "found"), ("A", "found too")], "artist_name string, track_name string")
+    # the limit (k=2) comes before the look-up, so doc 3 never reaches it
+    out = sorted(r["doc_id"] for r in build_corpus(recs, None, top_k=2, hits=hits).collect())
+    assert out == [1]

@@ -1,7 +1,7 @@
 """Build the corpus in the collector's order.
 
-exclude titles (P6) -> top k per artist by popularity (W1) -> year with
-detail fallback (J2 + T7) -> raw length test (P8) -> clean (T1-T6) ->
+exclude titles (P6) -> top k per artist by popularity (W1) -> optional
+search look-up (J1) -> year with detail fallback (J2 + T7) -> raw length test (P8) -> clean (T1-T6) ->
 dedup on artist + title (A4) -> cap at artist boundary (W2).
 
 The per-artist limit comes before the length test and the dedup, as in the
@@ -22,6 +22,7 @@ from verso.operators.corpus import (
     cap_at_target,
     count_per_group,
     dedup_first,
+    matched_records,
     top_per_group,
 )
 from verso.operators.filters import collect_filter, exclude_titles
@@ -32,16 +33,21 @@ from verso.schema import SONG_COLUMNS
 def build_corpus(
     records: DataFrame, detail_years: DataFrame | None = None, order_col: str = "doc_id",
     popularity_col: str = "popularity", top_k: int = SONGS_PER_ARTIST, target: int = TARGET_SONGS,
-    exclude: bool = True,
+    exclude: bool = True, hits: DataFrame | None = None,
 ) -> DataFrame:
     """``records``: order_col, artist_name, track_name, popularity_col,
     genre, lyrics (raw), and either song_date (text holding the song's
     date, may be null; the year is its first 4-digit run, else the detail
     year) or release_year (already resolved, e.g. from a payload).
     ``detail_years``: (detail_id, detail_year), one row per id.
+    ``hits``: optional (artist_name, track_name) look-up; songs without a
+    hit are skipped after the per-artist limit (J1), as the collector skips
+    songs its search does not find.
     Returns order_col plus the five song columns, lyrics cleaned."""
     rows = exclude_titles(records) if exclude else records
     rows = top_per_group(rows, ["artist_name"], [F.desc(popularity_col), F.asc(order_col)], top_k)
+    if hits is not None:
+        rows = matched_records(rows, hits, ["artist_name", "track_name"])
     if "song_date" in rows.columns:  # else release_year is already resolved
         if detail_years is not None:
             rows = attach_detail_year(
