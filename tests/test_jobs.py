@@ -40,3 +40,27 @@ def test_corpus_train_score_jobs(spark):
     a = spark.read.parquet(batch_out).select("doc_id", "predicted_label").collect()
     b = spark.read.parquet(stream_out).select("doc_id", "predicted_label").collect()
     assert len(a) == docs.count() and sorted(a) == sorted(b)
+
+
+def test_stream_carries_rejected_rows(spark):
+    from pyspark.sql import types as T
+
+    from verso.operators.prepare import prepare_text_rows
+    from verso.operators.model import fit_classifier
+    from verso.streaming.score_stream import run_score_stream
+
+    rows = prepare_text_rows(songs(spark, SF_SMALL, with_year=False), keep=("doc_id",))
+    model = fit_classifier(rows, small_settings(vocab_size=80, num_trees=3, max_depth=3, min_df=2.0))
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lyrics", T.StringType())])
+    landing = scratch_path(spark, "job-landing-rejects")
+    spark.createDataFrame([(1, None), (2, "short"), (3, "the the and of the and to be")], schema).write.parquet(landing)
+    out = {r["doc_id"]: r for r in spark.read.parquet(run_score_stream(spark, model, landing, schema)).collect()}
+    assert out[1]["error"] and out[2]["error"] and out[1]["predicted_label"] is None
+    assert out[3]["error"] is None and out[3]["predicted_label"] is not None
+
+
+def test_corpus_job_with_no_rows(spark):
+    docs = read_table(spark, SF_SMALL, "documents").where(F.lit(False))
+    out_csv = scratch_path(spark, "job-empty-corpus")
+    report = jobs.corpus_job(corpus_records_from_documents(docs), None, out_csv)
+    assert report.count() == 0 and not os.path.exists(local_path(out_csv))
