@@ -157,3 +157,10 @@ def test_cross_validate_equals_mllib_validator(spark):
     native = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=3, foldCol="fold").fit(tokens)
     assert all(abs(a - b) < 1e-12 for a, b in zip(ours, native.avgMetrics))
     tokens.unpersist()
+
+
+def test_predicted_label_is_most_probable_class(spark, trained):
+    out = score(trained.model, trained.test).where("error is null").collect()
+    assert out
+    for r in out:
+        assert r["confidence"] == max(r["probabilities"].values())
