@@ -224,3 +224,20 @@ def test_build_corpus_skips_songs_without_hit(spark):
     # the limit (k=2) comes before the look-up, so doc 3 never reaches it
     out = sorted(r["doc_id"] for r in build_corpus(recs, None, top_k=2, hits=hits).collect())
     assert out == [1]
+
+
+def test_prefix_sum_without_aqe_and_many_partitions(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "37")
+        vals = [(f"k{i:03d}", (i * 7) % 11 + 1) for i in range(300)]
+        df = spark.createDataFrame(vals, "k string, v int").repartition(5)
+        got = {r["k"]: r["prior"] for r in exclusive_prefix_sum(df, ["k"], "v", "prior").collect()}
+        running = 0
+        for k, v in sorted(vals):
+            assert got[k] == running
+            running += v
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
