@@ -164,3 +164,14 @@ def test_predicted_label_is_most_probable_class(spark, trained):
     assert out
     for r in out:
         assert r["confidence"] == max(r["probabilities"].values())
+
+
+def test_grid_reaches_the_vocabulary_size(spark):
+    from verso.operators.model import tune_classifier
+    from verso.operators.prepare import prepare_text_rows
+
+    rows = prepare_text_rows(songs(spark, SF_SMALL, with_year=False), keep=("doc_id",))
+    model, avg = tune_classifier(rows, small_settings(num_trees=3, max_depth=3, min_df=2.0),
+                                 vocab_sizes=[5, 60], num_trees=[3], max_depths=[3], num_folds=2)
+    assert len(avg) == 2
+    assert len(model.stages[1].vocabulary) == (5 if avg[0] >= avg[1] else 60)
