@@ -38,10 +38,18 @@ def test_every_query_has_twin_or_is_rows_only():
     assert q - o == ROWS_ONLY
 
 
+SPARK_TYPES = {"string": "str", "int": "int32", "bigint": "int64", "double": "float64"}
+DUCK_TYPES = {"VARCHAR": "str", "INTEGER": "int32", "BIGINT": "int64", "DOUBLE": "float64"}
+
+
 @pytest.mark.parametrize("name", sorted(set(entry.oracle_sql())))
 def test_query_matches_sql_twin(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(entry.oracle_sql()[name])
+    spark_types = {f.name: SPARK_TYPES.get(f.dataType.simpleString()) for f in df.schema.fields}
+    duck_types = {c: DUCK_TYPES.get(str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
     res = duck.execute(entry.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
