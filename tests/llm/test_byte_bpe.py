@@ -1,0 +1,85 @@
+import base64
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import regex
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from verso.llm import byte_bpe as B
+
+PATH = P.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def enc():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def cuts(texts):
+    joined = "".join(texts)
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    stops = np.cumsum(sizes)
+    cp = np.frombuffer(joined.encode("utf-32-le"), dtype="<u4")
+    return B.token_starts(cp, (stops - sizes)[sizes > 0]).tolist()
+
+
+ALPHABET = list("strevlmda'' \n\t.,!1²é漢   \x1ćⅧ")
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(alphabet=ALPHABET, max_size=90), max_size=4))
+def test_boundaries_equal_the_pattern(texts):
+    want, base = [], 0
+    for t in texts:
+        want += [base + m.start() for m in regex.finditer(P.PATTERN, t)]
+        base += len(t)
+    assert cuts(texts) == want
+
+
+def test_scan_over_several_block_levels():
+    rnd = random.Random(3)
+    text = "".join(rnd.choices(ALPHABET, k=20_000))
+    assert cuts([text]) == [m.start() for m in regex.finditer(P.PATTERN, text)]
+
+
+def test_ids_equal_the_library(enc):
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choices(ALPHABET, k=rnd.randint(0, 200))) for _ in range(200)] + ["a" * 3000, "the " * 1000, "ab" * 700, "é" * 900]
+    own = B.Codec(PATH)
+    for t, ids in zip(texts, own.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == enc.encode_ordinary(t)
+        assert own.decode(ids) == t.encode()
+        off = own.offsets(ids)
+        assert off[-1] == len(t.encode())
+        if len(off) > 3:
+            assert own.decode(ids, 1, 3) == t.encode()[off[1] : off[3]]
+
+
+def test_cache_that_overflows_changes_nothing(monkeypatch):
+    monkeypatch.setattr(B, "CACHE_ENTRIES", 3)
+    texts = ["one two three four five six one two", "seven eight two"]
+    assert B.Codec(PATH).encode(texts) == B.codec(PATH).encode(texts)
+
+
+def test_query_rows(spark, enc):
+    rows = [(1, "It's  here, they'll see 12³ été\n\n ", "x"), (2, None, None), (3, "", "x"), (None, "a", "x"), (1, "dup", "x"), (9, "w" * 5000 + " 漢字", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    got = {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in B.digests(df, PATH).collect()}
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    want = set()
+    for d, t, _ in rows:
+        ids = enc.encode_ordinary(t or "")
+        want.add((d, len(ids), sha(np.array(ids, "<u4").tobytes()), sha((t or "").encode())))
+    assert got == want
+    coded = B.encode(df, PATH)
+    back = {(r.doc_id, bytes(r.decoded).decode()) for r in B.decode(coded, PATH).collect()}
+    assert back == {(d, t or "") for d, t, _ in rows}
+    assert coded.filter(F.size("ids") != F.size("offsets")).count() == 0
+    assert B.digests(df.limit(0), PATH).count() == 0

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verso.llm import common, simhash_bk
+from verso.llm import byte_bpe, common, simhash_bk
+
+
+def tokenizer_path(name: str) -> str:
+    """Path of a public vocabulary file; installed on every machine, as Spark is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(common.documents(spark, sf_dir), tokenizer_path("byte_bpe_multi_50k.tiktoken"))
 
 
 def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +25,7 @@ def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_byte_bpe": op6_byte_bpe,
     "op10_simhash_bk": op10_simhash_bk,
 }
 
