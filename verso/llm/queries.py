@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verso.llm import byte_bpe, common, simhash_bk
+from verso.llm import byte_bpe, common, hd_langid, simhash_bk
 
 
 def tokenizer_path(name: str) -> str:
@@ -16,6 +16,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_hd_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    out = hd_langid.identify(docs, ~common.is_held_out("doc_id", 4))
+    return out.select("doc_id", common.is_held_out("doc_id", 4).alias("held_out"), "lang_pred", "score")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(common.documents(spark, sf_dir), tokenizer_path("byte_bpe_multi_50k.tiktoken"))
 
@@ -25,6 +31,7 @@ def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hd_langid": op1_hd_langid,
     "op6_byte_bpe": op6_byte_bpe,
     "op10_simhash_bk": op10_simhash_bk,
 }
