@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verso.llm import byte_bpe, common, hd_langid, simhash_bk
+from verso.llm import byte_bpe, common, hd_langid, repair_ids, simhash_bk
 
 
 def tokenizer_path(name: str) -> str:
@@ -22,6 +22,10 @@ def op1_hd_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", common.is_held_out("doc_id", 4).alias("held_out"), "lang_pred", "score")
 
 
+def op2_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_ids.write_and_read(common.documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(common.documents(spark, sf_dir), tokenizer_path("byte_bpe_multi_50k.tiktoken"))
 
@@ -32,6 +36,7 @@ def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hd_langid": op1_hd_langid,
+    "op2_repair_ids": op2_repair_ids,
     "op6_byte_bpe": op6_byte_bpe,
     "op10_simhash_bk": op10_simhash_bk,
 }
