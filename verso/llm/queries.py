@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verso.llm import byte_bpe, common, hd_langid, repair_ids, simhash_bk
+from verso.llm import byte_bpe, common, hd_langid, repair_ids, simhash_bk, string_tiling
 
 
 def tokenizer_path(name: str) -> str:
@@ -30,6 +30,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(common.documents(spark, sf_dir), tokenizer_path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op7_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return string_tiling.leaks(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bk.near_dedup(common.documents(spark, sf_dir))
 
@@ -38,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hd_langid": op1_hd_langid,
     "op2_repair_ids": op2_repair_ids,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_string_tiling": op7_string_tiling,
     "op10_simhash_bk": op10_simhash_bk,
 }
 
