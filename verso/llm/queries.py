@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verso.llm import byte_bpe, common, hd_langid, license_scan, repair_ids, simhash_bk, string_tiling
+from verso.llm import byte_bpe, common, hd_langid, hmm_lm, license_scan, repair_ids, simhash_bk, string_tiling
 
 
 def tokenizer_path(name: str) -> str:
@@ -34,6 +34,10 @@ def op7_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return string_tiling.leaks(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op8_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_lm.score(common.documents(spark, sf_dir), common.is_held_out("doc_id", 7))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(common.documents(spark, sf_dir))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_repair_ids": op2_repair_ids,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_string_tiling": op7_string_tiling,
+    "op8_hmm_lm": op8_hmm_lm,
     "op9_license_scan": op9_license_scan,
     "op10_simhash_bk": op10_simhash_bk,
 }
