@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verso.llm import byte_bpe, common, hd_langid, hmm_lm, license_scan, repair_ids, simhash_bk, string_tiling
+from verso.llm import byte_bpe, chat_events, common, hd_langid, hmm_lm, license_scan, repair_ids, simhash_bk, string_tiling
 
 
 def tokenizer_path(name: str) -> str:
@@ -26,6 +26,13 @@ def op2_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_ids.write_and_read(common.documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    log = chat_events.events_of_rows(rows.unionByName(chat_events.probe_conversation(spark)))
+    output = common.written(chat_events.render(chat_events.reconstruct(log)), "chat")
+    return chat_events.digests(chat_events.read_back(output))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(common.documents(spark, sf_dir), tokenizer_path("byte_bpe_multi_50k.tiktoken"))
 
@@ -49,6 +56,7 @@ def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hd_langid": op1_hd_langid,
     "op2_repair_ids": op2_repair_ids,
+    "op3_chat_events": op3_chat_events,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_string_tiling": op7_string_tiling,
     "op8_hmm_lm": op8_hmm_lm,
