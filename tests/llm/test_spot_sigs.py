@@ -1,0 +1,102 @@
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from verso.llm import common, queries
+from verso.llm import spot_sigs as S
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_spots(text):
+    """Signatures as (anchor, chain) tuples, by a plain walk over the words."""
+    words = [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
+    out, anchor, content = [], "", []
+    first = True
+    for w in words:
+        if w in S.ANCHORS:
+            anchor = w
+            continue
+        content.append(w)
+        if first or anchor:
+            out.append((("^" if first else "") + anchor, len(content) - 1))
+        first, anchor = False, ""
+    return {(a, *content[i : i + S.CHAIN]) for a, i in out}
+
+
+def jaccard(a, b):
+    return 1.0 if not a and not b else len(a & b) / len(a | b)
+
+
+def brute(rows):
+    docs = sorted({(d, t or "") for d, t in rows}, key=lambda x: (x[0] is None, -(x[0] or 0)))
+    out = {}
+    for i, (d, t) in enumerate(docs):
+        nxt = docs[(i + 1) % len(docs)][1]
+        k = len(t) // 3
+        edited = t[: len(t) - k] + nxt[:k]
+        own = plain_spots(t)
+        out[(d, t)] = (len(t), hashlib.sha256(edited.encode()).hexdigest(), jaccard(own, plain_spots(edited)), jaccard(own, plain_spots(nxt)))
+    return out
+
+
+def test_edited_pairs_equal_brute_force(spark):
+    docs = common.documents(spark, SF).select("doc_id", "text")
+    extra = [(10**9, None, "x"), (10**9 + 1, "", "x"), (10**9 + 2, "the of", "x"), (10**9 + 3, "one", "x"), (10**9 + 4, "été the Cat_and dog", "x"), (None, "no id here the end", "x")]
+    rows = [(r.doc_id, r.text, "x") for r in docs.collect()] + extra
+    rows += [rows[0], rows[5]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, h string").repartition(7)
+    got = S.edited_pairs(df).collect()
+    want = brute([(d, t) for d, t, _ in rows])
+    assert len(got) == len(rows)
+    by_id = {d: w for (d, _), w in want.items()}
+    for r in got:
+        w = by_id[r.doc_id]
+        assert (r.n_chars, r.edited_sha256) == w[:2], r.doc_id
+        assert r.near_edited == pytest.approx(w[2]) and r.near_next == pytest.approx(w[3])
+    texts = {r[0]: r[1] or "" for r in rows}
+    prints = {}
+    for r in got:
+        assert prints.setdefault(texts[r.doc_id], r.fingerprint) == r.fingerprint
+        assert len(r.fingerprint) == 8 * len(plain_spots(texts[r.doc_id]))
+    edited = [r.near_edited for r in got if r.n_chars > 200]
+    assert sum(edited) / len(edited) > 0.3 > 0.1 > sum(r.near_next for r in got if r.n_chars > 200) / len(edited)
+
+
+def test_one_document_and_none(spark):
+    one = spark.createDataFrame([(3, "the quick fox of the wood")], "doc_id long, text string")
+    r = S.edited_pairs(one).first()
+    text = "the quick fox of the wood"
+    assert r.edited_sha256 == hashlib.sha256((text[:-8] + text[:8]).encode()).hexdigest() and r.near_next == 1.0
+    assert S.edited_pairs(one.limit(0)).count() == 0
+
+
+def test_search_equals_brute_force(spark):
+    rnd = random.Random(4)
+    base = [" ".join(rnd.choices(["the", "of", "and", *[f"w{i}" for i in range(30)]], k=rnd.randint(2, 120))) for _ in range(25)]
+    texts = list(base)
+    for t in base:
+        w = t.split()
+        for k in (1, 2, 5):
+            x = list(w)
+            for _ in range(k):
+                x[rnd.randrange(len(x))] = "zz"
+            texts.append(" ".join(x))
+    texts += base[:5] + ["", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pairs, members = S.search(df.filter("doc_id % 3 = 0"), df, 0.6)
+    of = {r.doc_id: r["class"] for r in members.collect()}
+    got = {(r["query"], r.found) for r in pairs.collect()}
+    want = {
+        (of[i], of[j]) for i, a in enumerate(texts) if i % 3 == 0 and plain_spots(a)
+        for j, b in enumerate(texts) if plain_spots(b) and jaccard(plain_spots(a), plain_spots(b)) >= 0.6
+    }
+    assert got == want and len(got) > 30
+
+
+def test_plan_has_no_python(spark):
+    plan = queries.op4_spot_sigs(spark, SF)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and F is not None

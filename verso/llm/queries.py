@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verso.llm import byte_bpe, chat_events, common, hd_langid, hmm_lm, license_scan, repair_ids, simhash_bk, string_tiling
+from verso.llm import byte_bpe, chat_events, common, hd_langid, hmm_lm, license_scan, repair_ids, simhash_bk, spot_sigs, string_tiling
 
 
 def tokenizer_path(name: str) -> str:
@@ -33,6 +33,10 @@ def op3_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_events.digests(chat_events.read_back(output))
 
 
+def op4_spot_sigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_sigs.edited_pairs(common.documents(spark, sf_dir))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(common.documents(spark, sf_dir), tokenizer_path("byte_bpe_multi_50k.tiktoken"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hd_langid": op1_hd_langid,
     "op2_repair_ids": op2_repair_ids,
     "op3_chat_events": op3_chat_events,
+    "op4_spot_sigs": op4_spot_sigs,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_string_tiling": op7_string_tiling,
     "op8_hmm_lm": op8_hmm_lm,
