@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verso.llm import byte_bpe, chat_events, common, hd_langid, hmm_lm, license_scan, repair_ids, simhash_bk, spot_sigs, string_tiling
+from verso.llm import byte_bpe, chat_events, common, hd_langid, hmm_lm, license_scan, pii_weak, repair_ids, simhash_bk, spot_sigs, string_tiling
 
 
 def tokenizer_path(name: str) -> str:
@@ -37,6 +37,10 @@ def op4_spot_sigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spot_sigs.edited_pairs(common.documents(spark, sf_dir))
 
 
+def op5_pii_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_weak.find(common.documents(spark, sf_dir))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(common.documents(spark, sf_dir), tokenizer_path("byte_bpe_multi_50k.tiktoken"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_repair_ids": op2_repair_ids,
     "op3_chat_events": op3_chat_events,
     "op4_spot_sigs": op4_spot_sigs,
+    "op5_pii_weak": op5_pii_weak,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_string_tiling": op7_string_tiling,
     "op8_hmm_lm": op8_hmm_lm,
