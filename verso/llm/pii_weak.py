@@ -14,7 +14,7 @@ The votes of all spans are counted by kind and pattern of votes (at most kinds x
 rows go to the driver, whatever the input). Expectation-maximisation over those counts
 estimates each labeler's reliability and every pattern's probability. The same counts,
 split by span features, train the final classifier (naive Bayes on the probabilities:
-length, digits, neighbours, cue). Candidates of probability ``threshold`` or more join
+length, digits, neighbours, cue, form, gazetteer). Candidates of probability ``threshold`` or more join
 the base spans; one that touches a base span is left out.
 
 Positions are code points. They come from the text between matches, so a text is cut
@@ -188,6 +188,7 @@ def features(s: Column) -> list[Column]:
     values = {
         "length": F.least(F.floor(F.log2(n.cast("double"))), F.lit(7)), "digits": F.floor(4 * digits / n),
         "left": side(F.right(s["left"], F.lit(1))), "right": side(s["right"]), "cue": _cue(s),
+        "form": F.when(~s["ok"], "failed").when(s["base"], "base").otherwise("loose"), "known": votes(s)[1],
     }
     return [F.concat(s["kind"], F.lit(f":{name}="), v.cast("string")) for name, v in values.items()]
 
