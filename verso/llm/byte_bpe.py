@@ -318,21 +318,34 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
     return arrow_map(coded.select("doc_id", "ids"), run, "doc_id long, decoded binary")
 
 
+def tokenized(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256): ids to train on, with the
+    digests of ``digests``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(path)
+        for doc_ids, coded in _encoded(batches, path):
+            sizes = np.array([0, *(len(x) // 4 for x in coded)], dtype=np.int32)
+            flat = np.frombuffer(b"".join(coded), dtype="<i4")
+            ids = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(sizes[1:].astype(np.int64)), ids, *_shas(own, coded)], names=["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"])
+
+    return arrow_map(_narrow(docs), run, "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")
+
+
+def _shas(own: Codec, coded: list[bytes]) -> list[pa.Array]:
+    sha = hashlib.sha256
+    return [pa.array([sha(x).hexdigest() for x in coded], pa.string()), pa.array([sha(own.decode(x)).hexdigest() for x in coded], pa.string())]
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): what ``encode`` then
     ``decode`` give, digested in the task, so that ids and texts stay there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, sha = codec(path), hashlib.sha256
+        own = codec(path)
         for doc_ids, coded in _encoded(batches, path):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    doc_ids,
-                    pa.array([len(x) // 4 for x in coded], pa.int64()),
-                    pa.array([sha(x).hexdigest() for x in coded]),
-                    pa.array([sha(own.decode(x)).hexdigest() for x in coded]),
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            sizes = pa.array([len(x) // 4 for x in coded], pa.int64())
+            yield pa.RecordBatch.from_arrays([doc_ids, sizes, *_shas(own, coded)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return arrow_map(_narrow(docs), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -31,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verso.llm.common import arrow_map
+from verso.llm.common import arrow_map, ship
 
 DIM = 1024
 N = 3
 UNKNOWN = "und"
+MIN_SCORE = 0.05
 _SEED = 20_177
 _CHARS_AT_ONCE = 1_500_000
 _DOCS_AT_ONCE = 500
@@ -159,38 +160,61 @@ def train(docs: DataFrame, dim: int = DIM) -> dict[str, np.ndarray]:
     return dict(sorted(found.items()))
 
 
+class Predictor:
+    """Predictions of texts from prototypes."""
+
+    def __init__(self, prototypes: dict[str, np.ndarray], dim: int = DIM):
+        self.names, self.dim = list(prototypes), dim
+        self.unit = np.stack([v / max(np.linalg.norm(v), 1e-9) for v in prototypes.values()]) if self.names else np.zeros((0, dim))
+        # What all languages share tells none apart; with one language nothing is taken off.
+        apart = self.unit - (self.unit.mean(axis=0) if len(self.names) > 1 else 0.0)
+        self.apart = apart / np.maximum(np.linalg.norm(apart, axis=1, keepdims=True), 1e-9)
+
+    def __call__(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        own, said, score = space(self.dim), [], np.zeros(len(texts))
+        for i, (keys, n) in enumerate(gram_counts(texts, own)):
+            if not self.names or not keys.any():
+                said.append(UNKNOWN)
+                continue
+            v, n = np.zeros(self.dim), n.astype(np.float32)
+            for cut in range(0, len(keys), _CACHED_GRAMS // 2):
+                rows = own.grams(keys[cut : cut + _CACHED_GRAMS // 2])
+                v += n[cut : cut + len(rows)] @ own.vectors[rows]
+            best = int(np.argmax(self.apart @ v))
+            said.append(self.names[best])
+            score[i] = min(1.0, max(0.0, float(self.unit[best] @ v) / max(float(np.linalg.norm(v)), 1e-9)))
+        return said, score
+
+
 def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dim: int = DIM) -> DataFrame:
     """(doc_id, lang_pred, score) of every whole text; score is the cosine with
     the predicted prototype, not below 0."""
-    names = list(prototypes)
-    unit = np.stack([v / max(np.linalg.norm(v), 1e-9) for v in prototypes.values()]) if names else np.zeros((0, dim))
-    # What all languages share tells none apart; with one language nothing is taken off.
-    mean = unit.mean(axis=0) if len(names) > 1 else np.zeros(dim)
-    apart = unit - mean
-    apart /= np.maximum(np.linalg.norm(apart, axis=1, keepdims=True), 1e-9)
+    predictor = Predictor(prototypes, dim)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = space(dim)
         for batch, texts in _slices(batches, 1):
-            found = list(gram_counts(texts, own))
-            said, score = [], np.zeros(len(texts))
-            for i, (keys, n) in enumerate(found):
-                if not len(keys) or not names or not keys.any():
-                    said.append(UNKNOWN)
-                    continue
-                v, n = np.zeros(dim), n.astype(np.float32)
-                for cut in range(0, len(keys), _CACHED_GRAMS // 2):
-                    rows = own.grams(keys[cut : cut + _CACHED_GRAMS // 2])
-                    v += n[cut : cut + len(rows)] @ own.vectors[rows]
-                best = int(np.argmax(apart @ v))
-                said.append(names[best])
-                score[i] = min(1.0, max(0.0, float(unit[best] @ v) / max(float(np.linalg.norm(v)), 1e-9)))
+            said, score = predictor(texts)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(said, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return arrow_map(rows, run, "doc_id long, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: float = MIN_SCORE, dim: int = DIM) -> DataFrame:
+    """``docs`` without the rows whose language cannot be told: no letters, or like no
+    prototype at all (cosine under ``min_score``). No shuffle."""
+    predictor = Predictor(prototypes, dim)
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in _slices(iter([batch]), batch.schema.get_field_index("text")):
+                said, score = predictor(texts)
+                yield part.filter(pa.array([s != UNKNOWN and x >= min_score for s, x in zip(said, score.tolist())], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, training: Column, dim: int = DIM) -> DataFrame:
     """Learn from the rows where ``training`` holds, predict all rows."""
     return predict(docs, train(docs.filter(training), dim), dim)
