@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import functools
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from verso.llm.common import arrow_map, scratch_path
 
 END_ID = 1
-SHARD_TOKENS = 1_000_000
+SHARD_TOKENS = 500_000
 MIN_COUNT = 8
 RULES_A_PASS = 1024
 PASSES = 6
@@ -69,36 +70,42 @@ class WordCache(dict):
 
     def _plain(self, word: str) -> list[int]:
         if not word.isascii():
-            word = "".join(_byte_letters()[b] for b in word.lower().encode())
+            word = word.lower().encode().decode("latin-1").translate(_byte_letters())
         else:
             word = word.lower()
         return [t.id for t in self.model.tokenize(word)]
 
     def __missing__(self, word: str) -> bytes:
-        core = word.rstrip(_TRAILING)
-        if core and len(core) < len(word) and core.isalpha():
+        if word.isalpha():
+            plain = self.direct and (word.isascii() or max(word) < "\u0100")
+            ids = array("I", self._plain(word) if plain else self.whole.encode(word, add_special_tokens=False).ids).tobytes()
+        elif (core := word.rstrip(_TRAILING)) != word and core.isalpha():
             ids = self[core] + self[word[len(core) :]]
-        elif self.direct and word.isalpha() and max(word) < "Ā":
-            ids = np.array(self._plain(word), dtype="<u4").tobytes()
         else:
-            ids = np.array(self.whole.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            ids = array("I", self.whole.encode(word, add_special_tokens=False).ids).tobytes()
         if len(word) <= 64:
             if len(self) >= CACHE_ENTRIES:
                 self.clear()
             self[word] = ids
         return ids
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))), dtype="<u4")
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as little-endian uint32 bytes."""
+        try:  # the normaliser only lower-cases Latin-1: done first, fewer words differ
+            text.encode("latin-1")
+            text = text.lower()
+        except UnicodeEncodeError:
+            pass
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 @functools.lru_cache(maxsize=1)
-def _byte_letters() -> list[str]:
+def _byte_letters() -> dict[int, str]:
     """Byte-level BPE's printable stand-in for each byte: printable Latin-1 bytes
     stand for themselves, the others for code points from 256 on, in order."""
     own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     other = iter(range(256, 512))
-    return [chr(b) if b in own else chr(next(other)) for b in range(256)]
+    return {b: chr(b) if b in own else chr(next(other)) for b in range(256)}
 
 
 @functools.lru_cache(maxsize=2)
@@ -112,21 +119,27 @@ def word_cache(path: str) -> WordCache:
 def compress(ids: np.ndarray, vocab: int, min_count: int = MIN_COUNT, passes: int = PASSES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sequence, rules, lengths): symbol vocab+i expands to the pair rules[i] and
     to lengths[i] ids."""
-    seq = ids.astype(np.int64)
-    rules, size = [], vocab
+    # Pairs are packed in one number; short ones sort faster.
+    short = vocab + passes * RULES_A_PASS <= 1 << 16
+    kind, bits = (np.uint32, 16) if short else (np.uint64, 32)
+    seq = ids.astype(kind)
+    rules, size, low = [], vocab, (1 << bits) - 1
     lengths = np.ones(vocab, dtype=np.int64)
     for _ in range(passes):
         if len(seq) < 2 * min_count:
             break
-        pair = (seq[:-1] << 32) | seq[1:]
+        pair = (seq[:-1] << kind(bits)) | seq[1:]
         order = np.sort(pair)
-        head = np.flatnonzero(np.concatenate([[True], order[1:] != order[:-1]]))
-        count, keys = np.diff(np.append(head, len(order))), order[head]
-        often = np.flatnonzero((count >= min_count) & (keys >> 32 != keys & 0xFFFFFFFF))
-        often = often[np.argsort(-count[often], kind="stable")][: 8 * RULES_A_PASS]
+        head = np.flatnonzero(order[1:] != order[:-1]) + 1  # of all runs but the first
+        head = np.concatenate([[0], head])
+        count = np.diff(np.append(head, len(order)))
+        often = np.flatnonzero(count >= min_count)
+        count, keys = count[often], order[head[often]].astype(np.int64)
+        unequal = keys >> bits != keys & low
+        count, keys = count[unequal], keys[unequal]
         lefts, rights, chosen = set(), set(), []
-        for key in keys[often].tolist():
-            a, b = key >> 32, key & 0xFFFFFFFF
+        for key in keys[np.argsort(-count, kind="stable")[: 8 * RULES_A_PASS]].tolist():
+            a, b = key >> bits, key & low
             if a not in rights and b not in lefts:
                 lefts.add(a)
                 rights.add(b)
@@ -135,20 +148,23 @@ def compress(ids: np.ndarray, vocab: int, min_count: int = MIN_COUNT, passes: in
                     break
         if not chosen:
             break
+        # Rule of a pair: a small table by the ranks of its sides (0: never a side).
         chosen = np.array(chosen, dtype=np.int64)
-        is_left, is_right = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
-        is_left[chosen >> 32] = True
-        is_right[chosen & 0xFFFFFFFF] = True
-        at = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]])
-        by_key = np.argsort(chosen)
-        place = np.minimum(np.searchsorted(chosen[by_key], pair[at]), len(chosen) - 1)
-        fits = chosen[by_key][place] == pair[at]
-        at, which = at[fits], by_key[place[fits]]
-        seq[at] = size + which
+        left, right = chosen >> bits, chosen & low
+        left_rank, right_rank = np.zeros(size, dtype=np.int32), np.zeros(size, dtype=np.int32)
+        left_rank[left], right_rank[right] = 1, 1
+        left_rank, right_rank = np.cumsum(left_rank, dtype=np.int32) * left_rank, np.cumsum(right_rank, dtype=np.int32) * right_rank
+        width = int(right_rank.max()) + 1
+        rule_of = np.full((int(left_rank.max()) + 1) * width, -1, dtype=np.int16)
+        rule_of[left_rank[left] * width + right_rank[right]] = np.arange(len(chosen))
+        left_rank *= width
+        which = rule_of[left_rank[seq[:-1]] + right_rank[seq[1:]]]
+        at = np.flatnonzero(which >= 0)
+        seq[at] = (size + which[at].astype(np.int64)).astype(kind)
         keep = np.ones(len(seq), dtype=bool)
         keep[at + 1] = False
         seq = seq[keep]
-        both = np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1)
+        both = np.stack([left, right], axis=1)
         rules.append(both)
         lengths = np.concatenate([lengths, lengths[both].sum(axis=1)])
         size += len(chosen)
@@ -157,17 +173,24 @@ def compress(ids: np.ndarray, vocab: int, min_count: int = MIN_COUNT, passes: in
 
 
 def expand(seq: np.ndarray, rules: np.ndarray, vocab: int) -> np.ndarray:
-    """All ids that a sequence stands for."""
-    seq = seq.astype(np.int64)
-    while True:
-        big = seq >= vocab
-        if not big.any():
-            return seq
-        out = np.repeat(seq, 1 + big)
-        at = np.flatnonzero(big) + np.arange(int(big.sum()))
-        pairs = rules[seq[big] - vocab]
-        out[at], out[at + 1] = pairs[:, 0], pairs[:, 1]
-        seq = out
+    """All ids that a sequence stands for: every rule is written out once (rules
+    refer to earlier ones only), then each symbol copies its stretch."""
+    out: list[list[int]] = []
+    for a, b in rules.tolist():
+        out.append((out[a - vocab] if a >= vocab else [a]) + (out[b - vocab] if b >= vocab else [b]))
+    sizes = np.array([len(x) for x in out], dtype=np.int64)
+    flat = np.array([i for x in out for i in x], dtype=np.uint32)
+    big = seq >= vocab
+    rule = seq[big].astype(np.int64) - vocab
+    own = np.ones(len(seq), dtype=np.int64)
+    own[big] = sizes[rule]
+    ends = np.cumsum(own)
+    got = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.uint32)
+    got[(ends - own)[~big]] = seq[~big]
+    n = sizes[rule]
+    inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    got[np.repeat((ends - own)[big], n) + inside] = flat[np.repeat((np.cumsum(sizes) - sizes)[rule], n) + inside]
+    return got
 
 
 def read_range(seq: np.ndarray, rules: np.ndarray, lengths: np.ndarray, vocab: int, start: int, stop: int) -> np.ndarray:
@@ -205,22 +228,22 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, shar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, shard = word_cache(tokenizer), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], dtype="<u4")
+        end = np.array([end_id], dtype="<u4").tobytes()
         names = [f.split()[0] for f in _FILE.split(", ")]
         types = {"part": pa.int32(), "shard": pa.int32(), "vocab": pa.int32(), "symbol_bytes": pa.int32(), "n_tokens": pa.int64(), "doc_ids": pa.list_(pa.int64()), "doc_tokens": pa.list_(pa.int64())}
 
-        def row(doc_ids: list, held: list[np.ndarray]) -> pa.RecordBatch:
-            own = {"part": part, "shard": shard, "doc_ids": doc_ids, "doc_tokens": [len(x) for x in held]}
-            own |= shard_row(np.concatenate(held), max(words.vocab, end_id + 1))
+        def row(doc_ids: list, held: list[bytes]) -> pa.RecordBatch:
+            own = {"part": part, "shard": shard, "doc_ids": doc_ids, "doc_tokens": [len(x) // 4 for x in held]}
+            own |= shard_row(np.frombuffer(b"".join(held), dtype="<u4"), max(words.vocab, end_id + 1))
             return pa.RecordBatch.from_arrays([pa.array([own[n]], types.get(n, pa.binary())) for n in names], names=names)
 
         doc_ids, held, size = [], [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.concatenate([words.encode(text.as_py() or ""), end])
+                ids = words.encode(text.as_py() or "") + end
                 doc_ids.append(doc_id)
                 held.append(ids)
-                size += len(ids)
+                size += len(ids) // 4
                 if size >= shard_tokens:
                     yield row(doc_ids, held)
                     doc_ids, held, size, shard = [], [], 0, shard + 1
@@ -240,10 +263,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for r in batch.to_pylist():
                 seq, rules = _numbers(r["sequence"], r["symbol_bytes"]), _numbers(r["rules"], 4).reshape(-1, 2).astype(np.int64)
-                ids = expand(seq, rules, r["vocab"]).astype("<u4")
+                ids = expand(seq, rules, r["vocab"]).astype("<u4", copy=False)
                 n = np.array(r["doc_tokens"], dtype=np.int64)
                 stop = np.cumsum(n)
-                crc = [zlib.crc32(ids[b - k : b].tobytes()) for b, k in zip(stop.tolist(), n.tolist())]
+                crc = [zlib.crc32(ids[b - k : b]) for b, k in zip(stop.tolist(), n.tolist())]
                 cols = [pa.array([r["part"]] * len(n), pa.int32()), pa.array([r["shard"]] * len(n), pa.int32()), pa.array(r["doc_ids"], pa.int64()),
                         pa.array(stop - n), pa.array(n), pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols, names=["part", "shard", "doc_id", "inside", "n_tokens", "ids_crc32"])
