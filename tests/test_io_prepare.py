@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from verso.operators.prepare import hash_split, prepare_rows, prepare_text_rows, with_fold
 from verso.schema import SONG_SCHEMA, MissingColumnsError, require_columns
 from verso.session import scratch_path
-from verso.sources.csv import read_songs_csv, write_songs_csv
+from verso.sources.csv import corrupt_records, read_songs_csv, write_songs_csv
 
 
 def test_csv_round_trip_quotes_commas_newlines(spark):
@@ -37,6 +37,45 @@ def test_csv_bad_year_is_null_not_failure(spark):
     assert back[0]["release_date"] is None and back[0]["lyrics"] == "text text text"
 
 
+def test_csv_columns_by_header_name(spark):
+    path = scratch_path(spark, "test-csv-names")
+    other = spark.createDataFrame(
+        [(0, "la, \"la\" la", "mukesh", "song", "1950", "pop", "x"), (1, "text\nmore", "b", "t", "bad", None, "y")],
+        "id int, lyrics string, artist_name string, track_name string, release_date string, genre string, topic string")
+    write_songs_csv(other.withColumnRenamed("id", ""), path)
+    back = read_songs_csv(spark, path)
+    assert back.schema == SONG_SCHEMA
+    assert sorted(tuple(r) for r in back.collect()) == [("b", "t", None, None, "text\nmore"), ("mukesh", "song", 1950, "pop", 'la, "la" la')]
+    with pytest.raises(MissingColumnsError):
+        write_songs_csv(other.drop("genre"), path)
+        read_songs_csv(spark, path)
+
+
+def test_csv_records_that_do_not_fit_the_header(spark):
+    import os
+
+    from conftest import local_path
+
+    path = scratch_path(spark, "test-csv-corrupt")
+    write_songs_csv(spark.createDataFrame([("a", "t", 1999, "g", "some text")], SONG_SCHEMA).coalesce(1), path)
+    name = next(n for n in os.listdir(local_path(path)) if n.startswith("part-"))
+    with open(f"{local_path(path)}/{name}", "a", encoding="utf-8") as f:
+        f.write('"b","only two"\n')
+    os.unlink(f"{local_path(path)}/.{name}.crc")
+    assert corrupt_records(spark, path) == 1
+    assert [r["artist_name"] for r in read_songs_csv(spark, path).collect()] == ["a"]
+    assert read_songs_csv(spark, path).count() == 1 == read_songs_csv(spark, path).select("artist_name").count()
+
+
+def test_csv_files_with_different_headers_are_an_error(spark):
+    path = scratch_path(spark, "test-csv-mixed")
+    df = spark.createDataFrame([("a", "t", 1999, "g", "some text")], SONG_SCHEMA)
+    df.coalesce(1).write.option("header", True).csv(path)
+    df.select("lyrics", "artist_name", "track_name", "release_date", "genre").coalesce(1).write.mode("append").option("header", True).csv(path)
+    with pytest.raises(Exception, match="header"):
+        read_songs_csv(spark, path).collect()
+
+
 def test_require_columns(spark):
     df = spark.createDataFrame([(1,)], "a int")
     require_columns(df, ["a"])

@@ -1,17 +1,24 @@
-"""CSV sink and source for the song table.
+"""CSV sink and source for the song table.
 
 The reference writes every field quoted with doubled quotes and reads with a
 plain reader, which cuts fields holding a quote and a comma and splits rows
 at newlines. Here both sides agree: ``escape='"'`` and ``multiLine``.
+
+Columns are taken by header name: any order, extra columns ignored, missing
+ones an error. CSV is for import and export (a multi-line file cannot be
+split); the jobs hand tables on as parquet.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verso.functions.text import to_text_or_empty
-from verso.schema import SONG_SCHEMA
+from verso.schema import SONG_SCHEMA, require_columns
+
+CORRUPT = "_corrupt_record"
 
 
 def stringify(df: DataFrame) -> DataFrame:
@@ -44,25 +51,47 @@ def write_songs_csv(df: DataFrame, path: str, stringify_nulls: bool = True, skip
     return True
 
 
-def read_songs_csv(
-    spark: SparkSession, path: str, schema: T.StructType = SONG_SCHEMA
-) -> DataFrame:
-    """S1 with a declared schema (no inference pass over the data).
-
-    A quoted empty field comes back as null; a non-numeric year becomes
-    null instead of failing the read.
-    """
+def _reader(spark: SparkSession):
     return (
-        spark.read.schema(schema)
-        .option("header", True)
+        spark.read.option("header", True)
         .option("escape", '"')
         .option("multiLine", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
     )
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as strings, named by the header (of the first file),
+    plus ``_corrupt_record``: the raw text of a record whose fields do not fit
+    the header, else null. A file of the folder with another header is an error,
+    not a misread."""
+    # As data, because a reader renames empty and repeated names in a header.
+    first = _reader(spark).option("header", False).csv(path).first()
+    names = [v or "" for v in first] if first is not None else []
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+    reader = _reader(spark).schema(schema).option("enforceSchema", False).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    # A record is compared with the whole header, whichever columns are read.
+    return reader.option("columnPruning", False).csv(path)
+
+
+def read_songs_csv(spark: SparkSession, path: str, schema: T.StructType = SONG_SCHEMA) -> DataFrame:
+    """S1 + S3: the columns of ``schema`` by name, cast to its types.
+
+    A column the header lacks raises ``MissingColumnsError``; others are
+    ignored. A quoted empty field comes back as null; a value that does not
+    cast (a non-numeric year) becomes null instead of failing the read.
+    Records that do not fit the header are dropped here; ``corrupt_records``
+    counts them.
+    """
+    rows = require_columns(read_csv_text(spark, path), schema.names)
+    # Spark refuses a query on the marker alone (a count): a column is read beside it.
+    rows = rows.where(F.col(CORRUPT).isNull() & (F.coalesce(F.length(schema.names[0]), F.lit(0)) >= 0))
+    return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def corrupt_records(spark: SparkSession, path: str) -> int:
+    """Number of records whose fields do not fit the header."""
+    rows = read_csv_text(spark, path)
+    # The whole row is read: with the marker column alone nothing would be parsed.
+    return rows.agg(F.sum(F.when(F.col(CORRUPT).isNotNull(), 1).otherwise(0)), F.max(F.xxhash64("*"))).first()[0] or 0
