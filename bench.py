@@ -79,7 +79,7 @@ def main() -> None:
     if os.path.isdir(WARM_DIR) and os.path.abspath(WARM_DIR) != os.path.abspath(SF_DIR):
         for name in HEADLINE:
             QUERIES[name](spark, WARM_DIR).write.format("noop").mode("overwrite").save()
-        warm_rows = prepare_text_rows(songs(spark, WARM_DIR, with_year=False), keep=("doc_id",))
+        warm_rows = prepare_text_rows(songs(spark, WARM_DIR), keep=("doc_id",))
         warm_train, warm_test = hash_split(warm_rows)
         evaluate(fit_classifier(warm_train, small_settings(min_df=2.0)), warm_test).collect()
 
@@ -89,7 +89,7 @@ def main() -> None:
         QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
 
-    rows = prepare_text_rows(songs(spark, SF_DIR, with_year=False), keep=("doc_id",))
+    rows = prepare_text_rows(songs(spark, SF_DIR), keep=("doc_id",))
     train, test = hash_split(rows)
     t0 = time.perf_counter()
     model = fit_classifier(train, ForestSettings())

@@ -213,17 +213,83 @@ def test_payload_corpus_end_to_end(spark):
     assert {r["genre"] for r in out.values()} == {"K-Pop"}
 
 
-def test_build_corpus_skips_songs_without_hit(spark):
+RECORD = "doc_id long, artist_name string, track_name string, popularity long, song_date string, genre string, lyrics string"
+
+
+def test_build_corpus_uses_the_hits_it_finds(spark):
     from verso.plans.corpus import build_corpus
 
     recs = spark.createDataFrame(
-        [(1, "A", "found", 9, None, "g", "long enough lyrics"), (2, "A", "missing", 8, None, "g", "long enough lyrics"),
-         (3, "A", "found too", 1, None, "g", "long enough lyrics")],
-        "doc_id long, artist_name string, track_name string, popularity long, song_date string, genre string, lyrics string")
-    hits = spark.createDataFrame([("A", "found"), ("A", "found too")], "artist_name string, track_name string")
+        [(1, "A", "found", 9, "2001", "g", "own lyrics, not used"), (2, "A", "missing", 8, None, "g", "long enough lyrics"),
+         (3, "A", "found too", 1, None, "g", "long enough lyrics"), (4, "B", "short hit", 1, None, "g", "long enough lyrics")], RECORD)
+    hits = spark.createDataFrame(
+        [(71, "A", "found", "the hit's [x] lyrics"), (70, "A", "found", "the first hit's lyrics"), (72, "A", "found too", "long enough too"),
+         (73, "B", "short hit", "short")], "hit_id long, artist_name string, track_name string, lyrics string")
+    pages = spark.createDataFrame([(70, "in 1987"), (1, "in 1901")], "page_id long, html string")
     # the limit (k=2) comes before the look-up, so doc 3 never reaches it
-    out = sorted(r["doc_id"] for r in build_corpus(recs, None, top_k=2, hits=hits).collect())
-    assert out == [1]
+    out = [tuple(r) for r in build_corpus(recs, pages, top_k=2, hits=hits).collect()]
+    assert out == [(1, "A", "found", 2001, "g", "the first hit's lyrics")]
+    undated = recs.withColumn("song_date", F.lit(None).cast("string"))
+    assert build_corpus(undated, pages, top_k=2, hits=hits).first()["release_date"] == 1987  # the hit's detail record
+
+
+def collector_loop(records, artists, target, top_k=10):
+    """The collector's loop, in plain Python: (doc_id, ...) in order of collection."""
+    out, seen = [], set()
+    for artist in artists:
+        own = sorted((r for r in records if r[1] == artist and not any(t in (r[2] or "").lower() for t in ("remix", "live", "cover", "instrumental"))),
+                     key=lambda r: (-r[3], r[0]))[:top_k]
+        for r in own:
+            if r[6] and len(r[6]) >= 10 and (artist, r[2]) not in seen:
+                seen.add((artist, r[2]))
+                out.append(r[0])
+        if len(out) >= target:
+            break
+    return sorted(out)
+
+
+@pytest.mark.parametrize("target", [1, 7, 20, 1000])
+def test_build_corpus_equals_the_collector_loop(spark, target):
+    from verso.plans.corpus import build_corpus
+
+    rnd = random.Random(21)
+    names = ["zed", "abba", None, "mid", "Beat", "zz"]
+    records = []
+    for i in range(300):  # popularity and id disagree; titles repeat; some texts are short
+        records.append((i, rnd.choice(names), rnd.choice(["one", "two", "three", "four Live", "five", "six", None]) , rnd.randint(0, 40),
+                        rnd.choice([None, "1999-01-01", "x"]), "g", rnd.choice(["long enough lyrics", "short", None, "another long text"])))
+    df = spark.createDataFrame(records, RECORD).repartition(7)
+    by_name = sorted({r[1] for r in records}, key=lambda a: (a is not None, a))
+    got = sorted(r["doc_id"] for r in build_corpus(df, None, target=target).collect())
+    assert got == collector_loop(records, by_name, target)
+    listed = ["mid", "absent", "zz", "abba"]
+    got = sorted(r["doc_id"] for r in build_corpus(df, None, target=target, artists=listed).collect())
+    assert got == collector_loop(records, listed, target)
+
+
+def test_build_corpus_without_limits_keeps_every_distinct_song(spark):
+    from verso.plans.corpus import build_corpus
+
+    records = [(i, "a" if i % 2 else None, f"t{i % 30}", i, None, "g", "long enough lyrics") for i in range(200)]
+    out = build_corpus(spark.createDataFrame(records, RECORD), None, top_k=None, target=None).collect()
+    assert len(out) == 30
+
+
+def test_no_text_is_shuffled_before_the_winners_are_known(spark):
+    from verso.plans.corpus import corpus_records_from_documents, kept_songs
+
+    docs = spark.createDataFrame([(i, f"text {i} long enough", "en", f"s{i % 3}", 20) for i in range(50)], "doc_id long, text string, lang string, source string, n_chars long")
+    import verso.plans.corpus as plan
+
+    seen = []
+    real = plan.materialize
+    plan.materialize = lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or real(df)
+    try:
+        kept_songs(corpus_records_from_documents(docs)).count()
+    finally:
+        plan.materialize = real
+    above = [line for line in seen[0].split("\n") if "Exchange" in line or "Sort " in line]
+    assert above and not any("text#" in line or "lyrics#" in line or "track_name#" in line for line in above)
 
 
 def test_prefix_sum_without_aqe_and_many_partitions(spark):

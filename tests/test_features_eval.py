@@ -36,6 +36,26 @@ def test_term_stats_brute_force(spark, tokens):
     assert got == {w: (tf[w], df[w]) for w in tf}
 
 
+def test_row_counts_brute_force(spark, tokens):
+    from collections import Counter
+
+    odd = spark.createDataFrame([(-1, []), (-2, ["", "", "b"])], "doc_id long, words array<string>")
+    both = tokens.select("doc_id", "words").unionByName(odd)
+    want = {(r["doc_id"], w, n) for r in both.collect() for w, n in Counter(r["words"]).items()}
+    rows = feat.exploded_counts(feat.row_term_counts(both))
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    got = [tuple(r) for r in rows.collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_vocabulary_does_not_depend_on_the_fan_in(spark, tokens):
+    stats = feat.term_stats(tokens).cache()
+    lists = [[tuple(r) for r in feat.vocabulary(stats, 200, 2.0, fan_in=n).orderBy("index").collect()] for n in (1, 3, 16)]
+    assert lists[0] == lists[1] == lists[2]
+    brute = sorted(((r["term"], r["tf"], r["df"]) for r in stats.collect() if r["df"] >= 2), key=lambda r: (-r[1], r[0]))[:200]
+    assert [x[:3] for x in lists[0]] == brute
+
+
 def test_vocabulary_equals_countvectorizer_set(spark, tokens):
     vocab = [r["term"] for r in feat.vocabulary(feat.term_stats(tokens), 500, 5.0).orderBy("index").collect()]
     cv = CountVectorizer(inputCol="words", outputCol="raw", vocabSize=500, minDF=5.0).fit(tokens)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF_SMALL
-from verso.operators.model import build_pipeline, fit_classifier, small_settings
+from verso.operators.model import build_pipeline, fit_classifier, small_settings, tune_classifier
 from verso.operators.score import score, score_json
 from verso.plans.training import train_and_evaluate
 from verso.session import scratch_path
@@ -16,7 +16,7 @@ from verso.streaming.score_stream import run_score_stream
 
 @pytest.fixture(scope="module")
 def trained(spark):
-    s = songs(spark, SF_SMALL, with_year=False)
+    s = songs(spark, SF_SMALL)
     return train_and_evaluate(s, small_settings(vocab_size=300, num_trees=10, max_depth=4, min_df=2.0))
 
 
@@ -78,8 +78,8 @@ def test_stream_equals_batch(spark, trained):
 
 
 def test_fit_on_one_partition_input(spark):
-    s = songs(spark, SF_SMALL, with_year=False).select("lyrics", "genre").coalesce(1)
-    model = fit_classifier(s, small_settings(vocab_size=100, num_trees=3, max_depth=3, min_df=2.0), min_partitions=4)
+    s = songs(spark, SF_SMALL).select("lyrics", "genre").coalesce(1)
+    model = fit_classifier(s, small_settings(vocab_size=100, num_trees=3, max_depth=3, min_df=2.0))
     assert model.transform(s.limit(5)).count() == 5
 
 
@@ -98,26 +98,34 @@ def test_tune_and_merge_small_grid(spark):
     from verso.plans.training import train_merged
     from verso.operators.model import tune_classifier
 
-    s = songs(spark, SF_SMALL, with_year=False)
+    s = songs(spark, SF_SMALL)
     rows = prepare_text_rows(s, keep=("doc_id",))
     settings = small_settings(vocab_size=100, num_trees=4, min_df=2.0)
     model, avg = tune_classifier(rows, settings, vocab_sizes=[100], num_trees=[4], max_depths=[2, 4], num_folds=2)
     assert len(avg) == 2 and all(0.0 <= a <= 1.0 for a in avg)
     assert type(model.stages[-1]).__name__ == "RandomForestClassificationModel"
     primary, secondary = s.where(F.col("genre") == "en"), s.where(F.col("genre") != "en")
-    _, metrics, avg2 = train_merged(primary, secondary, settings, vocab_sizes=[100], num_trees=[4],
-                                    max_depths=[3], num_folds=2)
-    m = metrics.collect()[0]
-    assert len(avg2) == 1 and m["n"] > 0
-
-
-def test_fixed_layout_makes_forest_repeatable(spark):
-    s = songs(spark, SF_SMALL, with_year=False).select("doc_id", "lyrics", "genre")
+    grid = dict(vocab_sizes=[100], num_trees=[4], max_depths=[3], num_folds=2)
+    merged = train_merged(primary, secondary, settings, **grid)
+    assert len(merged.cv_f1) == 1 and merged.metrics is None
+    # fitted on every row of both corpora: the label indexer saw them all
+    assert sorted(model_labels(merged.model)) == ["de", "en", "es", "fr"] and merged.rows.count() == rows.count()
+    held = train_merged(primary, secondary, settings, hold_out=True, **grid)
+    assert 0 < held.metrics.first()["n"] < rows.count()
+    same = [x.model.stages[-1].toDebugString.split("\n")[1:] for x in (merged, held)]
+    assert same[0] == same[1]  # measuring does not change the model
+
+
+def test_forest_does_not_depend_on_the_input_layout(spark):
+    s = songs(spark, SF_SMALL).select("doc_id", "lyrics", "genre")
     settings = small_settings(vocab_size=100, num_trees=5, max_depth=4, min_df=2.0)
-    a = fit_classifier(s.repartition(3), settings, layout=("doc_id", 4))
-    b = fit_classifier(s.repartition(7), settings, layout=("doc_id", 4))
+    a, b = (fit_classifier(s.repartition(n), settings) for n in (4, 16))
     # first line holds the model uid
     assert a.stages[-1].toDebugString.split("\n")[1:] == b.stages[-1].toDebugString.split("\n")[1:]
+    scored = [sorted(map(str, score(m, s).collect())) for m in (a, b)]
+    assert scored[0] == scored[1]
+    tuned = [tune_classifier(s.repartition(n), settings, vocab_sizes=[50, 100], num_trees=[4], max_depths=[3], num_folds=2)[1] for n in (4, 16)]
+    assert tuned[0] == tuned[1]
 
 
 def test_unseen_and_rare_classes(spark, trained):
@@ -130,7 +138,7 @@ def test_unseen_and_rare_classes(spark, trained):
     m = evaluate(trained.model, test).collect()[0]
     assert m["n"] == trained.test.count() + 1
     # a one-row class cannot be in every fold; the indexer is fitted first
-    rows = songs(spark, SF_SMALL, with_year=False).select("doc_id", "lyrics", "genre").union(
+    rows = songs(spark, SF_SMALL).select("doc_id", "lyrics", "genre").union(
         spark.createDataFrame([(10**9, "la la la la la la la", "rare")], "doc_id long, lyrics string, genre string"))
     model, avg = tune_classifier(rows, small_settings(vocab_size=50, num_trees=3, max_depth=3, min_df=2.0),
                                  vocab_sizes=[50], num_trees=[3], max_depths=[3], num_folds=2)
@@ -144,15 +152,16 @@ def test_cross_validate_equals_mllib_validator(spark):
     from pyspark.ml.feature import Tokenizer
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
-    from verso.operators.model import cross_validate, make_stages
+    from verso.operators.model import cross_validate, grid_points, make_stages
     from verso.operators.prepare import with_fold
 
-    s = with_fold(songs(spark, SF_SMALL, with_year=False).select("doc_id", "lyrics", "genre"), folds=3)
+    s = with_fold(songs(spark, SF_SMALL).select("doc_id", "lyrics", "genre"), folds=3)
     tokens = Tokenizer(inputCol="lyrics", outputCol="words").transform(s.repartition(4)).persist(StorageLevel.MEMORY_AND_DISK)
     st = make_stages(small_settings(vocab_size=80, num_trees=4, max_depth=3, min_df=2.0))
-    pipe = Pipeline(stages=[st.tfidf, st.indexer.fit(tokens), st.forest])
-    grid = ParamGridBuilder().addGrid(st.forest.maxDepth, [2, 4]).build()
-    ours = cross_validate(pipe, grid, tokens, 3, "fold", parallelism=2)
+    indexer = st.indexer.fit(tokens)
+    pipe = Pipeline(stages=[st.tfidf, indexer, st.forest])
+    grid = ParamGridBuilder().addGrid(st.tfidf.vocabSize, [40, 80]).addGrid(st.forest.numTrees, [4]).addGrid(st.forest.maxDepth, [2, 4]).build()
+    ours = cross_validate(st, grid_points([40, 80], [4], [2, 4]), indexer.transform(tokens), 3, "fold", parallelism=2)
     ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="f1")
     native = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=3, foldCol="fold").fit(tokens)
     assert all(abs(a - b) < 1e-12 for a, b in zip(ours, native.avgMetrics))
@@ -170,7 +179,7 @@ def test_grid_reaches_the_vocabulary_size(spark):
     from verso.operators.model import tune_classifier
     from verso.operators.prepare import prepare_text_rows
 
-    rows = prepare_text_rows(songs(spark, SF_SMALL, with_year=False), keep=("doc_id",))
+    rows = prepare_text_rows(songs(spark, SF_SMALL), keep=("doc_id",))
     model, avg = tune_classifier(rows, small_settings(num_trees=3, max_depth=3, min_df=2.0),
                                  vocab_sizes=[5, 60], num_trees=[3], max_depths=[3], num_folds=2)
     assert len(avg) == 2

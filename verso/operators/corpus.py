@@ -4,7 +4,7 @@
 Skew notes (one artist or one title may hold a third of all rows):
 
 * top-k uses ``row_number() <= k``; Spark adds a partial group limit before
-  the shuffle, so a hot group sends at most k rows per map task.
+  the shuffle, so a hot group sends at most k narrow rows per map task.
 * dedup is a ``min_by`` aggregate, which is partially aggregated map-side:
   a hot key sends one row per map task.
 * the cap counts per group (partial aggregate) and never sees songs in one
@@ -24,9 +24,11 @@ from verso.schema import SONG_COLUMNS
 # Collection settings of the reference.
 TARGET_SONGS = 100
 SONGS_PER_ARTIST = 10
-# Past this many groups the kept-group list is joined without a hint and
-# AQE chooses the strategy from runtime sizes.
-_BROADCAST_KEPT_MAX = 1_000_000
+
+
+def text_key(c: Column | str) -> Column:
+    """A title as a short key: SHA-256 of the whole text (null stays null)."""
+    return F.sha2(F.col(c) if isinstance(c, str) else c, 256)
 
 
 def matched_records(songs: DataFrame, hits: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -45,19 +47,21 @@ def unmatched_records(songs: DataFrame, hits: DataFrame, keys: Sequence[str]) ->
     return songs.join(hits.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def attach_detail_year(
-    songs: DataFrame, detail_years: DataFrame, song_key: str, detail_key: str,
-    year_col: str, out_col: str = "release_year", song_year: Column | None = None,
-) -> DataFrame:
-    """J2 + T7: left look-up of a detail year; ``song_year`` (if given) wins.
+def best_hits(hits: DataFrame, hit_id: str = "hit_id") -> DataFrame:
+    """(artist_name, _title, hit_id): of several hits for an artist and a title the
+    smallest id (partial aggregate, so a hot key sends one row per map task)."""
+    keyed = hits.select(hit_id, "artist_name", text_key("track_name").alias("_title"))
+    return keyed.groupBy("artist_name", "_title").agg(F.min(hit_id).alias(hit_id))
 
-    ``detail_years`` must hold one row per ``detail_key`` (see
-    ``sources.tables.page_years``)."""
-    joined = songs.join(
-        detail_years, songs[song_key] == detail_years[detail_key], "left"
-    ).drop(detail_years[detail_key])
-    year = F.col(year_col) if song_year is None else F.coalesce(song_year, F.col(year_col))
-    return joined.withColumn(out_col, year).drop(year_col)
+
+def search_hits(songs: DataFrame, hits: DataFrame, id_col: str = "doc_id", hit_id: str = "hit_id") -> DataFrame:
+    """J1 as the collector does it: each song is looked up by title and artist,
+    and the hit's own id is what the collector goes on with (its title, lyrics
+    and detail record). ``songs`` and ``hits`` have artist_name and track_name.
+    Returns (id_col, hit_id); songs without a hit are skipped. Titles meet as
+    keys, so no text is shuffled."""
+    keyed = songs.select(id_col, "artist_name", text_key("track_name").alias("_title"))
+    return keyed.join(best_hits(hits, hit_id), ["artist_name", "_title"]).select(id_col, hit_id)
 
 
 def top_per_group(
@@ -74,17 +78,19 @@ def top_per_group(
 
 
 def dedup_first(
-    df: DataFrame, key_cols: Sequence[str] = ("artist_name", "track_name"), order_col: str = "doc_id",
+    df: DataFrame, key_cols: Sequence[str] = ("artist_name", "track_name"), order_col: Column | str = "doc_id",
 ) -> DataFrame:
-    """One row per key, the first in ``order_col`` (collection
-    order). Exact and case-sensitive; the key is the column pair, not a
-    joined string. Repeatable under any partitioning.
+    """One row per key, the first in ``order_col`` (a column or an
+    expression, e.g. a struct, that orders the collection). Exact and
+    case-sensitive; the key is the column pair, not a joined string.
+    Repeatable under any partitioning.
 
     Every non-key column travels in the ``min_by`` struct, so project to the
     columns you need first."""
     keys = list(key_cols)
     rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("_first")
+    order = F.col(order_col) if isinstance(order_col, str) else order_col
+    first = F.min_by(F.struct(*[F.col(c) for c in rest]), order).alias("_first")
     return df.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*df.columns)
 
 
@@ -102,14 +108,15 @@ def totals(df: DataFrame, group_col: str = "artist_name") -> DataFrame:
 
 def kept_groups(
     df: DataFrame, group_col: str = "artist_name", order_col: str | None = None,
-    target: int = TARGET_SONGS,
+    target: int | None = TARGET_SONGS,
 ) -> DataFrame:
     """The groups a collector keeps when it takes groups in order
-    and stops after the group that brings the total to ``target``.
+    and stops after the group that brings the total to ``target`` (None: never).
 
     A group is kept when the rows of all groups before it number fewer than
     ``target``; so the total may pass ``target``. Returns one row per kept
-    group with its row count and the count before it.
+    group with its row count and the count before it. A null group is a group
+    like any other and comes first.
     """
     order_col = order_col or group_col
     per_group = df.groupBy(group_col).agg(
@@ -118,22 +125,21 @@ def kept_groups(
     )
     order = [group_col] if order_col == group_col else ["_order", group_col]
     with_prior = exclusive_prefix_sum(per_group, order, "songs", "prior_songs")
-    return with_prior.where(F.col("prior_songs") < target).drop(
-        *([] if order_col == group_col else ["_order"])
-    )
+    if target is not None:
+        with_prior = with_prior.where(F.col("prior_songs") < target)
+    return with_prior.drop(*([] if order_col == group_col else ["_order"]))
 
 
 def cap_at_target(
     df: DataFrame, group_col: str = "artist_name", order_col: str | None = None,
-    target: int = TARGET_SONGS,
+    target: int | None = TARGET_SONGS,
 ) -> DataFrame:
-    """Rows of the kept groups only."""
-    kept = kept_groups(df, group_col, order_col, target).select(group_col)
-    # Every group in the count has at least one row, so at most ``target``
-    # groups are kept: a proven bound for the broadcast.
-    if target <= _BROADCAST_KEPT_MAX:
-        kept = F.broadcast(kept)
-    return df.join(kept, group_col, "left_semi")
+    """Rows of the kept groups only (null-safe). ``df`` is read twice, for
+    the counts and for the rows: pass a materialized, narrow frame."""
+    if target is None:
+        return df
+    kept = kept_groups(df, group_col, order_col, target).select(F.col(group_col).alias("_kept"))
+    return df.join(kept, F.col(group_col).eqNullSafe(F.col("_kept")), "left_semi")
 
 
 def merge_corpora(first: DataFrame, second: DataFrame, columns: Sequence[str] = SONG_COLUMNS) -> DataFrame:

@@ -64,22 +64,38 @@ def doc_term_counts(tokens_df: DataFrame, id_col: str = "doc_id", tokens_col: st
     )
 
 
-def term_stats_from_counts(counts: DataFrame) -> DataFrame:
-    """A6 from per-document counts: lets a plan that needs both (TF-IDF per
-    document) tokenise once and share the (doc, term) exchange."""
-    return counts.groupBy("term").agg(
-        F.sum("tf").cast("bigint").alias("tf"), F.count(F.lit(1)).cast("bigint").alias("df")
-    )
+def row_term_counts(tokens_df: DataFrame, tokens_col: str = "words", out_col: str = "counts") -> DataFrame:
+    """Adds ``out_col``: array of (term, tf), the counts of one document's tokens.
+
+    Row-local: the tokens are sorted, and a term's count is the distance between
+    the first places of its run and the next. Nothing is shuffled."""
+    ordered = tokens_df.withColumn("_sorted", F.sort_array(tokens_col))
+    shifted = F.concat(F.array(F.lit(None).cast("string")), F.col("_sorted"))
+    pairs = F.arrays_zip(F.col("_sorted").alias("term"), F.slice(shifted, F.lit(1), F.size("_sorted")).alias("before"))
+    places = F.transform(pairs, lambda p, i: F.struct(p["term"].alias("term"), i.alias("at"), p["term"].eqNullSafe(p["before"]).alias("again")))
+    heads = ordered.withColumn("_heads", F.filter(places, lambda h: ~h["again"]))
+    ends = F.concat(F.slice("_heads.at", F.lit(2), F.size("_heads")), F.array(F.size("_sorted")))
+    counts = F.zip_with("_heads", ends, lambda h, end: F.struct(h["term"].alias("term"), (end - h["at"]).cast("bigint").alias("tf")))
+    return heads.withColumn(out_col, F.when(F.size("_sorted") > 0, counts).otherwise(F.expr("cast(array() as array<struct<term:string,tf:bigint>>)"))).drop("_sorted", "_heads")
+
+
+def exploded_counts(counted: DataFrame, id_col: str = "doc_id", counts_col: str = "counts") -> DataFrame:
+    """(id_col, term, tf) from ``row_term_counts``. The outer explode keeps
+    Catalyst from inferring a filter on the array's size, which would compute
+    the counts twice."""
+    rows = counted.select(id_col, F.explode_outer(counts_col).alias("_c"))
+    return rows.where(F.col("_c").isNotNull()).select(id_col, "_c.term", "_c.tf")
 
 
 def vocabulary(stats: DataFrame, vocab_size: int = VOCAB_SIZE, min_df: float = MIN_DF,
-               n_docs: Column | None = None) -> DataFrame:
+               n_docs: Column | None = None, fan_in: int = 16) -> DataFrame:
     """M3 / L3: terms in at least ``min_df`` documents, the ``vocab_size``
     largest by total count; ties by term, so the list is repeatable.
 
-    The top-k runs as a per-partition top-k plus a merge of at most
-    ``vocab_size`` rows per partition; the index is numbered over those
-    ``vocab_size`` rows only.
+    The top-k has two levels: the best of each of ``fan_in`` hash groups of
+    terms (limited per map task first), then the best of those, so the last
+    task sees at most ``fan_in`` x ``vocab_size`` rows however many tasks
+    there were. The index is numbered over ``vocab_size`` rows only.
     """
     if min_df >= 1.0:
         kept = stats.where(F.col("df") >= F.lit(min_df))
@@ -87,8 +103,11 @@ def vocabulary(stats: DataFrame, vocab_size: int = VOCAB_SIZE, min_df: float = M
         if n_docs is None:
             raise ValueError("a fractional min_df needs n_docs")
         kept = stats.where(F.col("df") >= F.lit(min_df) * n_docs)
-    top = kept.orderBy(F.desc("tf"), F.asc("term")).limit(vocab_size)
-    idx = F.row_number().over(Window.orderBy(F.desc("tf"), F.asc("term"))) - 1
+    order = [F.desc("tf"), F.asc("term")]
+    group = kept.withColumn("_group", F.pmod(F.xxhash64("term"), F.lit(fan_in)))
+    best = group.withColumn("_rank", F.row_number().over(Window.partitionBy("_group").orderBy(*order))).where(F.col("_rank") <= vocab_size)
+    top = best.drop("_group", "_rank").orderBy(*order).limit(vocab_size)
+    idx = F.row_number().over(Window.orderBy(*order)) - 1
     return top.withColumn("index", idx.cast("int"))
 
 

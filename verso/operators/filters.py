@@ -12,10 +12,8 @@ from verso.functions.text import (
     DEFAULT_GENRE,
     DEFAULT_YEAR,
     RAW_MIN_CHARS,
-    SCORE_MIN_CHARS,
     default_year,
     has_min_chars,
-    reject_reason,
     title_exclusion_pattern,
 )
 from verso.schema import SONG_COLUMNS
@@ -42,14 +40,6 @@ def collect_filter(df: DataFrame, text_col: str = "lyrics", min_chars: int = RAW
     return df.where(has_min_chars(text_col, min_chars))
 
 
-def with_reject_reason(
-    df: DataFrame, text_col: str = "lyrics", min_chars: int = SCORE_MIN_CHARS,
-    out_col: str = "error",
-) -> DataFrame:
-    """Flag too-short input in ``out_col``; no row is dropped."""
-    return df.withColumn(out_col, reject_reason(text_col, min_chars))
-
-
 def tag_constant_label(df: DataFrame, genre: str = DEFAULT_GENRE, col: str = "genre") -> DataFrame:
     """Every record of one collection run carries the same label."""
     return df.withColumn(col, F.lit(genre))

@@ -1,25 +1,29 @@
 """Registered queries over the driver tables, and their DuckDB twins.
 
-Every query reads whole tables (no id subsets, no row caps; the only
-limits are the features themselves: top-10 per artist, the 100-song cap and
-the 10,000-term vocabulary). Doubles are rounded to 6 places on both sides
-so the value hash does not depend on summation order.
+Every query reads whole tables and whole texts (no id subsets, no row caps; the
+only limits are the features themselves: top-10 per artist, the 100-song cap and
+the 10,000-term vocabulary) and uses the reference's settings. Doubles are rounded
+to 6 places on both sides so the value hash does not depend on summation order.
+Where the driver tables hold nothing for a rule to act on, the query derives its
+input from them by id (a bracket, a title suffix, a payload), and so does the twin.
 """
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verso.functions.text import (
     DEFAULT_GENRE,
+    SITE_ARTIFACT,
     clean_lyrics,
     first_year,
     json_field,
     reject_reason,
+    request_text,
     to_text_or_empty,
 )
 from verso.operators import corpus as corp
@@ -33,41 +37,45 @@ from verso.operators.filters import (
     to_song_schema,
     with_default_year,
 )
-from verso.operators.model import small_settings
+from verso.operators.model import ForestSettings, grid_points, tune_classifier
 from verso.operators.prepare import (
+    TRAIN_BUCKETS,
     class_distribution,
     hash_bucket,
+    hash_split,
     prepare_rows,
     prepare_text_rows,
-    TRAIN_BUCKETS,
 )
-from verso.operators.score import decode_label, labels_array, score, score_json, percent
-from verso.plans.corpus import build_corpus, corpus_from_documents, corpus_report
-from verso.plans.training import train_and_evaluate, train_merged
-from verso.session import scratch_path, spread
-from verso.schema import SONG_COLUMNS
+from verso.operators.score import decode_label, labels_array, percent, score, score_json
+from verso.plans.corpus import build_corpus, corpus_from_documents, corpus_records_from_documents, corpus_report
+from verso.plans.training import evaluate, train_and_evaluate, train_merged
+from verso.schema import SONG_COLUMNS, SONG_SCHEMA
+from verso.session import materialize, scratch_path, spread
 from verso.sources.csv import read_songs_csv, write_songs_csv
 from verso.sources.models import load_model, save_model
 from verso.sources.payload import corpus_records_from_payloads, payload_records
-from verso.sources.tables import read_table, songs
+from verso.sources.tables import read_table, song_years, songs
 from verso.streaming.score_stream import run_score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 ROUND = 6
+F1_FLOOR = 0.5  # of a fit on the whole table; a check that it learned, not a target
 
 
-def _docs(spark, d, key="doc_id"):
+def _docs(spark, d):
     # documents is the one wide text table; a file with a single row group
     # arrives as one split, so spread it (a no-op for inputs already split
     # into many partitions).
-    return spread(read_table(spark, d, "documents"), key=key)
+    return spread(read_table(spark, d, "documents"))
 
 
 # --------------------------------------------------------------- text (T*)
 
 def q_clean_lyrics(spark, d):
-    return _docs(spark, d).select("doc_id", clean_lyrics("text").alias("lyrics"))
+    """A third of the texts get the site artifact and section headers."""
+    marked = F.concat(F.lit("[Verse 1]"), F.col("text"), F.lit(" [a\n[b] " + SITE_ARTIFACT))
+    return _docs(spark, d).select("doc_id", clean_lyrics(F.when(F.col("doc_id") % 3 == 0, marked).otherwise(F.col("text"))).alias("lyrics"))
 
 
 def q_release_year(spark, d):
@@ -75,13 +83,12 @@ def q_release_year(spark, d):
 
 
 def q_release_year_fallback(spark, d):
-    s = songs(spark, d, with_year=True)
-    return s.select("doc_id", F.col("release_date").alias("release_year"))
+    return song_years(spark, d).withColumnRenamed("release_date", "release_year")
 
 
 def q_tokenize(spark, d):
-    tokens = feat.tokenize(_docs(spark, d).select("doc_id", "text"), "text", "words")
-    return feat.doc_term_counts(tokens, "doc_id", "words").withColumnRenamed("tf", "n")
+    counts = feat.row_term_counts(feat.tokenize(_docs(spark, d).select("doc_id", "text"), "text", "words"))
+    return feat.exploded_counts(counts).withColumnRenamed("tf", "n")
 
 
 def q_validate_input(spark, d):
@@ -89,7 +96,7 @@ def q_validate_input(spark, d):
 
 
 def q_default_year(spark, d):
-    return with_default_year(songs(spark, d)).select("doc_id", "release_date")
+    return with_default_year(song_years(spark, d)).select("doc_id", "release_date")
 
 
 def q_stringify_nulls(spark, d):
@@ -98,28 +105,40 @@ def q_stringify_nulls(spark, d):
 
 def q_percent_rounding(spark, d):
     li = read_table(spark, d, "lineitem")
-    return li.select("l_orderkey", "l_linenumber", percent(F.col("l_discount")).alias("pct"))
+    return li.select("l_orderkey", "l_linenumber", percent(F.col("l_extendedprice") / 100000.0).alias("pct"))
 
 
 def q_json_payload_fields(spark, d):
-    ev = read_table(spark, d, "events")
-    parsed = payload_records(ev, "props", keep=("event_id", "props"))
-    return parsed.select(
-        "event_id",
-        json_field("props", "$.k").alias("k"),
+    landed = landed_payloads(spark, d)
+    return payload_records(landed, "payload", keep=("doc_id", "payload")).select(
+        "doc_id",
+        json_field("payload", "$.artist.name").alias("artist_field"),
         F.coalesce("artist_name", F.lit("")).alias("artist_name"),
         F.coalesce("release_year", F.lit("")).alias("release_year"),
+        json_field("payload", "$.song.none").alias("missing_field"),
     )
 
 
+def q_request_text(spark, d):
+    """Requests: even ids send JSON (every third of all ids without the field), odd
+    ids a form field."""
+    docs = _docs(spark, d)
+    body = F.when(F.col("doc_id") % 3 == 0, F.lit('{"other": 1}')).otherwise(F.to_json(F.struct(F.col("text").alias("lyrics"))))
+    form = F.when(F.col("doc_id") % 3 != 0, F.col("text"))
+    return docs.select("doc_id", request_text(F.col("doc_id") % 2 == 0, body, form).alias("lyrics"))
+
+
 # ------------------------------------------------------- corpus (P*, J*, A*, W*)
 
 def q_collect_filter(spark, d):
-    return collect_filter(songs(spark, d, False)).select("doc_id", "artist_name", "track_name")
+    return collect_filter(songs(spark, d)).select("doc_id", "artist_name", "track_name")
 
 
 def q_exclude_titles(spark, d):
-    return exclude_titles(songs(spark, d, False)).select("doc_id", "track_name")
+    """Titles of some ids get a suffix that the rule excludes, or nearly."""
+    suffix = F.element_at(F.array(*map(F.lit, [" (Remix)", " live version", " Cov.er", " INSTRUMENTAL", ""])), (F.col("doc_id") % 5 + 1).cast("int"))
+    titled = songs(spark, d).withColumn("track_name", F.concat("track_name", suffix))
+    return exclude_titles(titled).select("doc_id", "track_name")
 
 
 def q_filter_record_kind(spark, d):
@@ -132,16 +151,33 @@ def q_tag_constant_label(spark, d):
     return to_song_schema(s, keep=("doc_id",))
 
 
+def search_table(spark, d):
+    """A look-up table that Spark derives from the documents: two thirds of the
+    songs can be found, with ids and lyrics of their own; one in five twice."""
+    docs = read_table(spark, d, "documents").where(F.col("doc_id") % 3 != 0)
+    twice = F.explode(F.when(F.col("doc_id") % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return docs.withColumn("_copy", twice).select(
+        (F.col("doc_id") * 10 + F.col("_copy")).alias("hit_id"), F.col("source").alias("artist_name"), F.col("text").alias("track_name"),
+        F.concat(F.lit("hit "), F.col("text")).alias("lyrics"),
+    )
+
+
+def _keyed(df):
+    return df.withColumn("title_key", corp.text_key("track_name")).drop("track_name", "lyrics")
+
+
 def q_unmatched_records(spark, d):
-    docs = _docs(spark, d).select("doc_id", "source")
-    hits = read_table(spark, d, "pages").select(F.col("page_id").alias("doc_id"))
-    return corp.unmatched_records(docs, hits, ["doc_id"])
+    mine = _keyed(songs(spark, d)).select("doc_id", "artist_name", "title_key")
+    return corp.unmatched_records(mine, _keyed(search_table(spark, d)), ["artist_name", "title_key"])
 
 
 def q_matched_records(spark, d):
-    docs = _docs(spark, d).select("doc_id", "source")
-    hits = read_table(spark, d, "pages").select(F.col("page_id").alias("doc_id"))
-    return corp.matched_records(docs, hits, ["doc_id"])
+    mine = _keyed(songs(spark, d)).select("doc_id", "artist_name", "title_key")
+    return corp.matched_records(mine, _keyed(search_table(spark, d)), ["artist_name", "title_key"])
+
+
+def q_search_hits(spark, d):
+    return corp.search_hits(songs(spark, d), search_table(spark, d))
 
 
 def q_top_songs_per_artist(spark, d):
@@ -150,40 +186,63 @@ def q_top_songs_per_artist(spark, d):
 
 
 def _dedup(spark, d):
-    # Project before the dedup: min_by carries every non-key column through
-    # the shuffle, and these queries only report ids and keys (so the text
-    # is not shuffled and pages are not read).
-    keys = songs(spark, d, with_year=False).select("doc_id", "artist_name", "track_name")
-    return corp.dedup_first(keys, ("artist_name", "track_name"), "doc_id")
+    # Titles travel as keys: the query reports ids and keys, and no text is shuffled.
+    keys = songs(spark, d).select("doc_id", "artist_name", corp.text_key("track_name").alias("title_key"))
+    return corp.dedup_first(keys, ("artist_name", "title_key"), "doc_id")
+
+
+def _capped(spark, d):
+    # The count and the rows both read the narrow kept set: it is made once.
+    return corp.cap_at_target(materialize(_dedup(spark, d)), "artist_name")
 
 
 def q_dedup_songs(spark, d):
-    return _dedup(spark, d).select("doc_id", "artist_name", "track_name")
+    return _dedup(spark, d).select("doc_id", "artist_name", "title_key")
 
 
 def q_cap_at_target(spark, d):
-    return corp.cap_at_target(_dedup(spark, d), "artist_name").select("doc_id", "artist_name", "track_name")
+    return _capped(spark, d).select("doc_id", "artist_name", "title_key")
 
 
 def q_songs_per_artist(spark, d):
-    return corp.count_per_group(corp.cap_at_target(_dedup(spark, d), "artist_name"), "artist_name", "songs")
+    # kept_groups holds the count of each group already.
+    return corp.kept_groups(_dedup(spark, d), "artist_name").select("artist_name", "songs")
 
 
 def q_corpus_totals(spark, d):
-    return corp.totals(corp.cap_at_target(_dedup(spark, d), "artist_name"), "artist_name")
+    kept = corp.kept_groups(_dedup(spark, d), "artist_name")
+    return kept.agg(F.coalesce(F.sum("songs"), F.lit(0)).alias("records"), F.count("artist_name").alias("groups"))
+
+
+def _two_corpora(spark, d):
+    """Documents, and conversation turns as a second corpus (role as genre)."""
+    turns = spread(read_table(spark, d, "conversations"))
+    other = turns.select((-1 - F.col("conv_id") * 1000 - F.col("turn")).alias("doc_id"), F.col("role").alias("genre"), F.col("text").alias("lyrics"))
+    return songs(spark, d).select("doc_id", "genre", "lyrics"), other
 
 
 def q_merge_corpora(spark, d):
-    s = songs(spark, d, False)
-    english = prepare_text_rows(s.where(F.col("genre") == "en"), keep=("doc_id",))
-    other = prepare_text_rows(s.where(~(F.col("genre") == "en")), keep=("doc_id",))
-    return corp.merge_corpora(english, other, ("doc_id", "genre", "lyrics"))
+    first, second = (prepare_text_rows(c, keep=("doc_id",)) for c in _two_corpora(spark, d))
+    return corp.merge_corpora(first, second, ("doc_id", "genre", "lyrics"))
 
 
 def q_build_corpus(spark, d):
     return corpus_from_documents(_docs(spark, d), read_table(spark, d, "pages"))
 
 
+ARTISTS = ["src7", "src0", "nobody", "src13", "src2", "src19", "src4", "src11"]
+
+
+def q_artist_list_corpus(spark, d):
+    """The configured artist list as filter and order; 40 songs are enough."""
+    return corpus_from_documents(_docs(spark, d), read_table(spark, d, "pages"), artists=ARTISTS, target=40)
+
+
+def q_hit_corpus(spark, d):
+    """Songs are looked up; the hit's own lyrics go into the corpus."""
+    return build_corpus(corpus_records_from_documents(_docs(spark, d)), None, hits=search_table(spark, d))
+
+
 def landed_payloads(spark, d):
     """API-style payloads that Spark derives from the tables: the text as
     the song's date and lyrics, the page html of the same id as the album's
@@ -193,7 +252,7 @@ def landed_payloads(spark, d):
     joined = docs.join(pages, docs["doc_id"] == pages["page_id"], "left")
     payload = F.struct(
         F.struct(F.col("source").alias("name")).alias("artist"),
-        F.struct(F.col("doc_id").alias("id"), F.substring("text", 1, 40).alias("title"),
+        F.struct(F.col("doc_id").alias("id"), F.col("text").alias("title"),
                  F.col("text").alias("lyrics")).alias("song"),
         F.struct(F.struct(F.col("text").alias("release_date"),
                           F.struct(F.col("html").alias("release_date")).alias("album")).alias("song")).alias("detail"),
@@ -210,14 +269,22 @@ def q_corpus_report(spark, d):
     return corpus_report(q_build_corpus(spark, d))
 
 
-def q_csv_round_trip(spark, d):
-    from verso.schema import SONG_SCHEMA
-    from pyspark.sql import types as T
+def _csv_schema():
+    return T.StructType([T.StructField("doc_id", T.LongType()), *SONG_SCHEMA.fields])
 
+
+def q_csv_round_trip(spark, d):
     path = scratch_path(spark, "songs-csv")
     write_songs_csv(songs(spark, d), path)
-    schema = T.StructType([T.StructField("doc_id", T.LongType())] + list(SONG_SCHEMA.fields))
-    return read_songs_csv(spark, path, schema)
+    return read_songs_csv(spark, path, _csv_schema())
+
+
+def q_csv_by_name(spark, d):
+    """Shuffled and extra columns in the file: taken by header name."""
+    path = scratch_path(spark, "songs-csv")
+    rows = songs(spark, d).withColumn("topic", F.lit("x, \"y\"")).withColumn("", F.col("doc_id") * 2)
+    write_songs_csv(rows.select("lyrics", "", "genre", "doc_id", "release_date", "topic", "track_name", "artist_name"), path)
+    return read_songs_csv(spark, path, _csv_schema())
 
 
 # ------------------------------------------------------------ prepare
@@ -227,11 +294,11 @@ def q_prepare_rows(spark, d):
 
 
 def q_prepare_text_rows(spark, d):
-    return prepare_text_rows(songs(spark, d, False), keep=("doc_id",))
+    return prepare_text_rows(songs(spark, d), keep=("doc_id",))
 
 
 def q_genre_distribution(spark, d):
-    return class_distribution(prepare_text_rows(songs(spark, d, False)), "genre")
+    return class_distribution(prepare_text_rows(songs(spark, d)), "genre")
 
 
 def q_hash_split(spark, d):
@@ -244,7 +311,7 @@ def q_hash_split(spark, d):
 # ------------------------------------------------------------ features
 
 def q_label_index(spark, d):
-    return feat.label_index(prepare_text_rows(songs(spark, d, False)), "genre")
+    return feat.label_index(prepare_text_rows(songs(spark, d)), "genre")
 
 
 def q_decode_label(spark, d):
@@ -258,8 +325,8 @@ def q_decode_label(spark, d):
     )
 
 
-def _tokens(spark, d, key="doc_id"):
-    return feat.tokenize(_docs(spark, d, key).select("doc_id", "text"), "text", "words")
+def _tokens(spark, d):
+    return feat.tokenize(_docs(spark, d).select("doc_id", "text"), "text", "words")
 
 
 def q_term_frequencies(spark, d):
@@ -284,14 +351,10 @@ def q_idf_weights(spark, d):
 
 
 def q_tfidf_terms(spark, d):
-    # Dealt round-robin, the (doc, term) counts get an exchange of their own,
-    # which the vocabulary branch reuses: the text is tokenised once.
-    counts = feat.doc_term_counts(_tokens(spark, d, key=None), "doc_id", "words")
-    n_docs = read_table(spark, d, "documents").select(F.count(F.lit(1))).scalar()  # metadata-only count
-    vocab = feat.vocabulary(feat.term_stats_from_counts(counts), feat.VOCAB_SIZE, feat.MIN_DF)
-    # The vocabulary holds at most VOCAB_SIZE rows: a bounded broadcast.
-    idf = F.broadcast(feat.idf_weights(vocab, n_docs).select("term", "idf"))
-    return counts.join(idf, "term").select(
+    # The vocabulary holds at most VOCAB_SIZE rows: a bounded broadcast. Counts
+    # are row-local, so no (document, term) pair is shuffled.
+    idf = F.broadcast(_idf(spark, d).select("term", "idf"))
+    return feat.exploded_counts(feat.row_term_counts(_tokens(spark, d))).join(idf, "term").select(
         "doc_id", "term", "tf", F.round(F.col("tf") * F.col("idf"), ROUND).alias("tfidf")
     )
 
@@ -318,89 +381,103 @@ def q_metrics_report(spark, d):
 
 
 # ----------------------------------------------------------- model (M*, R1)
+#
+# A forest has no SQL twin, but what must hold for every row and every fit has:
+# the twins state row by row which rows are scored, rejected, held out or equal.
+
+
+def _flag(c: Column) -> Column:
+    return F.coalesce(c, F.lit(False)).cast("int")
+
 
-QUERY_SETTINGS = small_settings()
-_models: dict = {}
-_models_lock = threading.Lock()
+def _fitted(spark, d):
+    return train_and_evaluate(songs(spark, d))
 
 
-def _trained(spark, d, with_year=False):
-    """Fit once per (data, settings) in this process; queries that score
-    share the model."""
-    # Keyed by application too: a model belongs to the JVM that fitted it.
-    key = (spark.sparkContext.applicationId, d, with_year, QUERY_SETTINGS)
-    with _models_lock:
-        if key not in _models:
-            s = QUERY_SETTINGS if not with_year else small_settings(use_year=True)
-            _models[key] = train_and_evaluate(songs(spark, d, with_year), s, with_year=with_year)
-        return _models[key]
+def _fit_checks(spark, result) -> DataFrame:
+    metrics = result.metrics.select(F.col("n").alias("n_test"), _flag(F.col("f1") >= F1_FLOOR).alias("f1_ok"))
+    forest = result.model.stages[-1]
+    return metrics.select(F.lit(result.train.count()).cast("bigint").alias("n_train"), "n_test", "f1_ok", F.lit(forest.getNumTrees).alias("trees"), F.lit(forest.getMaxDepth()).alias("depth"))
 
 
 def q_train_and_evaluate(spark, d):
-    return _trained(spark, d).metrics
+    return _fit_checks(spark, _fitted(spark, d))
 
 
 def q_train_with_year(spark, d):
-    return _trained(spark, d, with_year=True).metrics
+    return _fit_checks(spark, train_and_evaluate(songs(spark, d), ForestSettings(use_year=True), with_year=True))
 
 
 def q_model_round_trip(spark, d):
-    res = _trained(spark, d)
-    path = save_model(res.model, scratch_path(spark, "model"))
-    loaded = load_model(path)
-    a = score(res.model, res.test, keep=("doc_id",)).select("doc_id", F.col("predicted_label").alias("before"))
-    b = score(loaded, res.test, keep=("doc_id",)).select("doc_id", F.col("predicted_label").alias("after"))
-    return a.join(b, "doc_id").withColumn("equal", F.col("before") == F.col("after"))
+    res = _fitted(spark, d)
+    loaded = load_model(save_model(res.model, scratch_path(spark, "model")))
+    a = score(res.model, res.test, keep=("doc_id",)).select("doc_id", F.to_json(F.struct("predicted_label", "probabilities")).alias("before"))
+    b = score(loaded, res.test, keep=("doc_id",)).select("doc_id", F.to_json(F.struct("predicted_label", "probabilities")).alias("after"))
+    return a.join(b, "doc_id").select("doc_id", _flag(F.col("before") == F.col("after")).alias("equal"))
+
+
+def _scored_checks(scored: DataFrame, *keys: str) -> DataFrame:
+    """Per row: is there a label, do the percentages add up, is the label a most
+    probable class, is the confidence that class's percentage (-1: rejected)."""
+    shares = F.map_values("probabilities")
+    total = F.aggregate(shares, F.lit(0.0), lambda a, x: a + x)
+    own = F.try_element_at("probabilities", F.col("predicted_label"))
+    check = lambda c: F.when(F.col("error").isNull(), _flag(c)).otherwise(-1)
+    return scored.select(
+        *keys, "error", F.col("predicted_label").isNotNull().cast("int").alias("has_label"),
+        check(F.abs(total - 100.0) <= 0.006 * F.size(shares)).alias("probabilities_sum_ok"),
+        check(own == F.array_max(shares)).alias("label_is_argmax"), check(own == F.col("confidence")).alias("confidence_ok"),
+    )
 
 
 def q_score_batch(spark, d):
-    return score(_trained(spark, d).model, _docs(spark, d), text_col="text", keep=("doc_id",))
+    return _scored_checks(score(_fitted(spark, d).model, _docs(spark, d), text_col="text", keep=("doc_id",)), "doc_id")
 
 
 def q_score_conversations(spark, d):
     """Scoring on a second text table (every conversation turn)."""
-    conv = read_table(spark, d, "conversations")
-    return score(_trained(spark, d).model, spread(conv), text_col="text", keep=("conv_id", "turn"))
+    conv = spread(read_table(spark, d, "conversations"))
+    return _scored_checks(score(_fitted(spark, d).model, conv, text_col="text", keep=("conv_id", "turn")), "conv_id", "turn")
 
 
 def q_score_json(spark, d):
-    return score_json(q_score_batch(spark, d), keep=("doc_id",))
+    """The reply records, parsed again."""
+    reply = score_json(score(_fitted(spark, d).model, _docs(spark, d), text_col="text", keep=("doc_id",)))
+    form = "labels array<string>, data array<double>, predictedLabel string, confidence double, error string"
+    p = reply.select("doc_id", F.from_json("reply", form).alias("p"))
+    back = p.select("doc_id", F.col("p.error").alias("error"), F.col("p.predictedLabel").alias("predicted_label"), F.col("p.confidence").alias("confidence"),
+                    F.map_from_arrays("p.labels", "p.data").alias("probabilities"))
+    return _scored_checks(back, "doc_id")
 
 
 def q_score_stream(spark, d):
-    from pyspark.sql import types as T
-
-    model = _trained(spark, d).model
+    """Every document scored by a stream, next to its batch score."""
+    model = _fitted(spark, d).model
     landing = scratch_path(spark, "landing")
     _docs(spark, d).select("doc_id", "text").write.parquet(landing)
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
-    out = run_score_stream(spark, model, landing, schema, text_col="text", keep=("doc_id",))
-    return spark.read.parquet(out)
+    streamed = spark.read.parquet(run_score_stream(spark, model, landing, schema, text_col="text", max_files_per_trigger=4))
+    batch = score(model, spark.read.parquet(landing), text_col="text", keep=("doc_id",))
+    both = streamed.select("doc_id", F.to_json(F.struct("*")).alias("a")).join(batch.select("doc_id", F.to_json(F.struct("*")).alias("b")), "doc_id")
+    return both.select("doc_id", _flag(F.col("a") == F.col("b")).alias("equal"))
 
 
 def q_tune_classifier(spark, d):
-    from verso.operators.model import tune_classifier
-    from verso.operators.prepare import hash_split
-
-    rows = prepare_text_rows(songs(spark, d, False), keep=("doc_id",))
-    train, test = hash_split(rows)
-    model, avg = tune_classifier(
-        train, QUERY_SETTINGS, vocab_sizes=[QUERY_SETTINGS.vocab_size], num_trees=[QUERY_SETTINGS.num_trees],
-        max_depths=[3, QUERY_SETTINGS.max_depth],
+    train, test = hash_split(prepare_text_rows(songs(spark, d), keep=("doc_id",)))
+    model, avg = tune_classifier(train)
+    return evaluate(model, test).select(
+        F.lit(len(avg)).alias("grid_points"), F.col("n").alias("n_test"), _flag(F.col("f1") >= F1_FLOOR).alias("f1_ok"),
+        _flag(F.lit(max(avg)) >= F1_FLOOR).alias("cv_f1_ok"),
     )
-    from verso.plans.training import evaluate
-
-    return evaluate(model, test).withColumn("best_cv_f1", F.lit(max(avg)))
 
 
 def q_train_merged(spark, d):
-    s = songs(spark, d, False)
-    primary, secondary = s.where(F.col("genre") == "en"), s.where(~(F.col("genre") == "en"))
-    _, metrics, _ = train_merged(
-        primary, secondary, QUERY_SETTINGS, vocab_sizes=[QUERY_SETTINGS.vocab_size],
-        num_trees=[QUERY_SETTINGS.num_trees], max_depths=[3, QUERY_SETTINGS.max_depth],
+    primary, secondary = _two_corpora(spark, d)
+    out = train_merged(primary, secondary, hold_out=True)
+    return out.metrics.select(
+        F.lit(len(grid_points())).alias("grid_points"), F.lit(out.rows.count()).cast("bigint").alias("n_trained"), F.col("n").alias("n_test"),
+        _flag(F.col("f1") >= F1_FLOOR).alias("f1_ok"),
     )
-    return metrics
 
 
 QUERIES: dict[str, Query] = {
@@ -413,12 +490,14 @@ QUERIES: dict[str, Query] = {
     "stringify_nulls": q_stringify_nulls,
     "percent_rounding": q_percent_rounding,
     "json_payload_fields": q_json_payload_fields,
+    "request_text": q_request_text,
     "collect_filter": q_collect_filter,
     "exclude_titles": q_exclude_titles,
     "filter_record_kind": q_filter_record_kind,
     "tag_constant_label": q_tag_constant_label,
     "unmatched_records": q_unmatched_records,
     "matched_records": q_matched_records,
+    "search_hits": q_search_hits,
     "top_songs_per_artist": q_top_songs_per_artist,
     "dedup_songs": q_dedup_songs,
     "cap_at_target": q_cap_at_target,
@@ -426,9 +505,12 @@ QUERIES: dict[str, Query] = {
     "corpus_totals": q_corpus_totals,
     "merge_corpora": q_merge_corpora,
     "build_corpus": q_build_corpus,
+    "artist_list_corpus": q_artist_list_corpus,
+    "hit_corpus": q_hit_corpus,
     "corpus_report": q_corpus_report,
     "payload_corpus": q_payload_corpus,
     "csv_round_trip": q_csv_round_trip,
+    "csv_by_name": q_csv_by_name,
     "prepare_rows": q_prepare_rows,
     "prepare_text_rows": q_prepare_text_rows,
     "genre_distribution": q_genre_distribution,
@@ -442,7 +524,7 @@ QUERIES: dict[str, Query] = {
     "confusion_counts": q_confusion_counts,
     "classification_metrics": q_classification_metrics,
     "metrics_report": q_metrics_report,
-    # rows-only checks (no SQL twin): model fitting and scoring
+    # models: the twins state what holds for every row
     "train_and_evaluate": q_train_and_evaluate,
     "train_with_year": q_train_with_year,
     "model_round_trip": q_model_round_trip,

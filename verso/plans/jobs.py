@@ -1,11 +1,12 @@
 """The reference's three entry points as Spark jobs.
 
-* ``corpus_job``: landed song records -> corpus CSV + songs per artist.
-* ``train_job``: corpus CSVs -> prepared rows -> split -> fit -> metrics ->
+* ``corpus_job``: landed song records -> corpus table + songs per artist.
+* ``train_job``: corpora -> prepared rows -> split -> fit -> metrics ->
   saved model; then both corpora merged -> tuned -> saved merged model.
 * ``score_job``: saved model + texts (table or stream) -> scored rows.
 
-All paths are shared-storage folders; every step is a DataFrame job.
+All paths are shared-storage folders; every step is a DataFrame job. Tables
+are handed on as parquet; CSV (one task a file) is for import and export.
 """
 
 from __future__ import annotations
@@ -13,32 +14,40 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verso.operators.model import ForestSettings, GRID_MAX_DEPTHS, GRID_NUM_TREES, GRID_VOCAB_SIZES
 from verso.operators.score import score
 from verso.plans.corpus import build_corpus, corpus_report
 from verso.plans.training import train_and_evaluate, train_merged
+from verso.schema import SONG_COLUMNS, require_columns
 from verso.sources.csv import read_songs_csv, write_songs_csv
 from verso.sources.models import load_model, save_model
 from verso.streaming.score_stream import start_score_stream
 
 
-def corpus_job(records: DataFrame, detail_years: DataFrame | None, out_path: str, **kwargs) -> DataFrame:
-    """C1 + S4: build the corpus, write it as CSV (nothing for no rows) and
-    return the songs-per-artist report (A1), read back from the written
-    file so the report and the file agree without rebuilding the corpus."""
-    corpus = build_corpus(records, detail_years, **kwargs)
-    if not write_songs_csv(corpus.drop("doc_id"), out_path):
-        return corpus_report(corpus.limit(0))
-    return corpus_report(read_songs_csv(records.sparkSession, out_path))
+def corpus_job(records: DataFrame, details: DataFrame | None, out_path: str, csv_path: str | None = None, **kwargs) -> DataFrame:
+    """C1 + S4: build the corpus once, write it as parquet (and, if asked for, as
+    CSV: nothing for no rows) and return the songs-per-artist report (A1), read
+    from the written table."""
+    build_corpus(records, details, **kwargs).write.mode("overwrite").parquet(out_path)
+    corpus = records.sparkSession.read.parquet(out_path)
+    if csv_path is not None:
+        write_songs_csv(corpus.select(*SONG_COLUMNS), csv_path)
+    return corpus_report(corpus)
 
 
-def with_row_id(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """A stable row id for CSV corpora (which carry none): a hash of the
-    record's own fields, so the split does not depend on file layout."""
-    from pyspark.sql import functions as F
+def read_corpus(spark: SparkSession, path: str) -> DataFrame:
+    """A song table: a CSV file or folder if the path says so, else parquet."""
+    if path.rstrip("/").lower().endswith((".csv", "-csv", "_csv")):
+        return read_songs_csv(spark, path)
+    return require_columns(spark.read.parquet(path), SONG_COLUMNS)
+
 
+def with_row_id(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """A stable row id for corpora that carry none: a hash of the record's own
+    fields, so the split does not depend on file layout."""
     if id_col in df.columns:
         return df
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in df.columns]
@@ -57,40 +66,45 @@ class TrainOutcome:
 def train_job(
     spark: SparkSession, primary_path: str, model_dir: str, secondary_path: str | None = None,
     settings: ForestSettings = ForestSettings(), vocab_sizes=GRID_VOCAB_SIZES, num_trees=GRID_NUM_TREES,
-    max_depths=GRID_MAX_DEPTHS, num_folds: int = 3, with_year: bool = True,
+    max_depths=GRID_MAX_DEPTHS, num_folds: int = 3, with_year: bool = True, hold_out: bool = False,
 ) -> TrainOutcome:
-    """The trainer's main flow on corpus CSV folders.
+    """The trainer's main flow on two corpora (parquet or CSV folders).
 
     ``with_year`` keeps the reference's five-column preparation (rows
-    without a year are dropped); ``False`` trains on every text.
+    without a year are dropped); ``False`` trains on every text. The merged
+    model is fitted on all rows; ``hold_out`` measures it by a second fit.
     """
-    primary = with_row_id(read_songs_csv(spark, primary_path))
+    primary = with_row_id(read_corpus(spark, primary_path))
     first = train_and_evaluate(primary, settings, with_year=with_year)
     initial_path = save_model(first.model, f"{model_dir.rstrip('/')}/initial_model")
     if secondary_path is None:
         return TrainOutcome(initial_path, first.metrics, None, None, [])
-    secondary = with_row_id(read_songs_csv(spark, secondary_path))
-    model, metrics, avg = train_merged(
-        primary, secondary, settings, with_year=with_year, vocab_sizes=vocab_sizes, num_trees=num_trees,
-        max_depths=max_depths, num_folds=num_folds,
+    secondary = with_row_id(read_corpus(spark, secondary_path))
+    merged = train_merged(
+        primary, secondary, settings, with_year=with_year, hold_out=hold_out, vocab_sizes=vocab_sizes,
+        num_trees=num_trees, max_depths=max_depths, num_folds=num_folds,
     )
-    merged_path = save_model(model, f"{model_dir.rstrip('/')}/merged_model")
-    return TrainOutcome(initial_path, first.metrics, merged_path, metrics, avg)
+    merged_path = save_model(merged.model, f"{model_dir.rstrip('/')}/merged_model")
+    return TrainOutcome(initial_path, first.metrics, merged_path, merged.metrics, merged.cv_f1)
 
 
 def score_job(
-    spark: SparkSession, model_path: str, input_path: str, output_path: str, text_col: str = "lyrics",
-    keep: tuple[str, ...] = (), stream: bool = False, input_schema: T.StructType | None = None,
+    spark: SparkSession, model_path: str, input_path: str, output_path: str, keep: tuple[str, ...],
+    text_col: str = "lyrics", stream: bool = False, input_schema: T.StructType | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> None:
     """Score a parquet folder; as a batch job (returns nothing,
     writes parquet) or as an available-now stream with its checkpoint
-    beside the output."""
+    beside the output. ``keep`` names the columns that tie a prediction to its
+    row; at least one is needed."""
+    if not keep:
+        raise ValueError("keep needs a column that identifies a row")
     model = load_model(model_path)
     if stream:
         schema = input_schema or spark.read.parquet(input_path).schema
         q = start_score_stream(spark, model, input_path, schema, output_path,
-                               f"{output_path.rstrip('/')}_checkpoint", text_col, keep, True)
+                               f"{output_path.rstrip('/')}_checkpoint", text_col, keep, True, max_files_per_trigger)
         q.awaitTermination()
         return
-    scored = score(model, spark.read.parquet(input_path), text_col=text_col, keep=keep)
-    scored.write.mode("overwrite").parquet(output_path)
+    rows = require_columns(spark.read.parquet(input_path), keep)
+    score(model, rows, text_col=text_col, keep=keep).write.mode("overwrite").parquet(output_path)

@@ -1,4 +1,4 @@
-"""Declared schemas: the song record, the raw API payload, scoring output."""
+"""Declared schemas: the song record and the raw API payload."""
 
 from __future__ import annotations
 
@@ -58,17 +58,6 @@ PAYLOAD_SCHEMA = T.StructType(
     ]
 )
 
-SCORED_SCHEMA = T.StructType(
-    [
-        T.StructField("predicted_label", T.StringType(), True),
-        T.StructField("confidence", T.DoubleType(), True),
-        T.StructField(
-            "probabilities", T.MapType(T.StringType(), T.DoubleType(), True), True
-        ),
-        T.StructField("error", T.StringType(), True),
-    ]
-)
-
 
 class MissingColumnsError(ValueError):
     """Raised when a frame lacks columns a step needs."""

@@ -45,9 +45,22 @@ def checkpoint_base(spark: SparkSession) -> str:
     return base
 
 
+_scratch_roots: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused folder under the shared checkpoint base."""
-    return f"{checkpoint_base(spark)}/verso-scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh, never-reused folder under the shared checkpoint base. All of a
+    session's scratch is in one folder, which is deleted when the session's
+    JVM ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _scratch_roots:
+        root = f"{checkpoint_base(spark)}/verso-scratch-{app}-{uuid.uuid4().hex[:8]}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _scratch_roots[app] = root
+    return f"{_scratch_roots[app]}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -60,22 +73,10 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
-    """Repartition only when the input has too few partitions.
-
-    A large input already arrives in many splits and is left alone (no
-    extra shuffle); a file with one row group would otherwise run every
-    downstream stage in a single task. With ``key`` (a unique id) the rows
-    are hash-partitioned on it, so a later aggregation keyed by it (e.g.
-    per-document term counts) needs no shuffle of its own; without, rows
-    are dealt round-robin.
-    """
-    spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. Spark Connect): leave it to the engine
-        return df
-    if have >= target:
-        return df
-    return df.repartition(target, key) if key else df.repartition(target)
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Deal rows round-robin if the input has few splits (a file with one row
+    group would run every row-local step in a single task). For row-local
+    steps only: it changes no result. A large input already has many splits
+    and is left alone."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= target else df.repartition(target)

@@ -1,20 +1,22 @@
 """Driver tables and the song-table stand-in built from them.
 
 The song table (artist_name, track_name, release_date, genre, lyrics) is
-derived from ``documents`` (and ``pages`` for the year fallback):
+derived from ``documents``:
 
 * artist_name  = documents.source
-* track_name   = first 40 characters of documents.text
-* release_date = first 4-digit run in the text, else in the page html of
-                 the same id, else null (int)
+* track_name   = documents.text (the whole text: documents have no title)
+* release_date = year of the stand-in song date, see ``song_date`` (int)
 * genre        = documents.lang
 * lyrics       = documents.text
-* doc_id       = documents.doc_id (collection order and tie-breaks)
+* doc_id       = documents.doc_id (tie-breaks)
+
+``detail_years`` gives the fallback year: the first 4-digit run in the html of
+the page with the same id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verso.functions.text import first_year
@@ -25,59 +27,50 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-TITLE_CHARS = 40
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def song_date(doc_id: Column | str = "doc_id") -> Column:
+    """Stand-in release date of a document: missing for some ids, year 0000 for
+    others, else a date between 1950 and 2022."""
+    c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    year = F.when(c % 13 == 0, F.lit("0000")).otherwise((c % 73 + 1950).cast("string"))
+    return F.when(c % 11 != 0, F.concat(year, F.lit("-06-15")))
+
+
 def page_years(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """One (id, year) row per detail record that holds a year.
+    """One (_detail_id, _detail_year) row per detail record that holds a year.
 
-    The regex runs before any shuffle, so only (id, year) moves, never the
-    html. Duplicate ids collapse to their smallest year with a partial
+    The regex runs once per html and before any shuffle, so only (id, year)
+    moves, never the html (the aggregate skips nulls, so no filter repeats the
+    regex). Duplicate ids collapse to their smallest year with a partial
     (map-side) aggregate, which keeps a hot id from multiplying the join.
     """
-    return (
-        pages.select(F.col(id_col).alias("_detail_id"), first_year(html_col).alias("_y"))
-        .where(F.col("_y").isNotNull())
-        .groupBy("_detail_id")
-        .agg(F.min("_y").alias("_detail_year"))
-    )
-
+    years = pages.select(F.col(id_col).alias("_detail_id"), first_year(html_col).alias("_y"))
+    return years.groupBy("_detail_id").agg(F.min("_y").alias("_detail_year")).where(F.col("_detail_year").isNotNull())
 
-def song_records(documents: DataFrame, pages: DataFrame | None = None) -> DataFrame:
-    """Map ``documents`` (and optionally ``pages``) onto the song schema.
 
-    Without ``pages`` the year comes from the text alone.
-    """
-    docs = documents.select(
+def song_records(documents: DataFrame) -> DataFrame:
+    """Map ``documents`` onto the song schema; row-local."""
+    return documents.select(
         "doc_id",
         F.col("source").alias("artist_name"),
-        F.substring("text", 1, TITLE_CHARS).alias("track_name"),
-        first_year("text").alias("_text_year"),
+        F.col("text").alias("track_name"),
+        first_year(song_date()).try_cast("int").alias("release_date"),
         F.col("lang").alias("genre"),
         F.col("text").alias("lyrics"),
     )
-    if pages is None:
-        year = F.col("_text_year")
-    else:
-        docs = docs.join(
-            page_years(pages), docs["doc_id"] == F.col("_detail_id"), "left"
-        )
-        year = F.coalesce("_text_year", "_detail_year")
-    return docs.select(
-        "doc_id",
-        "artist_name",
-        "track_name",
-        year.try_cast("int").alias("release_date"),
-        "genre",
-        "lyrics",
-    )
 
 
-def songs(spark: SparkSession, sf_dir: str, with_year: bool = True) -> DataFrame:
-    docs = spread(read_table(spark, sf_dir, "documents"), key="doc_id")
-    pages = read_table(spark, sf_dir, "pages") if with_year else None
-    return song_records(docs, pages)
+def songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return song_records(spread(read_table(spark, sf_dir, "documents")))
+
+
+def song_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, release_date): the song's year, else the page's. Only ids and
+    years are joined; the text is not read."""
+    ids = read_table(spark, sf_dir, "documents").select("doc_id", first_year(song_date()).alias("_song_year"))
+    found = ids.join(page_years(read_table(spark, sf_dir, "pages")), ids["doc_id"] == F.col("_detail_id"), "left")
+    return found.select("doc_id", F.coalesce("_song_year", "_detail_year").try_cast("int").alias("release_date"))
