@@ -45,7 +45,7 @@ def brute(rows):
 
 def test_edited_pairs_equal_brute_force(spark):
     docs = common.documents(spark, SF).select("doc_id", "text")
-    extra = [(10**9, None, "x"), (10**9 + 1, "", "x"), (10**9 + 2, "the of", "x"), (10**9 + 3, "one", "x"), (10**9 + 4, "été the Cat_and dog", "x"), (None, "no id here the end", "x")]
+    extra = [(10**9, None, "x"), (10**9 + 1, "", "x"), (10**9 + 2, "the of", "x"), (10**9 + 3, "one", "x"), (10**9 + 5, "start " + "the of " * 30_000 + "end", "x"), (-4, "negative id and the text", "x"), (10**9 + 4, "été the Cat_and dog", "x"), (None, "no id here the end", "x")]
     rows = [(r.doc_id, r.text, "x") for r in docs.collect()] + extra
     rows += [rows[0], rows[5]]
     df = spark.createDataFrame(rows, "doc_id long, text string, h string").repartition(7)

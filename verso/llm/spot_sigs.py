@@ -49,7 +49,8 @@ def with_signatures(docs: DataFrame, text: str, out: str, chain: int = CHAIN) ->
     words = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     # Glue each run of anchors, as its last one, to the content word that follows:
     # "of the cat" becomes "the^cat". The beginning of the text is an anchor, too.
-    glued = F.regexp_replace(words, rf"(?<= )(?:({anchor}) )+", "$1^")
+    # Possessive: the greedy form recurses once for each anchor of a run.
+    glued = F.regexp_replace(words, rf"(?<= )(?:({anchor}) )++", "$1^")
     spots = F.split(F.concat(F.lit("^"), F.trim(glued)), " +")
     found = docs.withColumn("_spots", spots).withColumn("_content", F.transform("_spots", lambda w: F.substring_index(w, "^", -1)))
     later = [F.slice("_content", k + 2, F.size("_content")).alias(f"w{k}") for k in range(chain - 1)]
@@ -75,23 +76,22 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def _ring(keys: DataFrame) -> DataFrame:
-    """(doc_id, h, prev_id, prev_h, take): of each document the one before it in
-    descending order, whose edited text takes that many characters from it (round the
-    ring). Running order without a single-task window: rows are range-partitioned,
-    and each partition's first row looks at the last of the partition before."""
+    """(k, prev, take): of each document (key k) the one before it in descending
+    order (key prev), whose edited text takes that many characters from it (round
+    the ring). No single-task window: rows are range-partitioned, and each
+    partition's first row looks at the last of the partition before."""
     down = [F.col("doc_id").desc_nulls_last(), F.col("h")]
     parts = materialize(keys.repartitionByRange(*down).withColumn("part", F.spark_partition_id()))
     inside = Window.partitionBy("part").orderBy(*down)
-    before = lambda c: F.lag(c).over(inside)
-    row = F.struct("doc_id", "h", F.floor(F.col("n_chars") / 3).cast("int").alias("take"))
-    rows = parts.withColumn("row", row).withColumn("prev", before("row"))
-    # The last row of each partition: one row a partition, carried to the next one.
-    is_last = F.lead("h").over(inside).isNull()
-    lasts = parts.withColumn("row", row).withColumn("is_last", is_last).filter("is_last").select("part", "row")
-    whole = Window.orderBy("part")
-    ends = lasts.withColumn("prev", F.coalesce(F.lag("row").over(whole), F.last("row").over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-    found = rows.join(ends.select("part", F.col("prev").alias("carried")), "part").withColumn("prev", F.coalesce("prev", "carried"))
-    return found.select("doc_id", "h", F.col("prev.doc_id").alias("prev_id"), F.col("prev.h").alias("prev_h"), F.col("prev.take").alias("take"))
+    row = F.struct("k", F.floor(F.col("n_chars") / 3).cast("int").alias("take"))
+    rows = parts.select("part", "k", F.lag(row).over(inside).alias("prev"))
+    # The last row of each partition, carried to the next one.
+    lasts = parts.select("part", row.alias("row"), F.lead("k").over(inside).isNull().alias("is_last")).filter("is_last")
+    whole = Window.orderBy("part")  # one row a partition
+    end = F.last("row").over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ends = lasts.select("part", F.coalesce(F.lag("row").over(whole), end).alias("carried"))
+    found = rows.join(ends, "part").withColumn("prev", F.coalesce("prev", "carried"))
+    return found.select("k", F.col("prev.k").alias("prev"), F.col("prev.take").alias("take"))
 
 
 def edited_pairs(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
@@ -99,19 +99,22 @@ def edited_pairs(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
     replaced by the beginning of the next document (descending id, then round), and
     how alike the fingerprint is to that and to the next document's.
 
-    The text is shuffled once by document, and the beginnings once more."""
-    wide = _documents(docs).withColumn("h", F.xxhash64("text"))
-    keys = wide.select("doc_id", "h", F.char_length("text").alias("n_chars")).distinct()
+    The text is shuffled once by document, and the beginnings with the next
+    document's signatures once more."""
+    texts = _documents(docs)
+    # A document's key: its id and a hash of its text.
+    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64("text").cast("string"))
+    keys = texts.select("doc_id", F.xxhash64("text").alias("h"), key.alias("k"), F.char_length("text").alias("n_chars")).distinct()
     ring = materialize(_ring(keys))
-    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
-    sent = ring.withColumnsRenamed({"doc_id": "r_id", "h": "r_h"}).join(wide.dropDuplicates(["doc_id", "h"]), same("doc_id", "r_id") & (F.col("h") == F.col("r_h")))
-    sent = with_signatures(sent, "text", "next_signatures", chain).select("prev_id", "prev_h", F.col("text").substr(F.lit(1), F.col("take")).alias("beginning"), "next_signatures")
-    met = wide.join(sent, same("doc_id", "prev_id") & (F.col("h") == F.col("prev_h"))).withColumn("n_chars", F.char_length("text"))
+    wide = texts.select(key.alias("k"), "text")
+    sent = with_signatures(wide.join(ring, "k"), "text", "next_signatures", chain)
+    sent = sent.select("prev", F.col("text").substr(F.lit(1), F.col("take")).alias("beginning"), "next_signatures").dropDuplicates(["prev"])
+    met = wide.join(sent, F.col("k") == F.col("prev")).withColumn("n_chars", F.char_length("text"))
     keep = (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).cast("int")
     met = met.withColumn("edited", F.concat(F.col("text").substr(F.lit(1), keep), F.col("beginning")))
     met = with_signatures(with_signatures(met, "text", "own", chain), "edited", "changed", chain)
     return met.select(
-        "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        F.substring_index("k", ":", 1).try_cast("long").alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint("own").alias("fingerprint"), fingerprint("changed").alias("edited_fingerprint"),
         likeness("own", "changed").alias("near_edited"), likeness("own", "next_signatures").alias("near_next"),
     )
