@@ -62,7 +62,8 @@ def test_expected_counts_equal_all_paths():
                 e[t[i], path[i]] += p / z
                 if i:
                     m[path[i - 1], path[i]] += p / z
-    assert np.allclose(start, s) and np.allclose(move, m) and np.allclose(emit, e) and math.isclose(ll, total)
+    same = lambda a, b: np.allclose(a, b, rtol=1e-4, atol=1e-5)  # noqa: E731  single precision
+    assert same(start, s) and same(move, m) and same(emit, e) and math.isclose(ll, total, rel_tol=1e-5)
 
 
 def brute_base(rows):

@@ -46,6 +46,7 @@ CLASSES = ENDINGS * KINDS * LENGTHS
 ITERATIONS = 4
 STRETCH = 256
 END = b""
+_SIGNS = b".,;:!?&%\"')"
 _SEED = 11
 _FLUSH = 400_000
 _TOKENS_AT_ONCE = 400_000
@@ -58,8 +59,8 @@ def words(text: str | None) -> list[bytes]:
 
 
 def word_class(word: bytes) -> int:
-    core = word.rstrip(b".,;:!?&%\"')")
-    if any(48 <= b <= 57 for b in word):
+    core = word.rstrip(_SIGNS)
+    if len(word.translate(None, b"0123456789")) < len(word):
         kind = 2
     elif len(core) < len(word):
         kind = 1
@@ -147,31 +148,37 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, held_out: Column) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, part, row = sent.value, TaskContext.get().partitionId(), 0
         get, end = v.index.get, v.index[END]
-        rest_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64()), ("size", pa.float64())]))
-        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), rest_type]
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.float64()]
         names = ["row", "doc_id", "held_out", "n_tokens", "symbols", "head_known", "head_base", "head_inside", "rest"]
+        in_training = v.counts > 0
         for batch in batches:
-            out, size = [], 0
+            # Other words of all documents end to end, and where each document's begin.
+            out, size, others, numbers, classes, begin = [], 0, [], [], [], [0]
             ids, held = batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist()
             for i, t in enumerate(batch.column("text")):
                 ws = words(t.as_py())
-                at = np.array([get(w, -1) for w in ws] + [end], dtype=np.int64)
+                ws.append(END)
+                at = np.fromiter((get(w, -1) for w in ws), np.int64, len(ws))
+                unknown = np.flatnonzero(at < 0)
+                known = at if not len(unknown) else at[at >= 0]
                 symbols = v.symbol[at]
-                known = at[at >= 0]
-                rest: Counter = Counter()
-                cls: dict[bytes, int] = {}
-                for p in np.flatnonzero(at < 0).tolist():
-                    w = ws[p]
-                    if w not in cls:
-                        cls[w] = word_class(w)
-                    rest[w] += 1
-                    symbols[p] = v.own + cls[w]
-                out.append((part << 40 | row, ids[i], held[i], len(at), symbols.astype("<u2").tobytes(), int((v.counts[known] > 0).sum()),
-                            float(v.base[known].sum()), float(v.inside[known].sum()), [{"word": w, "n": n, "size": float(v.class_size[cls[w]])} for w, n in rest.items()]))
+                if len(unknown):
+                    found = [ws[p] for p in unknown.tolist()]
+                    rest = Counter(found)
+                    cls = {w: word_class(w) for w in rest}
+                    symbols[unknown] = [v.own + cls[w] for w in found]
+                    others.extend(rest)
+                    numbers.extend(rest.values())
+                    classes.extend(cls.values())
+                begin.append(len(others))
+                out.append((part << 40 | row, ids[i], held[i], len(at), symbols.astype("<u2").tobytes(), int(in_training[known].sum()), float(v.base[known].sum()), float(v.inside[known].sum())))
                 row, size = row + 1, size + len(at)
                 if size >= _TOKENS_AT_ONCE or i + 1 == batch.num_rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
-                    out, size = [], 0
+                    sizes = v.class_size[np.array(classes, dtype=np.int64)]
+                    struct = pa.StructArray.from_arrays([pa.array(others, pa.binary()), pa.array(numbers, pa.int64()), pa.array(sizes)], names=["word", "n", "size"])
+                    rest_column = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), struct)
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(zip(*out), kinds)), rest_column], names=names)
+                    out, size, others, numbers, classes, begin = [], 0, [], [], [], [0]
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
     return arrow_map(narrow, run, schema)
@@ -202,37 +209,43 @@ class Model:
 
 def expected_counts(model: Model, stretches: list[np.ndarray], first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """(start, move, emit counts, log-likelihood) of forward-backward over short
-    symbol sequences; ``first``: which of them begin a text."""
+    symbol sequences; ``first``: which of them begin a text. Single precision:
+    every step is scaled, and the counts are added up in double."""
     order = np.argsort([-len(s) for s in stretches], kind="stable")
     size = np.array([len(stretches[i]) for i in order])
-    first, n, k = first[order], len(order), len(model.start)
+    first, n, k, kind = first[order], len(order), len(model.start), np.float32
     longest = int(size[0])
-    sym = np.zeros((longest, n), dtype=np.int64)
+    sym = np.zeros((longest, n), dtype=np.int32)
     for col, i in enumerate(order.tolist()):
         sym[: size[col], col] = stretches[i]
-    active = np.searchsorted(-size, -np.arange(longest), side="left")  # sequences longer than t
-    obs = model.emit[sym]
-    alpha, beta, scale = np.zeros((longest, n, k)), np.zeros((longest, n, k)), np.ones((longest, n))
-    now = np.where(first[:, None], model.start, model.stationary()) * obs[0]
+    active = np.searchsorted(-size, -np.arange(longest + 1), side="left").tolist()  # sequences longer than t
+    obs = model.emit.astype(kind)[sym]
+    forward, back = model.move.astype(kind), np.ascontiguousarray(model.move.T.astype(kind))
+    alpha, flow, ones = np.zeros((longest, n, k), kind), np.zeros((longest, n, k), kind), np.ones((k, 1), kind)
+    scale = np.ones((longest, n, 1), kind)
+    alpha[0] = np.where(first[:, None], model.start, model.stationary()) * obs[0]
     for t in range(longest):
         m = active[t]
+        now, total = alpha[t, :m], scale[t, :m]
         if t:
-            now = (alpha[t - 1, :m] @ model.move) * obs[t, :m]
-        total = now.sum(axis=1)
-        scale[t, :m] = total
-        alpha[t, :m] = now / total[:, None]
-    flow = np.zeros((longest, n, k))  # obs * beta / scale of each step
+            np.matmul(alpha[t - 1, :m], forward, out=now)
+            now *= obs[t, :m]
+        np.matmul(now, ones, out=total)
+        now /= total
+    # flow: obs * beta / scale of each step; seen: alpha * beta, kept in alpha's place.
+    obs /= scale
+    last = alpha.copy() if longest > 1 else alpha
     for t in range(longest - 1, -1, -1):
-        m = active[t]
-        later = active[t + 1] if t + 1 < longest else 0
-        beta[t, later:m] = 1.0
+        m, later = active[t], active[t + 1]
+        flow[t, later:m] = obs[t, later:m]
         if later:
-            beta[t, :later] = flow[t + 1, :later] @ model.move.T
-        flow[t, :m] = obs[t, :m] * beta[t, :m] / scale[t, :m, None]
-    seen = alpha * beta
-    move = model.move * (alpha[:-1].reshape(-1, k).T @ flow[1:].reshape(-1, k))
-    emit = np.stack([np.bincount(sym.ravel(), weights=seen[:, :, s].ravel(), minlength=len(model.emit)) for s in range(k)], axis=1)
-    return seen[0, first].sum(axis=0), move, emit, float(np.log10(scale).sum())
+            beta = flow[t + 1, :later] @ back
+            np.multiply(obs[t, :later], beta, out=flow[t, :later])
+            alpha[t, :later] *= beta
+    move = model.move * (last[:-1].reshape(-1, k).T @ flow[1:].reshape(-1, k)).astype(np.float64)
+    flat, seen = sym.ravel(), alpha.reshape(-1, k)
+    emit = np.stack([np.bincount(flat, weights=seen[:, s], minlength=len(model.emit)) for s in range(k)], axis=1)
+    return alpha[0, first].sum(axis=0, dtype=np.float64), move, emit, float(np.log10(scale, dtype=np.float64).sum())
 
 
 def fit(encoded: DataFrame, unigram: np.ndarray, states: int = STATES, iterations: int = ITERATIONS) -> Model:
