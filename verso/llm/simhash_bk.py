@@ -303,6 +303,8 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) ->
     found = materialize(components(fingerprints(docs, shingle), radius))
     gone = found.filter("doc_id != component_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti")
-    again = found.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    again = materialize(found.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id"))
+    if again.isEmpty():  # ids are unique: no second pass over the rows
+        return kept
     once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.join(again, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
