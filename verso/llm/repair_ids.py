@@ -48,10 +48,12 @@ RULES_A_PASS = 1024
 PASSES = 6
 CACHE_ENTRIES = 600_000
 _TRAILING = ".,!?;:&%"
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 10 else b for b in range(256))
 
 
 class WordCache(dict):
-    """word (no blank or line feed in it) -> its ids as little-endian uint32 bytes."""
+    """word (no blank or line feed in it) -> its ids as little-endian uint32 bytes.
+    Words of a Latin-1 text are keyed by their bytes, others by the string."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -75,28 +77,30 @@ class WordCache(dict):
             word = word.lower()
         return [t.id for t in self.model.tokenize(word)]
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, key: bytes | str) -> bytes:
+        word = key.decode("latin-1") if isinstance(key, bytes) else key
         if word.isalpha():
             plain = self.direct and (word.isascii() or max(word) < "\u0100")
             ids = array("I", self._plain(word) if plain else self.whole.encode(word, add_special_tokens=False).ids).tobytes()
         elif (core := word.rstrip(_TRAILING)) != word and core.isalpha():
-            ids = self[core] + self[word[len(core) :]]
+            ids = self[key[: len(core)]] + self[key[len(core) :]]
         else:
             ids = array("I", self.whole.encode(word, add_special_tokens=False).ids).tobytes()
         if len(word) <= 64:
             if len(self) >= CACHE_ENTRIES:
                 self.clear()
-            self[word] = ids
+            self[key] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian uint32 bytes."""
-        try:  # the normaliser only lower-cases Latin-1: done first, fewer words differ
-            text.encode("latin-1")
-            text = text.lower()
+        try:
+            # Of Latin-1 the normaliser changes white space and letter case only, so
+            # lower-casing A-Z first changes nothing, and fewer words differ.
+            words = text.encode("latin-1").translate(_LOWER).split(b" ")
         except UnicodeEncodeError:
-            pass
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+            words = text.replace("\n", " ").split(" ")
+        return b"".join(map(self.__getitem__, words))
 
 
 @functools.lru_cache(maxsize=1)
@@ -138,7 +142,8 @@ def compress(ids: np.ndarray, vocab: int, min_count: int = MIN_COUNT, passes: in
         unequal = keys >> bits != keys & low
         count, keys = count[unequal], keys[unequal]
         lefts, rights, chosen = set(), set(), []
-        for key in keys[np.argsort(-count, kind="stable")[: 8 * RULES_A_PASS]].tolist():
+        top = np.arange(len(keys)) if len(keys) <= 8 * RULES_A_PASS else np.argpartition(-count, 8 * RULES_A_PASS)[: 8 * RULES_A_PASS]
+        for key in keys[top[np.lexsort((keys[top], -count[top]))]].tolist():
             a, b = key >> bits, key & low
             if a not in rights and b not in lefts:
                 lefts.add(a)
