@@ -4,7 +4,7 @@
 DataFrame, which is written as Parquet and read again as the next one's ``docs``:
 
 1. language ID (hyperdimensional profiles): documents whose language cannot be told
-   go (no letters, or like no language at all);
+   go (no letters, or enough n-grams to see that they are like no language at all);
 2. SimHash near-dedup (BK-trees, 4-word shingles, 4 bits): one document of each
    group stays, the one with the smallest id;
 3. benchmark decontamination (greedy string tiling): documents that hold a benchmark
@@ -25,7 +25,7 @@ from verso.llm.queries import tokenizer_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return hd_langid.keep_identified(docs, hd_langid.train(docs))
+    return hd_langid.keep_identified(docs, *hd_langid.train_with_totals(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,12 +19,20 @@ Cases: null text or one without a letter is ``und`` with score 0, as is any text
 nothing was learned. Training ignores rows with null text or language. Ties go to
 the first language in code point order. Null ids and repeated rows keep their rows;
 other columns are ignored.
+
+``keep_identified`` drops a text with letters only on evidence. If it has nothing in
+common with a prototype, its n-gram vectors are random to it, and their sum along the
+prototype has mean 0 and the standard deviation |counts|. A text goes if no language
+lies beyond what that noise gives with chance ``CHANCE``, and if it has so many n-grams
+that a text of any learned language, even with ``SHARE`` of the usual likeness, would
+lie at twice that bound. Texts too short or repetitive for that stay.
 """
 
 from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +44,9 @@ from verso.llm.common import arrow_map, ship
 DIM = 1024
 N = 3
 UNKNOWN = "und"
-MIN_SCORE = 0.05
+MIN_SCORE = 0.05  # no stage uses it; the brute force of test_pipeline.py reads it
+CHANCE = 0.001  # that a text unlike every language passes for one
+SHARE = 0.5
 _SEED = 20_177
 _CHARS_AT_ONCE = 1_500_000
 _DOCS_AT_ONCE = 500
@@ -131,9 +141,8 @@ def _slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa
                 lo, held, size = i + 1, [], 0
 
 
-def train(docs: DataFrame, dim: int = DIM) -> dict[str, np.ndarray]:
-    """Prototype (sum of integer n-gram vectors) of each language of ``docs``
-    (text, lang). Languages are the distinct non-null values of ``lang``."""
+def _sums(docs: DataFrame, dim: int) -> dict[str, np.ndarray]:
+    """``dim`` sums of n-gram vectors, then the number of n-grams, of each language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, total = space(dim), {}
@@ -147,19 +156,32 @@ def train(docs: DataFrame, dim: int = DIM) -> dict[str, np.ndarray]:
                     n = np.bincount(inv, weights=np.concatenate([c for _, c in grams]))
                     for cut in range(0, len(keys), _CACHED_GRAMS // 2):  # exact: whole numbers below 2^53
                         rows = own.grams(keys[cut : cut + _CACHED_GRAMS // 2])
-                        total[lang] = total.get(lang, 0) + n[cut : cut + len(rows)] @ own.vectors[rows].astype(np.float64)
+                        part = n[cut : cut + len(rows)]
+                        total[lang] = total.get(lang, 0) + np.append(part @ own.vectors[rows].astype(np.float64), part.sum())
         for lang, v in total.items():
-            out = [pa.array([lang] * dim, pa.string()), pa.array(np.arange(dim, dtype=np.int32)), pa.array(np.rint(v).astype(np.int64))]
+            out = [pa.array([lang] * (dim + 1), pa.string()), pa.array(np.arange(dim + 1, dtype=np.int32)), pa.array(np.rint(v).astype(np.int64))]
             yield pa.RecordBatch.from_arrays(out, names=["lang", "at", "value"])
 
     rows = docs.filter("text IS NOT NULL AND lang IS NOT NULL").select(F.col("text").cast("string"), F.col("lang").cast("string"))
     sums = arrow_map(rows, run, "lang string, at int, value long").groupBy("lang", "at").agg(F.sum("value").alias("value"))
     found: dict[str, np.ndarray] = {}
-    for r in sums.collect():  # languages x dim rows
-        found.setdefault(r.lang, np.zeros(dim))[r.at] = r.value
+    for r in sums.collect():  # languages x (dim + 1) rows
+        found.setdefault(r.lang, np.zeros(dim + 1))[r.at] = r.value
     return dict(sorted(found.items()))
 
 
+def train(docs: DataFrame, dim: int = DIM) -> dict[str, np.ndarray]:
+    """Prototype (sum of integer n-gram vectors) of each language of ``docs``
+    (text, lang). Languages are the distinct non-null values of ``lang``."""
+    return {lang: v[:-1] for lang, v in _sums(docs, dim).items()}
+
+
+def train_with_totals(docs: DataFrame, dim: int = DIM) -> tuple[dict[str, np.ndarray], dict[str, float]]:
+    """(prototypes, number of n-grams behind each), in the one pass of ``train``."""
+    sums = _sums(docs, dim)
+    return {lang: v[:-1] for lang, v in sums.items()}, {lang: float(v[-1]) for lang, v in sums.items()}
+
+
 class Predictor:
     """Predictions of texts from prototypes."""
 
@@ -200,17 +222,46 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dim: int = DIM)
     return arrow_map(rows, run, "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: float = MIN_SCORE, dim: int = DIM) -> DataFrame:
-    """``docs`` without the rows whose language cannot be told: no letters, or like no
-    prototype at all (cosine under ``min_score``). No shuffle."""
-    predictor = Predictor(prototypes, dim)
+class Evidence:
+    """Which texts can be told to be in no learned language."""
+
+    def __init__(self, prototypes: dict[str, np.ndarray], totals: dict[str, float], dim: int = DIM):
+        self.dim, length = dim, {k: max(float(np.linalg.norm(v)), 1e-9) for k, v in prototypes.items()}
+        self.unit = np.stack([v / length[k] for k, v in prototypes.items()]) if prototypes else np.zeros((0, dim))
+        self.bound = NormalDist().inv_cdf(1 - CHANCE / max(1, len(prototypes)))
+        # What an n-gram of a language's own text adds along its prototype; the least of all.
+        self.usual = min((length[k] / max(totals[k], 1.0) for k in prototypes), default=0.0)
+
+    def __call__(self, texts: list[str]) -> list[bool]:
+        """True for texts that stay."""
+        own, stay = space(self.dim), []
+        for keys, n in gram_counts(texts, own):
+            if not len(self.unit) or not keys.any():
+                stay.append(False)
+                continue
+            n = n.astype(np.float64)
+            noise = float(np.linalg.norm(n))
+            if SHARE * self.usual * float(n.sum()) < 2 * self.bound * noise:  # too little to judge
+                stay.append(True)
+                continue
+            along = np.zeros(len(self.unit))
+            for cut in range(0, len(keys), _CACHED_GRAMS // 2):
+                rows = own.grams(keys[cut : cut + _CACHED_GRAMS // 2])
+                along += self.unit @ (n[cut : cut + len(rows)].astype(np.float32) @ own.vectors[rows])
+            stay.append(bool(along.max() >= self.bound * noise))
+        return stay
+
+
+def keep_identified(docs: DataFrame, prototypes: dict[str, np.ndarray], totals: dict[str, float], dim: int = DIM) -> DataFrame:
+    """``docs`` without the rows whose language cannot be told: no letters, nothing
+    learned, or enough n-grams to see that they are like no language. No shuffle."""
+    evidence = Evidence(prototypes, totals, dim)
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in _slices(iter([batch]), batch.schema.get_field_index("text")):
-                said, score = predictor(texts)
-                yield part.filter(pa.array([s != UNKNOWN and x >= min_score for s, x in zip(said, score.tolist())], pa.bool_()))
+                yield part.filter(pa.array(evidence(texts), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
