@@ -1,0 +1,62 @@
+"""``keep_first`` with ids that stand on several texts."""
+
+import random
+
+from tests.llm.test_simhash_bk import plain_simhash
+from verso.llm import simhash_bk as S
+
+SCHEMA = "doc_id long, text string, note string"
+
+
+def brute_roots(fps, radius=4):
+    """For each row the smallest row number that its fingerprint can reach."""
+    root = list(range(len(fps)))
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(fps):
+            for j, b in enumerate(fps):
+                if (a ^ b).bit_count() <= radius and root[j] < root[i]:
+                    root[i], changed = root[j], True
+    return root
+
+
+def check(spark, rows):
+    """One row of each component stays, one of its smallest id; without an id all stay."""
+    roots = brute_roots([plain_simhash(t) for _, t, _ in rows])
+    got = [(r.doc_id, r.text, r.note) for r in S.keep_first(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert set(got) <= set(rows)
+    of = {t: c for (_, t, _), c in zip(rows, roots)}
+    assert sorted(str(g) for g in got if g[0] is None) == sorted(str(r) for r in rows if r[0] is None)
+    left = {}
+    for d, t, note in got:
+        if d is not None:
+            assert of[t] not in left
+            left[of[t]] = (d, note, t)
+    smallest = {}
+    for (d, _, _), c in zip(rows, roots):
+        if d is not None:
+            smallest[c] = min(d, smallest.get(c, d))
+    assert {c: v[0] for c, v in left.items()} == smallest
+    for c, (d, note, t) in left.items():  # of equal texts the smallest row
+        assert note == min(n for x, s, n in rows if (x, s) == (d, t))
+
+
+def words(rnd, n=40):
+    return " ".join(rnd.choice("abcdefgh") + str(rnd.randint(0, 999)) for _ in range(n))
+
+
+def test_one_id_on_unrelated_texts_loses_no_component(spark):
+    rnd = random.Random(3)
+    a, b, c, d = (words(rnd) for _ in range(4))
+    check(spark, [(3, a, "x"), (5, a, "x"), (5, b, "x")])  # component of b has no other row
+    # two components share their smallest id; repeated rows of one of them
+    check(spark, [(5, a, "y"), (5, b, "z"), (5, b, "x"), (5, c, "x"), (7, c, "x"), (9, d, "x"), (None, d, "x"), (None, d, "x")])
+
+
+def test_key_with_a_third_of_the_rows(spark):
+    rnd = random.Random(4)
+    base = [words(rnd) for _ in range(25)]
+    rows = [(1, t, str(rnd.randint(0, 9))) for t in base] + [(1, base[0], "0")]
+    rows += [(rnd.choice([None, 0, 2, 3, 4, 5]), rnd.choice(base) if rnd.random() < 0.7 else words(rnd), str(rnd.randint(0, 9))) for _ in range(50)]
+    check(spark, rows)

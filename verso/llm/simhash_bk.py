@@ -68,16 +68,18 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): fp is the unsigned fingerprint stored in a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", kept: str | None = None) -> DataFrame:
+    """(doc_id, fp): fp is the unsigned fingerprint stored in a signed long.
+    ``kept``: a column of longs that is handed through."""
+    names = ["doc_id", "fp", *([kept] if kept else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([simhash(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]], names=names)
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return arrow_map(narrow, run, "doc_id long, fp long")
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *names[2:])
+    return arrow_map(narrow, run, ", ".join(f"{n} long" for n in names))
 
 
 # --- BK-trees, built and searched level by level -------------------------------
@@ -279,12 +281,18 @@ def merged(edges: DataFrame) -> DataFrame:
     return edges
 
 
+def _rooted(fps: DataFrame, radius: int, **search) -> DataFrame:
+    """(fp, low, root): every distinct fingerprint with its smallest id and the
+    smallest fingerprint (as stored) of its component."""
+    nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    reach = merged(links(nodes, radius, **search))
+    return nodes.join(reach.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def components(fps: DataFrame, radius: int = RADIUS, **search) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``fps`` (doc_id, fp)."""
     fps = materialize(fps)
-    nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    reach = merged(links(nodes, radius, **search))
-    rooted = nodes.join(reach.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = _rooted(fps, radius, **search)
     smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     of = rooted.join(smallest, "root").select("fp", "component_id")
     return fps.join(of, "fp").select("doc_id", "fp", "component_id")
@@ -297,14 +305,24 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, **
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each component: the one with the component's id.
-    Rows that repeat an id are thinned to one; rows without an id all stay.
-    Only narrow id tables are shuffled beside the anti-join."""
-    found = materialize(components(fingerprints(docs, shingle), radius))
-    gone = found.filter("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    again = materialize(found.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id"))
-    if again.isEmpty():  # ids are unique: no second pass over the rows
-        return kept
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+    """``docs`` with one row of each component: the smallest by (id, fingerprint, text
+    hash), then by the whole row. An id may stand on several texts: rows are told apart
+    by (id, text hash), components by their root, as two can share their smallest id.
+    Rows without an id all stay. Only narrow tables are shuffled beside the anti-join."""
+    hashed = docs.withColumn("_text_hash", F.xxhash64(F.col("text").cast("string")))
+    fps = materialize(fingerprints(hashed, shingle, kept="_text_hash"))
+    texts = materialize(fps.filter("doc_id IS NOT NULL").groupBy("doc_id", "_text_hash", "fp").agg(F.count("*").alias("rows")))
+    first = materialize(
+        texts.groupBy("fp").agg(F.min(F.struct("doc_id", "_text_hash")).alias("low"))
+        .join(_rooted(fps, radius).select("fp", "root"), "fp")
+        .groupBy("root").agg(F.min(F.struct("low.doc_id", "fp", "low._text_hash")).alias("low"))
+        .select("low.doc_id", "low._text_hash")
+    )
+    key = ["doc_id", "_text_hash"]
+    kept = hashed.join(texts.select(*key).join(first, key, "left_anti"), key, "left_anti").select(*docs.columns, "_text_hash")
+    again = materialize(texts.filter("rows > 1").select(*key).join(first, key, "left_semi"))
+    if again.isEmpty():  # no row to be thinned: no second pass over the rows
+        return kept.select(*docs.columns)
+    row = F.struct(*docs.columns)  # the smallest by all columns, so that a retried task chooses the same
+    once = kept.join(again, key, "left_semi").groupBy(*key).agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
+    return kept.join(again, key, "left_anti").select(*docs.columns).unionByName(once)
