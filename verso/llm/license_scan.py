@@ -4,22 +4,27 @@ Templates become word sequences (lower case, ``\\w+``). Of their Karp-Rabin hash
 ``k`` words, winnowing keeps the smallest of every ``window`` in a row; those go into
 an inverted index. Every k-gram of a document is looked up (not only its own winnowed
 ones), so a document that holds any indexed gram is a candidate, short notices
-included. Hits near one diagonal are one candidate place, aligned with the whole
-template in a band around the diagonal (+1 a match, -1 a substitution, insertion or
-deletion; free ends in the document; the band is at most a quarter of the template). A place is reported from ``threshold`` matched
-share of the template on; overlapping places of one template keep the best.
+included. A seed is not assured at ``threshold`` 0.8, least of all in short templates,
+so places are found by words too: around a diagonal at which ``threshold`` of the
+template's words occur within the template's own length, which every such place has.
+The whole template is aligned with the text around those diagonals (+1 a match, -1 a
+substitution, insertion or deletion; free ends in the document), in a band as wide as
+the text there, so that inserted runs do not split a notice: a place needs under two
+template lengths of insertions to be worth more in parts. A place is reported from
+``threshold`` matched share of the template on; overlapping places of one template keep
+the best.
 
 The index is built from the templates, a parameter of bounded size, in every worker;
 documents are scanned in place, without a shuffle.
 
-Cases: null or empty texts match nothing. Templates under ``k`` words are indexed by
-nothing and never reported. Null ids and repeated rows keep their rows; other columns
+Cases: null or empty texts match nothing, as do templates without a word. Null ids and repeated rows keep their rows; other columns
 are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +39,8 @@ K = 3
 WINDOW = 4
 BAND = 8
 THRESHOLD = 0.8
+_MATCH, _SCORE = 1 << 24, 1 << 36  # units of a matched word and of the score
+_AT_ONCE = 1 << 22  # words aligned at once
 
 # License notices and openings of license texts.
 TEMPLATES = {
@@ -114,12 +121,71 @@ def places(template: np.ndarray, doc: np.ndarray, seeds: list[tuple[int, int]],
     return sorted(out)
 
 
+def near_diagonals(template: np.ndarray, doc: np.ndarray, need: int) -> np.ndarray:
+    """Diagonals with ``need`` template words in the document at most the template's
+    length away, each at its own place of the template (a necessary condition)."""
+    n, order = len(template), np.argsort(doc, kind="stable")
+    lo = np.searchsorted(doc[order], template)
+    size = np.searchsorted(doc[order], template, side="right") - lo
+    i = np.repeat(np.arange(n), size)
+    j = order[np.arange(len(i)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo, size)]
+    start, stop = j - i - n, j - i + n + 1  # increasing for one i
+    same = i[1:] == i[:-1]
+    start[1:] = np.where(same, np.maximum(start[1:], stop[:-1]), start[1:])
+    step = np.zeros(len(doc) + 3 * n + 2, dtype=np.int64)  # diagonal c at c + 2n
+    np.add.at(step, start + 2 * n, 1)
+    np.add.at(step, stop + 2 * n, -1)
+    return np.flatnonzero(np.cumsum(step) >= need) - 2 * n
+
+
+def whole_align(template: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words matched, start) of the best alignment of the whole template that ends
+    before each word of ``doc`` (and at its end); a score is one whole number of score,
+    matched words and minus the start, as in ``align``."""
+    one, at = _SCORE, np.arange(len(doc) + 1)
+    row, gap = -at, at * one
+    for word in template.tolist():
+        new = row - one
+        new[1:] = np.maximum(new[1:], row[:-1] + np.where(doc == word, one + _MATCH, -one))
+        row = np.maximum.accumulate(new + gap) - gap
+    start = -row % _MATCH
+    return (row + start) // _MATCH % (_SCORE // _MATCH), start
+
+
+def whole_places(template: np.ndarray, doc: np.ndarray, diagonals: np.ndarray, need: int) -> list[tuple[int, int, int]]:
+    """Non-overlapping (start, stop, matched) around increasing ``diagonals``."""
+    n, found = len(template), []
+    cuts = np.flatnonzero(np.diff(diagonals) > 3 * n) + 1
+    for run in np.split(diagonals, cuts):
+        first, last = max(0, int(run[0]) - n), min(len(doc), int(run[-1]) + 2 * n)
+        for lo in range(first, max(last, first + 1), _AT_ONCE):  # an alignment spans at most 3n words
+            part = doc[max(first, lo - 4 * n) : min(last, lo + _AT_ONCE)]
+            matched, start = whole_align(template, part)
+            for stop in np.flatnonzero(matched >= need).tolist():
+                a = max(first, lo - 4 * n)
+                found.append((-int(matched[stop]), stop - int(start[stop]), a + int(start[stop]), a + stop))
+    out: list[tuple[int, int, int]] = []
+    for m, _, start, stop in sorted(set(found)):
+        if all(stop <= a or b <= start for a, b, _ in out):
+            out.append((start, stop, -m))
+    return sorted(out)
+
+
+def candidates(index: Block, docs: list[np.ndarray], needs: list[int]) -> Iterator[tuple[int, int]]:
+    """(document, template) of those with ``need`` of the template's words at all."""
+    has = np.zeros((len(docs), len(index.vocab) + 1), dtype=np.float32)
+    has[np.repeat(np.arange(len(docs)), [len(d) for d in docs]), np.concatenate(docs)] = 1
+    weight = np.stack([np.bincount(t, minlength=has.shape[1]) for t in index.items], axis=1).astype(np.float32)
+    for d, item in np.argwhere(has @ weight >= np.array(needs)).tolist():
+        yield d, item
+
+
 @functools.lru_cache(maxsize=4)
 def _index(templates: tuple[str, ...], k: int, window: int) -> Block:
     return Block(list(templates), k, lambda h: winnow(h, window))
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD, band: int = BAND, k: int = K, window: int = WINDOW) -> DataFrame:
+def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD, k: int = K, window: int = WINDOW) -> DataFrame:
     """(doc_id, license, coverage, matched_words, start, stop, n_words): every place
     where a template is matched; start and stop are code points of the text."""
     chosen = dict(sorted((TEMPLATES if templates is None else templates).items()))
@@ -127,16 +193,22 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _index(texts, k, window)
+        needs = [max(1, math.ceil(threshold * len(t) - 1e-9)) for t in index.items]
         for batch, held in slices(batches):
             ids, rows = batch.column("doc_id").to_pylist(), []
             docs_ids = [index.ids(t) for t in held]
-            for d, by_item in index.seeds(docs_ids):
-                spans = None
-                for item, seeds in sorted(by_item.items()):
-                    total = len(index.items[item])
-                    for start, stop, matched in places(index.items[item], docs_ids[d], seeds, band, threshold):
-                        spans = spans or _word_spans(held[d])
-                        rows.append((ids[d], names[item], matched / total, matched, spans[start][0], spans[stop - 1][1], total))
+            if not names:
+                continue
+            seeded = {(d, item): [j - i for i, j in seeds] for d, by_item in index.seeds(docs_ids) for item, seeds in by_item.items()}
+            for d, item in sorted({*seeded, *candidates(index, docs_ids, needs)}):
+                template = index.items[item]
+                near = near_diagonals(template, docs_ids[d], needs[item])
+                near = np.unique(np.concatenate([near, np.array(seeded.get((d, item), []), dtype=np.int64)]))
+                if not len(near):
+                    continue
+                spans = _word_spans(held[d])
+                for start, stop, matched in whole_places(template, docs_ids[d], near, needs[item]):
+                    rows.append((ids[d], names[item], matched / len(template), matched, spans[start][0], spans[stop - 1][1], len(template)))
             if rows:
                 cols = list(zip(*rows))
                 kinds = [pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
