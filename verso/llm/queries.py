@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verso.llm import byte_bpe, chat_events, common, hd_langid, hmm_lm, license_scan, pii_weak, repair_ids, simhash_bk, spot_sigs, string_tiling
+from verso.llm import byte_bpe, chat_events, common, exact_dedup, hd_langid, hmm_lm, license_scan, pii_weak, repair_ids, simhash_bk, spot_sigs, string_tiling
 
 
 def tokenizer_path(name: str) -> str:
@@ -61,6 +61,10 @@ def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bk.near_dedup(common.documents(spark, sf_dir))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.digests(common.documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hd_langid": op1_hd_langid,
     "op2_repair_ids": op2_repair_ids,
@@ -72,7 +76,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hmm_lm": op8_hmm_lm,
     "op9_license_scan": op9_license_scan,
     "op10_simhash_bk": op10_simhash_bk,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
-#: None of these methods can be stated in SQL; tests hold them against brute force.
-ORACLE_SQL: dict[str, str] = {}
+#: The other methods cannot be stated in SQL; tests hold them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op13_exact_dedup": (
+        "SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, "
+        "row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256 "
+        "FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"
+    ),
+}
