@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verso.llm import byte_bpe, chat_events, common, exact_dedup, hd_langid, hmm_lm, license_scan, periodic_runs, pii_weak, repair_ids, simhash_bk, spot_sigs, string_tiling
+from verso.llm import byte_bpe, chat_events, common, exact_dedup, hd_langid, hmm_lm, license_scan, periodic_runs, pii_weak, repair_ids, simhash_bk, spelling_variants, spot_sigs, string_tiling
 
 
 def tokenizer_path(name: str) -> str:
@@ -65,6 +65,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.find(periodic_runs.with_planted_runs(common.documents(spark, sf_dir))))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(spelling_variants.word_counts(common.documents(spark, sf_dir), planted=True))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.digests(common.documents(spark, sf_dir))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9_license_scan,
     "op10_simhash_bk": op10_simhash_bk,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
