@@ -76,11 +76,11 @@ def random_counts(rng, n):
     return out
 
 
-@pytest.mark.parametrize("levels,max_tree", [(1, 20_000), (3, 7), (6, 1)])
-def test_any_sharding(spark, levels, max_tree):
+@pytest.mark.parametrize("levels,max_tree,max_queries", [(1, 20_000, 20_000), (3, 7, 5), (6, 1, 30)])
+def test_any_sharding(spark, levels, max_tree, max_queries):
     counts = random_counts(random.Random(levels), 500)
     df = spark.createDataFrame(list(counts.items()), "word string, n long")
-    assert got(V.variants(df, 1, 1, levels=levels, max_tree=max_tree)) == brute(counts, 1, 1)
+    assert got(V.variants(df, 1, 1, levels=levels, max_tree=max_tree, max_queries=max_queries)) == brute(counts, 1, 1)
 
 
 def test_hot_shard_and_small_slices(spark, monkeypatch):

@@ -15,7 +15,8 @@ The first levels of the trie are its shards: the length and the counts of the fi
 budget reaches: of its own length (from the smaller shard to the larger, so a pair is
 met once) and one letter shorter. ``levels`` grows with the number of words, which keeps
 shards near ``shard_target`` words; the pairs found do not depend on it. A shard above
-``max_tree`` becomes several tries and every query of the shard visits each. Members
+``max_tree`` words becomes several tries and every query of the shard visits each; one
+above ``max_queries`` is dealt to several tasks, each with a copy of the trie. Members
 come first in a task and queries are searched in slices, so memory is bounded by a
 trie and a slice. A task sends one row for each word with a hit (number of near words
 and the best of them), not one for each pair.
@@ -50,6 +51,7 @@ GROUPS = 12
 LEAF = 8
 SHARD_TARGET = 10_000
 MAX_TREE = 20_000
+MAX_QUERIES = 10_000
 _SLICE = 20_000
 _PAIRS_AT_ONCE = 500_000
 _HELD_WORDS = 300_000
@@ -270,7 +272,7 @@ def _searched(trie: Trie, member_rank: np.ndarray, best: _Best, words: list[str]
     return asked.rows(words, n)
 
 
-def near(words: DataFrame, levels: int | None = None, max_tree: int = MAX_TREE, groups: int = GROUPS) -> DataFrame:
+def near(words: DataFrame, levels: int | None = None, max_tree: int = MAX_TREE, max_queries: int = MAX_QUERIES, groups: int = GROUPS) -> DataFrame:
     """(word, n, n_near, form, form_n) for every word of ``words`` (word, n; distinct) that
     has a near word: how many, and the most frequent one."""
     levels = levels or levels_for(words.count())
@@ -308,15 +310,20 @@ def near(words: DataFrame, levels: int | None = None, max_tree: int = MAX_TREE,
                         yield rows(length, shard, 2, ok & (shard > home))
 
     rows = arrow_map(words.select("word", "n"), dealt, "length int, shard long, kind int, word string, n long")
-    members = rows.where("kind = 0").groupBy("length", "shard").count()
-    large = members.select("length", "shard", F.ceil(F.col("count") / max_tree).cast("int").alias("trees")).where("trees > 1")
+    is_member = F.col("kind") == 0
+    sizes = rows.groupBy("length", "shard").agg(F.count_if(is_member).alias("members"), F.count_if(~is_member).alias("queries"))
+    large = sizes.select("length", "shard", *[F.ceil(F.greatest(F.col(c) / most, F.lit(1))).cast("int").alias(to) for c, most, to in (("members", max_tree, "trees"), ("queries", max_queries, "copies"))])
+    large = large.where("trees > 1 OR copies > 1")
+    own = lambda of: F.array(F.pmod(F.xxhash64("word"), F.col(of)).cast("int"))
+    every = lambda of: F.sequence(F.lit(0), F.col(of) - 1)
     spread = (
         rows.join(large, ["length", "shard"], "left")
-        .withColumn("trees", F.coalesce("trees", F.lit(1)))
-        .withColumn("tree", F.explode(F.when(F.col("kind") == 0, F.array(F.pmod(F.xxhash64("word"), F.col("trees")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("trees") - 1))))
-        .drop("trees")
-        .repartition("length", "shard", "tree")
-        .sortWithinPartitions("length", "shard", "tree", "kind")
+        .withColumns({c: F.coalesce(c, F.lit(1)) for c in ("trees", "copies")})
+        .withColumn("tree", F.explode(F.when(is_member, own("trees")).otherwise(every("trees"))))
+        .withColumn("copy", F.explode(F.when(is_member, every("copies")).otherwise(own("copies"))))
+        .drop("trees", "copies")
+        .repartition("length", "shard", "tree", "copy")
+        .sortWithinPartitions("length", "shard", "tree", "copy", "kind")
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,7 +344,7 @@ def near(words: DataFrame, levels: int | None = None, max_tree: int = MAX_TREE,
                 yield best.rows(trie.words, trie.n)
 
         for batch in batches:
-            for *key, kind, word, n in zip(*(c.to_pylist() for c in (batch.column(x) for x in ("length", "shard", "tree", "kind", "word", "n")))):
+            for *key, kind, word, n in zip(*(c.to_pylist() for c in (batch.column(x) for x in ("length", "shard", "tree", "copy", "kind", "word", "n")))):
                 if key != here:
                     yield from finish()
                     here, members, trie, queries = key, [], None, []
