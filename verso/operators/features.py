@@ -9,6 +9,10 @@ every document still sends one row per map task.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import add
+
 from pyspark import keyword_only
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Tokenizer
@@ -18,6 +22,8 @@ from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from verso.session import materialize
+
 # Feature settings of the reference.
 VOCAB_SIZE = 10_000
 MIN_DF = 5.0
@@ -29,39 +35,54 @@ def tokenize(df: DataFrame, text_col: str = "lyrics", out_col: str = "words") ->
     return Tokenizer(inputCol=text_col, outputCol=out_col).transform(df)
 
 
+def _term_events(tokens_df: DataFrame, tokens_col: str, *keep: str) -> tuple[DataFrame, Column]:
+    """(``keep``, term) once for each token and once for each distinct token of a
+    document, and the flag that tells an occurrence from a document.
+
+    All native expressions, so the explode runs in generated code; ``posexplode_outer``
+    keeps Catalyst from inferring a filter that would tokenise twice (tokens are never
+    null)."""
+    words = F.col(tokens_col)
+    events = tokens_df.select(
+        *keep, F.size(words).alias("_n"), F.posexplode_outer(F.concat(words, F.array_distinct(words))).alias("_pos", "term")
+    ).where(F.col("term").isNotNull())
+    return events, F.col("_pos") < F.col("_n")
+
+
 def term_stats(tokens_df: DataFrame, tokens_col: str = "words") -> DataFrame:
     """Per term, total count ``tf`` and document count ``df``.
 
     Each document emits its tokens followed by its distinct tokens; the
     position tells the two apart (below the token count: one occurrence,
-    else: one document). All native expressions, so the explode runs in
-    generated code; ``posexplode_outer`` keeps Catalyst from inferring a
-    filter that would tokenise twice (tokens are never null).
+    else: one document).
     """
-    words = F.col(tokens_col)
-    events = tokens_df.select(
-        F.size(words).alias("_n"), F.posexplode_outer(F.concat(words, F.array_distinct(words))).alias("_pos", "term")
-    ).where(F.col("term").isNotNull())
-    occurrence = F.col("_pos") < F.col("_n")
+    events, occurrence = _term_events(tokens_df, tokens_col)
     return events.groupBy("term").agg(
         F.sum(occurrence.cast("bigint")).alias("tf"), F.sum((~occurrence).cast("bigint")).alias("df")
     )
 
 
-def doc_term_counts(tokens_df: DataFrame, id_col: str = "doc_id", tokens_col: str = "words") -> DataFrame:
-    """Count of each token in each document (shuffle on the pair, which has
-    no hot key: a document is at most its own length).
+def term_stats_by_group(tokens_df: DataFrame, group_col: str, groups: int, tokens_col: str = "words") -> DataFrame:
+    """A6 for every group of documents at once: per term, ``tf`` and ``df`` as arrays with
+    an entry for each group 0..groups-1.
 
-    ``explode_outer`` plus a null filter gives the same rows as ``explode``
-    (tokens are never null) but stops Catalyst from inferring a
-    ``size(tokens) > 0`` filter that would run the tokenizer twice per row.
+    The same pass and the same partial aggregate as ``term_stats``, with ``groups`` pairs
+    of sums for one. The statistics of any union of groups (all folds but one, say)
+    are sums over its entries (``stats_of_groups``); the texts are not read again.
     """
-    return (
-        tokens_df.select(id_col, F.explode_outer(tokens_col).alias("term"))
-        .where(F.col("term").isNotNull())
-        .groupBy(id_col, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    events, occurrence = _term_events(tokens_df, tokens_col, group_col)
+
+    def sums(flag: Column) -> Column:
+        return F.array(*[F.sum((flag & (F.col(group_col) == g)).cast("bigint")) for g in range(groups)])
+
+    return events.groupBy("term").agg(sums(occurrence).alias("tf"), sums(~occurrence).alias("df"))
+
+
+def stats_of_groups(stats: DataFrame, keep: Iterable[int]) -> DataFrame:
+    """``term_stats`` of the documents in the groups ``keep``, from ``term_stats_by_group``."""
+    keep = list(keep)
+    tf, df = (reduce(add, [F.get(c, F.lit(g)) for g in keep]).alias(c) for c in ("tf", "df"))
+    return stats.select("term", tf, df).where("df > 0")
 
 
 def row_term_counts(tokens_df: DataFrame, tokens_col: str = "words", out_col: str = "counts") -> DataFrame:
@@ -159,6 +180,19 @@ class Vocabulary(Estimator, HasInputCol, HasOutputCol):
         )
 
 
+def tfidf_model(terms: Sequence[str], weights: Sequence[float], input_col: str, counts_col: str, output_col: str) -> PipelineModel:
+    """The fitted TF-IDF stages of a vocabulary: counts, then each count by its weight."""
+    counts = CountVectorizerModel.from_vocabulary(list(terms), inputCol=input_col, outputCol=counts_col)
+    product = ElementwiseProduct(scalingVec=Vectors.dense(list(weights)), inputCol=counts_col, outputCol=output_col)
+    return PipelineModel(stages=[counts, product])
+
+
+def weighted_vocabulary(stats: DataFrame, n_docs: Column, vocab_size: int, min_df: float) -> list[tuple[str, float]]:
+    """(term, IDF weight) in index order: at most ``vocab_size`` rows on the driver."""
+    vocab = idf_weights(vocabulary(stats, vocab_size, min_df, n_docs), n_docs)
+    return [(r["term"], r["idf"]) for r in vocab.select("index", "term", "idf").orderBy("index").collect()]
+
+
 class TfIdf(Estimator, HasInputCol, HasOutputCol):
     """Term counts and IDF weights fitted in one pass (M3 + M4 fused).
 
@@ -186,17 +220,46 @@ class TfIdf(Estimator, HasInputCol, HasOutputCol):
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         col = self.getInputCol()
         tokens = dataset.select(col)
-        stats = term_stats(tokens, col)
         n_docs = tokens.select(F.count(F.lit(1))).scalar()
-        min_df = self.getOrDefault(self.minDF)
-        vocab = idf_weights(vocabulary(stats, self.getOrDefault(self.vocabSize), min_df, n_docs), n_docs)
-        rows = vocab.select("index", "term", "idf").orderBy("index").collect()
-        counts_col = self.getOrDefault(self.countsCol)
-        counts = CountVectorizerModel.from_vocabulary(
-            [r["term"] for r in rows], inputCol=col, outputCol=counts_col
-        )
-        weights = ElementwiseProduct(
-            scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol=counts_col,
-            outputCol=self.getOutputCol(),
-        )
-        return PipelineModel(stages=[counts, weights])
+        return self.model(weighted_vocabulary(term_stats(tokens, col), n_docs, self.getOrDefault(self.vocabSize), self.getOrDefault(self.minDF)))
+
+    def model(self, vocab: Sequence[tuple[str, float]]) -> PipelineModel:
+        """The fitted stages for a vocabulary with weights."""
+        return tfidf_model([t for t, _ in vocab], [w for _, w in vocab], self.getInputCol(), self.getOrDefault(self.countsCol), self.getOutputCol())
+
+
+class GroupedTfIdf:
+    """TF-IDF stages for any union of groups of documents, from one aggregate.
+
+    ``tokens`` has the estimator's input column and ``group_col`` (0..groups-1). The
+    texts are read once: terms are counted in all groups together
+    (``term_stats_by_group``), and every vocabulary and every weight comes from the small
+    table of terms that are frequent enough somewhere, written once to the checkpoint
+    folder. A smaller vocabulary is the beginning of a larger one, so each union of
+    groups is ranked once for all sizes. On the driver are at most ``vocab_size`` terms
+    for each union asked for.
+    """
+
+    def __init__(self, tfidf: TfIdf, tokens: DataFrame, group_col: str, groups: int, vocab_size: int | None = None):
+        self.tfidf, self.groups = tfidf, groups
+        self.vocab_size, self.min_df = vocab_size or tfidf.getOrDefault(tfidf.vocabSize), tfidf.getOrDefault(tfidf.minDF)
+        stats = term_stats_by_group(tokens, group_col, groups, tfidf.getInputCol())
+        if self.min_df >= 1.0:  # too rare in all groups together: too rare in any union
+            total = F.aggregate("df", F.lit(0).cast("bigint"), lambda a, x: a + x)
+            stats = stats.where(total >= self.min_df)
+        self.stats = materialize(stats)
+        self.n_docs = {r[group_col]: r["count"] for r in tokens.groupBy(group_col).count().collect()}  # one row a group
+        self._vocab: dict[frozenset[int], list[tuple[str, float]]] = {}
+
+    def rows(self, keep: Iterable[int]) -> int:
+        """Documents in the groups ``keep``."""
+        return sum(self.n_docs.get(g, 0) for g in set(keep))
+
+    def model(self, keep: Iterable[int], vocab_size: int | None = None) -> PipelineModel:
+        """The stages that ``TfIdf`` would fit on the documents in the groups ``keep``."""
+        keep, size = frozenset(keep), vocab_size or self.vocab_size
+        if size > self.vocab_size:
+            raise ValueError(f"a vocabulary of {size} terms was asked for, {self.vocab_size} are ranked")
+        if keep not in self._vocab:
+            self._vocab[keep] = weighted_vocabulary(stats_of_groups(self.stats, sorted(keep)), F.lit(self.rows(keep)), self.vocab_size, self.min_df)
+        return self.tfidf.model(self._vocab[keep][:size])

@@ -299,6 +299,6 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "train_merged": (
         f"WITH {_PREPARED_TEXT}, {_TURNS}, merged AS (SELECT doc_id FROM prepared UNION ALL SELECT doc_id FROM turns) "
-        f"SELECT 8 AS grid_points, CAST(count(*) AS BIGINT) AS n_trained, CAST(count(*) FILTER ({_BUCKET} >= 8) AS BIGINT) AS n_test, 1 AS f1_ok FROM merged"
+        f"SELECT 8 AS grid_points, CAST(count(*) AS BIGINT) AS n_trained, CAST(count(*) FILTER ({_BUCKET} >= 8) AS BIGINT) AS n_test, 1 AS f1_ok, 1 AS cv_f1_ok FROM merged"
     ),
 }
