@@ -45,6 +45,8 @@ from verso.operators.prepare import (
     hash_split,
     prepare_rows,
     prepare_text_rows,
+    sample_hash,
+    sample_per_class,
 )
 from verso.operators.score import decode_label, labels_array, percent, score, score_json
 from verso.plans.corpus import build_corpus, corpus_from_documents, corpus_records_from_documents, corpus_report
@@ -309,6 +311,19 @@ def q_hash_split(spark, d):
     )
 
 
+SAMPLE_ROWS = 100
+
+
+def q_class_sample(spark, d):
+    """The labelled rows that a bounded fit uses: of each class those of the smallest
+    id hash; next to them the class's size."""
+    rows = prepare_text_rows(songs(spark, d), keep=("doc_id",)).select("doc_id", "genre")
+    taken = sample_per_class(rows, SAMPLE_ROWS).groupBy("genre").agg(F.count(F.lit(1)).alias("taken"), F.max(sample_hash("doc_id")).alias("_last"))
+    # of the class, the rows up to the last one taken: as many as were taken
+    both = rows.join(taken, "genre").groupBy("genre", "taken").agg(F.count(F.lit(1)).alias("n"), F.count_if(sample_hash("doc_id") <= F.col("_last")).alias("smallest"))
+    return both.select("genre", "n", "taken", "smallest")
+
+
 # ------------------------------------------------------------ features
 
 def q_label_index(spark, d):
@@ -522,6 +537,7 @@ QUERIES: dict[str, Query] = {
     "prepare_text_rows": q_prepare_text_rows,
     "genre_distribution": q_genre_distribution,
     "hash_split": q_hash_split,
+    "class_sample": q_class_sample,
     "label_index": q_label_index,
     "decode_label": q_decode_label,
     "term_frequencies": q_term_frequencies,

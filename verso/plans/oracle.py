@@ -254,6 +254,10 @@ ORACLE_SQL: dict[str, str] = {
         "CASE WHEN ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 10 < 8 "
         "THEN 'train' ELSE 'test' END AS split FROM documents"
     ),
+    "class_sample": (
+        f"WITH {_PREPARED_TEXT} SELECT genre, count(*)::BIGINT AS n, least(count(*), 100)::BIGINT AS taken, least(count(*), 100)::BIGINT AS smallest "
+        "FROM prepared GROUP BY genre"
+    ),
     "label_index": (
         f"WITH {_PREPARED_TEXT} SELECT genre, n, CAST(row_number() OVER (ORDER BY n DESC, genre) - 1 AS DOUBLE) AS label "
         "FROM (SELECT genre, count(*)::BIGINT AS n FROM prepared WHERE genre IS NOT NULL GROUP BY genre)"
