@@ -1,0 +1,54 @@
+"""Rare terms dropped before the shuffle: the same rows for any sketch size."""
+
+import pytest
+from pyspark.ml.feature import Tokenizer
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from verso.operators import features as feat
+from verso.operators.model import fit_classifier, small_settings
+from verso.operators.prepare import prepare_text_rows, with_fold
+from verso.sources.tables import songs
+
+
+@pytest.fixture(scope="module")
+def tokens(spark):
+    rows = with_fold(prepare_text_rows(songs(spark, SF_SMALL), keep=("doc_id",)), folds=3)
+    return Tokenizer(inputCol="lyrics", outputCol="words").transform(rows).select("words", "fold").cache()
+
+
+@pytest.mark.parametrize("buckets", [1, 64, 1000, 1 << 20])
+def test_same_rows_for_any_sketch(spark, tokens, buckets):
+    want = sorted(map(tuple, feat.term_stats(tokens).where("df >= 3").collect()))
+    got = feat.frequent_term_stats(tokens, 3.0, buckets=buckets)
+    assert sorted(map(tuple, got.collect())) == want
+    grouped = [sorted((r["term"], *r["tf"], *r["df"]) for r in feat.term_stats_by_group(tokens, "fold", 3, min_df=3.0, buckets=b).collect()) for b in (0, buckets)]
+    assert grouped[0] == grouped[1]
+
+
+def test_the_sketch_never_underestimates_and_spares(spark, tokens):
+    stats = feat.term_stats(tokens)
+    for buckets in (64, 1 << 16):
+        bucket = F.pmod(F.xxhash64("term"), F.lit(buckets))
+        found = feat.frequent_filter(tokens, 4.0, buckets=buckets).collect()
+        masks = {r["_word"]: r["_mask"] for r in found}
+        assert len(masks) <= buckets / 64
+        passes = {r["term"]: masks.get(r["b"] // 64, 0) >> (r["b"] % 64) & 1 for r in stats.select("term", bucket.alias("b")).collect()}
+        df = {r["term"]: r["df"] for r in stats.collect()}
+        assert all(passes[t] for t in df if df[t] >= 4)
+    rare = [t for t in df if df[t] < 4]
+    assert sum(passes[t] for t in rare) < 0.2 * len(rare)
+
+
+def test_hot_term_and_empty_input(spark):
+    hot = spark.range(2_000).select(F.split(F.concat_ws(" ", F.lit("the the"), F.col("id").cast("string")), " ").alias("words"))
+    assert [tuple(r) for r in feat.frequent_term_stats(hot, 5.0).collect()] == [("the", 4_000, 2_000)]
+    none = spark.createDataFrame([], "words array<string>")
+    assert feat.frequent_term_stats(none, 5.0).collect() == []
+
+
+def test_the_fit_is_the_same(spark):
+    rows = prepare_text_rows(songs(spark, SF_SMALL), keep=("doc_id",))
+    a, b = (fit_classifier(rows, small_settings(vocab_size=60, num_trees=3, max_depth=3, min_df=3.0, sketch_buckets=n)) for n in (0, 1 << 12))
+    assert a.stages[1].vocabulary == b.stages[1].vocabulary and a.stages[2].getScalingVec() == b.stages[2].getScalingVec()
+    assert a.stages[-1].toDebugString.split("\n")[1:] == b.stages[-1].toDebugString.split("\n")[1:]

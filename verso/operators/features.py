@@ -28,6 +28,10 @@ from verso.session import materialize
 VOCAB_SIZE = 10_000
 MIN_DF = 5.0
 
+# Buckets of the sketch that finds rare terms before the shuffle; raise it with the number
+# of distinct terms (4 million buckets are a broadcast of 65,536 words).
+SKETCH_BUCKETS = 1 << 22
+
 
 def tokenize(df: DataFrame, text_col: str = "lyrics", out_col: str = "words") -> DataFrame:
     """Lower-case, split on single ASCII white-space characters
@@ -62,20 +66,69 @@ def term_stats(tokens_df: DataFrame, tokens_col: str = "words") -> DataFrame:
     )
 
 
-def term_stats_by_group(tokens_df: DataFrame, group_col: str, groups: int, tokens_col: str = "words") -> DataFrame:
+def term_stats_by_group(
+    tokens_df: DataFrame, group_col: str, groups: int, tokens_col: str = "words", min_df: float = 0.0, buckets: int = 0,
+) -> DataFrame:
     """A6 for every group of documents at once: per term, ``tf`` and ``df`` as arrays with
     an entry for each group 0..groups-1.
 
     The same pass and the same partial aggregate as ``term_stats``, with ``groups`` pairs
     of sums for one. The statistics of any union of groups (all folds but one, say)
-    are sums over its entries (``stats_of_groups``); the texts are not read again.
+    are sums over its entries (``stats_of_groups``); the texts are not read again. Only
+    terms in at least ``min_df`` documents of all groups together; ``buckets`` > 0 drops
+    most others before the shuffle (``frequent_filter``).
     """
-    events, occurrence = _term_events(tokens_df, tokens_col, group_col)
+    if buckets and min_df > 1.0:
+        events, occurrence = _frequent_events(tokens_df, min_df, buckets, tokens_col, group_col)
+    else:
+        events, occurrence = _term_events(tokens_df, tokens_col, group_col)
 
     def sums(flag: Column) -> Column:
         return F.array(*[F.sum((flag & (F.col(group_col) == g)).cast("bigint")) for g in range(groups)])
 
-    return events.groupBy("term").agg(sums(occurrence).alias("tf"), sums(~occurrence).alias("df"))
+    stats = events.groupBy("term").agg(sums(occurrence).alias("tf"), sums(~occurrence).alias("df"))
+    return stats.where(F.aggregate("df", F.lit(0).cast("bigint"), lambda a, x: a + x) >= min_df)
+
+
+def frequent_filter(tokens_df: DataFrame, min_df: float, tokens_col: str = "words", buckets: int = SKETCH_BUCKETS) -> DataFrame:
+    """(word, mask): a bitmap of the hash buckets that may hold a term of at least
+    ``min_df`` documents.
+
+    A counting sketch: every document counts once in the bucket of each of its distinct
+    terms. A bucket's count is the sum of its terms' document counts, so a bucket below
+    ``min_df`` holds no term that reaches it: the sketch only overestimates. Counting is
+    a partial aggregate of at most ``buckets`` rows a task, whatever the number of
+    terms; the bitmap has at most ``buckets`` / 64 words.
+    """
+    events, occurrence = _term_events(tokens_df, tokens_col)
+    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets))
+    counts = events.where(~occurrence).groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_df)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("_bucket", F.lit(64)).cast("int"))
+    return counts.select(F.floor(F.col("_bucket") / 64).alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_mask"))
+
+
+def _frequent_events(tokens_df: DataFrame, min_df: float, buckets: int, tokens_col: str, *keep: str) -> tuple[DataFrame, Column]:
+    """``_term_events`` without the terms that ``frequent_filter`` shows to be too rare.
+    The broadcast is bounded by ``buckets`` / 64 rows of two numbers."""
+    events, occurrence = _term_events(tokens_df, tokens_col, *keep)
+    found = F.broadcast(frequent_filter(tokens_df, min_df, tokens_col, buckets))
+    hashed = events.withColumn("_bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)))
+    hashed = hashed.withColumn("_word", F.floor(F.col("_bucket") / 64)).join(found, "_word")
+    return hashed.where(F.getbit("_mask", F.pmod("_bucket", F.lit(64)).cast("int")) == 1), occurrence
+
+
+def frequent_term_stats(tokens_df: DataFrame, min_df: float, tokens_col: str = "words", buckets: int = SKETCH_BUCKETS) -> DataFrame:
+    """``term_stats`` of the terms in at least ``min_df`` documents.
+
+    Most distinct terms of a corpus are rare, and each task would shuffle its own. Terms
+    that the sketch shows to be too rare are dropped before the shuffle; what passes is
+    counted exactly and cut at ``min_df``, so the rows are those of
+    ``term_stats(...).where(df >= min_df)``. ``tokens_df`` is read twice (persisted tokens,
+    in a fit).
+    """
+    events, occurrence = _frequent_events(tokens_df, min_df, buckets, tokens_col)
+    stats = events.groupBy("term").agg(F.sum(occurrence.cast("bigint")).alias("tf"), F.sum((~occurrence).cast("bigint")).alias("df"))
+    return stats.where(F.col("df") >= min_df)
 
 
 def stats_of_groups(stats: DataFrame, keep: Iterable[int]) -> DataFrame:
@@ -209,19 +262,22 @@ class TfIdf(Estimator, HasInputCol, HasOutputCol):
     vocabSize = Param(Params._dummy(), "vocabSize", "max vocabulary size", TypeConverters.toInt)
     minDF = Param(Params._dummy(), "minDF", "min documents (>=1) or share (<1)", TypeConverters.toFloat)
     countsCol = Param(Params._dummy(), "countsCol", "column of the raw counts", TypeConverters.toString)
+    sketchBuckets = Param(Params._dummy(), "sketchBuckets", "drop rare terms before the shuffle; 0: count all terms", TypeConverters.toInt)
 
     @keyword_only
     def __init__(self, *, inputCol="words", outputCol="features", countsCol="rawFeatures",
-                 vocabSize=VOCAB_SIZE, minDF=MIN_DF):
+                 vocabSize=VOCAB_SIZE, minDF=MIN_DF, sketchBuckets=0):
         super().__init__()
-        self._setDefault(vocabSize=VOCAB_SIZE, minDF=MIN_DF, countsCol="rawFeatures")
+        self._setDefault(vocabSize=VOCAB_SIZE, minDF=MIN_DF, countsCol="rawFeatures", sketchBuckets=0)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         col = self.getInputCol()
         tokens = dataset.select(col)
         n_docs = tokens.select(F.count(F.lit(1))).scalar()
-        return self.model(weighted_vocabulary(term_stats(tokens, col), n_docs, self.getOrDefault(self.vocabSize), self.getOrDefault(self.minDF)))
+        min_df, buckets = self.getOrDefault(self.minDF), self.getOrDefault(self.sketchBuckets)
+        stats = frequent_term_stats(tokens, min_df, col, buckets) if buckets and min_df > 1.0 else term_stats(tokens, col)
+        return self.model(weighted_vocabulary(stats, n_docs, self.getOrDefault(self.vocabSize), min_df))
 
     def model(self, vocab: Sequence[tuple[str, float]]) -> PipelineModel:
         """The fitted stages for a vocabulary with weights."""
@@ -243,11 +299,9 @@ class GroupedTfIdf:
     def __init__(self, tfidf: TfIdf, tokens: DataFrame, group_col: str, groups: int, vocab_size: int | None = None):
         self.tfidf, self.groups = tfidf, groups
         self.vocab_size, self.min_df = vocab_size or tfidf.getOrDefault(tfidf.vocabSize), tfidf.getOrDefault(tfidf.minDF)
-        stats = term_stats_by_group(tokens, group_col, groups, tfidf.getInputCol())
-        if self.min_df >= 1.0:  # too rare in all groups together: too rare in any union
-            total = F.aggregate("df", F.lit(0).cast("bigint"), lambda a, x: a + x)
-            stats = stats.where(total >= self.min_df)
-        self.stats = materialize(stats)
+        # too rare in all groups together: too rare in any union
+        least = self.min_df if self.min_df >= 1.0 else 0.0
+        self.stats = materialize(term_stats_by_group(tokens, group_col, groups, tfidf.getInputCol(), least, tfidf.getOrDefault(tfidf.sketchBuckets)))
         self.n_docs = {r[group_col]: r["count"] for r in tokens.groupBy(group_col).count().collect()}  # one row a group
         self._vocab: dict[frozenset[int], list[tuple[str, float]]] = {}
 

@@ -349,6 +349,11 @@ def q_term_frequencies(spark, d):
     return feat.term_stats(_tokens(spark, d), "words")
 
 
+def q_frequent_terms(spark, d):
+    """Statistics of the terms that a vocabulary may hold; rare ones go before the shuffle."""
+    return feat.frequent_term_stats(_tokens(spark, d), feat.MIN_DF, "words")
+
+
 def _vocab(spark, d):
     return feat.vocabulary(feat.term_stats(_tokens(spark, d), "words"), feat.VOCAB_SIZE, feat.MIN_DF)
 
@@ -541,6 +546,7 @@ QUERIES: dict[str, Query] = {
     "label_index": q_label_index,
     "decode_label": q_decode_label,
     "term_frequencies": q_term_frequencies,
+    "frequent_terms": q_frequent_terms,
     "vocabulary": q_vocabulary,
     "idf_weights": q_idf_weights,
     "tfidf_terms": q_tfidf_terms,

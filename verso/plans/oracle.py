@@ -270,6 +270,7 @@ ORACLE_SQL: dict[str, str] = {
         "LEFT JOIN idx i ON i.label = d.n_chars % ((SELECT count(*) FROM idx) + 1)"
     ),
     "term_frequencies": f"WITH {_STATS} SELECT term, tf, df FROM stats",
+    "frequent_terms": f"WITH {_STATS} SELECT term, tf, df FROM stats WHERE df >= 5",
     "vocabulary": f"WITH {_VOCAB} SELECT term, tf, df, index FROM vocab",
     "idf_weights": f"WITH {_IDF} SELECT term, df, round(idf, 6) AS idf FROM idf",
     "tfidf_terms": (
