@@ -58,6 +58,7 @@ from verso.sources.models import load_model, save_model
 from verso.sources.payload import corpus_records_from_payloads, payload_records
 from verso.sources.tables import read_table, song_years, songs
 from verso.streaming.score_stream import run_score_stream
+from verso.streaming.split_stream import done_batches, read_split, start_split_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -483,6 +484,21 @@ def q_score_stream(spark, d):
     return both.select("doc_id", _flag(F.col("a") == F.col("b")).alias("equal"))
 
 
+def q_score_stream_split(spark, d):
+    """Every document through the stream with rejects: which table it is in, why, and the
+    counts that its batch reported."""
+    model, landing, sink = _fitted(spark, d).model, scratch_path(spark, "landing"), scratch_path(spark, "split")
+    _docs(spark, d).select("doc_id", "text").write.parquet(landing)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+    start_split_stream(spark, model, landing, schema, sink, scratch_path(spark, "split-ckpt"), text_col="text", max_files_per_trigger=4).awaitTermination()
+    accepted = read_split(spark, sink, "accepted", "doc_id long, predicted_label string").select("doc_id", F.lit("accepted").alias("kind"), F.lit(None).cast("string").alias("error"), _flag(F.col("predicted_label").isNotNull()).alias("has_label"), "batch")
+    rejected = read_split(spark, sink, "rejected", "doc_id long, error string").select("doc_id", F.lit("rejected").alias("kind"), "error", F.lit(0).alias("has_label"), "batch")
+    rows = accepted.unionByName(rejected)
+    seen = rows.groupBy("batch").agg(F.count_if(F.col("kind") == "accepted").alias("_a"), F.count_if(F.col("kind") == "rejected").alias("_r"))
+    equal = _flag((F.col("accepted") == F.col("_a")) & (F.col("rejected") == F.col("_r"))).alias("counts_ok")
+    return rows.join(done_batches(spark, sink).join(seen, "batch").select("batch", equal), "batch").drop("batch")
+
+
 def q_tune_classifier(spark, d):
     train, test = hash_split(prepare_text_rows(songs(spark, d), keep=("doc_id",)))
     model, avg = tune_classifier(train, ForestSettings(layout_parts=MERGED_LAYOUT), parallelism=TUNING_FITS)
@@ -561,6 +577,7 @@ QUERIES: dict[str, Query] = {
     "score_json": q_score_json,
     "score_conversations": q_score_conversations,
     "score_stream": q_score_stream,
+    "score_stream_split": q_score_stream_split,
     "tune_classifier": q_tune_classifier,
     "train_merged": q_train_merged,
 }

@@ -299,6 +299,10 @@ ORACLE_SQL: dict[str, str] = {
     "score_json": _SCORED,
     "score_conversations": f"SELECT conv_id, turn, error, {_CHECKED} FROM (SELECT conv_id, turn, {_ERROR} AS error FROM conversations)",
     "score_stream": "SELECT doc_id, 1 AS equal FROM documents",
+    "score_stream_split": (
+        f"SELECT doc_id, CASE WHEN error IS NULL THEN 'accepted' ELSE 'rejected' END AS kind, error, CAST(error IS NULL AS INTEGER) AS has_label, 1 AS counts_ok "
+        f"FROM (SELECT doc_id, {_ERROR} AS error FROM documents)"
+    ),
     "tune_classifier": (
         f"WITH {_PREPARED_TEXT} SELECT 8 AS grid_points, CAST(count(*) AS BIGINT) AS n_test, 1 AS f1_ok, 1 AS cv_f1_ok FROM prepared WHERE {_BUCKET} >= 8"
     ),
