@@ -37,6 +37,7 @@ from verso.operators.filters import (
     to_song_schema,
     with_default_year,
 )
+from verso.operators.growing_corpus import GrowingCorpus
 from verso.operators.model import ForestSettings, tune_classifier
 from verso.operators.prepare import (
     TRAIN_BUCKETS,
@@ -204,6 +205,16 @@ def q_dedup_songs(spark, d):
     return _dedup(spark, d).select("doc_id", "artist_name", "title_key")
 
 
+def q_append_corpus(spark, d):
+    """All songs appended in two runs, odd ids after even ones: a song of the second run
+    is new only if the first did not have it."""
+    rows = songs(spark, d).select("doc_id", "artist_name", "track_name")
+    corpus = GrowingCorpus(spark, scratch_path(spark, "growing"), rows.schema)
+    for run in (0, 1):
+        corpus.append(rows.where(F.pmod("doc_id", F.lit(2)) == run), run)
+    return corpus.songs().select("doc_id", "artist_name", corp.text_key("track_name").alias("title_key"), "run")
+
+
 def q_cap_at_target(spark, d):
     return _capped(spark, d).select("doc_id", "artist_name", "title_key")
 
@@ -543,6 +554,7 @@ QUERIES: dict[str, Query] = {
     "search_hits": q_search_hits,
     "top_songs_per_artist": q_top_songs_per_artist,
     "dedup_songs": q_dedup_songs,
+    "append_corpus": q_append_corpus,
     "cap_at_target": q_cap_at_target,
     "songs_per_artist": q_songs_per_artist,
     "corpus_totals": q_corpus_totals,

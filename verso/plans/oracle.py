@@ -227,6 +227,10 @@ ORACLE_SQL: dict[str, str] = {
         "(PARTITION BY source ORDER BY n_chars DESC, doc_id) AS INTEGER) AS rank FROM documents) WHERE rank <= 10"
     ),
     "dedup_songs": f"WITH {_DEDUP} SELECT doc_id, artist_name, sha256(track_name) AS title_key FROM dedup",
+    "append_corpus": (
+        "SELECT doc_id, source AS artist_name, sha256(text) AS title_key, run FROM (SELECT *, CAST(doc_id & 1 AS BIGINT) AS run, "
+        "row_number() OVER (PARTITION BY source, text ORDER BY doc_id & 1, doc_id) AS rn FROM documents) WHERE rn = 1"
+    ),
     "cap_at_target": f"WITH {_CAPPED} SELECT doc_id, artist_name, sha256(track_name) AS title_key FROM capped",
     "songs_per_artist": f"WITH {_CAPPED} SELECT artist_name, count(*)::BIGINT AS songs FROM capped GROUP BY artist_name",
     "corpus_totals": (
