@@ -1,0 +1,90 @@
+"""Payloads of any shape: against a plain JSON reading."""
+
+import json
+
+import pytest
+
+from verso.sources.landing import FIELDS, parsed, split_payloads
+
+PAYLOADS = [
+    None, "", "  \n\t", "{", "nope", "[1]", "3", "null", '"text"', "true", "{}", '{"a": 1}',
+    '{"artist": {"name": "x"}, "song": {"id": 5, "title": "t", "lyrics": "l"}}',
+    '{"artist": {"name": 5}}', '{"artist": "x"}', '{"artist": null, "song": {"id": null}}', '{"artist": []}',
+    '{"song": {"id": "5"}}', '{"song": {"id": 5.5}}', '{"song": {"id": true}}', '{"song": {"title": {"a": 1}}}', '{"song": {"lyrics": [1]}}',
+    '{"detail": {"song": {"release_date": "May 1999", "album": {"release_date": "2001"}}}}',
+    '{"detail": {"song": {"release_date": null, "album": {"release_date": "in 2001-02"}}}}',
+    '{"detail": {"song": {"release_date": "soon", "album": null}}}', '{"detail": {"song": {"album": "no"}}}', '{"detail": 1, "artist": 2}',
+    '{"song": {"id": 9007199254740993, "extra": 1}, "more": {"k": [1, "two", null]}, "z": "\\u00e9"}',
+    '{"artist": {"name": "a"}} trailing', '{"artist": {"name": "a"}, "artist": {"name": "b"}}',
+    '{"a": 1}}', '{"a": 1}, {"b": 2}', '{"a": 1} {"b": 2}', '{"a": 1}], [{"b": 2}', '{"a": 1}]', '{"a": "x] y"}', '{"a": 1}, ', "null, null",
+    json.dumps({"song": {"lyrics": "[Verse] " + "long " * 300_000}, "note": "kept"}),
+]
+
+
+class Malformed(ValueError):
+    pass
+
+
+def _unique(pairs):
+    if len({k for k, _ in pairs}) < len(pairs):
+        raise Malformed
+    return dict(pairs)
+
+
+def brute(raw):
+    if raw is None or not raw.strip():
+        return "empty", None, None
+    try:
+        v = json.loads(raw, object_pairs_hook=_unique)
+    except ValueError:
+        return "malformed", None, None
+    if not isinstance(v, dict):
+        return "not an object", None, None
+    got, wrong_field, wrong_level = {}, None, []
+    for name, path, kind in FIELDS:
+        at, parts = v, path.split(".")
+        for i, p in enumerate(parts[:-1]):
+            at = at.get(p)
+            if at is not None and not isinstance(at, dict):
+                wrong_level.append(".".join(parts[: i + 1]))
+                at = None
+            if at is None:
+                break
+        value = at.get(parts[-1]) if at is not None else None
+        ok = value is None or (isinstance(value, str) if kind == "string" else isinstance(value, int) and not isinstance(value, bool))
+        if not ok:
+            wrong_field = wrong_field or path
+        got[name] = value
+    if wrong_field or wrong_level:
+        return f"wrong type: {wrong_field or min(wrong_level, key=lambda p: (p.count('.'), p))}", None, None
+    other = {k: x for k, x in v.items() if k not in ("artist", "song", "detail")}
+    return None, got, other or None
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_against_plain_json(spark, parts):
+    df = spark.createDataFrame(list(enumerate(PAYLOADS)), "id long, payload string").repartition(parts)
+    for r in parsed(df, keep=("id",)).collect():
+        reason, fields, other = brute(PAYLOADS[r["id"]])
+        assert r["reason"] == reason, PAYLOADS[r["id"]]
+        assert r["payload"] == PAYLOADS[r["id"]]
+        assert (json.loads(r["other"]) if r["other"] else None) == other
+        for name in ("artist_name", "song_id", "track_name", "lyrics"):
+            assert r[name] == (fields[name] if fields else None)
+
+
+def test_years_and_split(spark):
+    df = spark.createDataFrame(list(enumerate(PAYLOADS)), "id long, payload string")
+    records, rejected = split_payloads(df, keep=("id",))
+    years = {r["id"]: r["release_year"] for r in records.collect()}
+    assert [years[i] for i in (22, 23, 24)] == ["1999", "2001", None]
+    bad = {r["id"]: r["payload"] for r in rejected.collect()}
+    assert set(years) | set(bad) == set(range(len(PAYLOADS))) and not set(years) & set(bad)
+    assert all(bad[i] == PAYLOADS[i] for i in bad)
+
+
+def test_no_shuffle_and_empty_input(spark):
+    df = spark.createDataFrame([], "id long, payload string")
+    records, rejected = split_payloads(df, keep=("id",))
+    assert records.count() == rejected.count() == 0
+    assert "Exchange" not in records._jdf.queryExecution().executedPlan().toString()

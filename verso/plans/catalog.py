@@ -55,6 +55,7 @@ from verso.plans.training import evaluate, train_and_evaluate, train_merged
 from verso.schema import SONG_COLUMNS, SONG_SCHEMA
 from verso.session import materialize, scratch_path, spread
 from verso.sources.csv import read_songs_csv, write_songs_csv
+from verso.sources.landing import parsed
 from verso.sources.models import load_model, save_model
 from verso.sources.payload import corpus_records_from_payloads, payload_records
 from verso.sources.tables import read_table, song_years, songs
@@ -275,6 +276,22 @@ def landed_payloads(spark, d):
     return joined.select("doc_id", F.col("n_chars").alias("popularity"), F.to_json(payload).alias("payload"))
 
 
+def q_landed_variants(spark, d):
+    """A payload of some kind from every document: as landed, with unknown keys, with a
+    wrong type, empty, a list, cut off."""
+    docs, k = _docs(spark, d), F.col("doc_id") % 6
+    artist = F.struct(F.col("source").alias("name")).alias("artist")
+    good = F.to_json(F.struct(artist, F.struct(F.col("doc_id").alias("id"), F.col("text").alias("lyrics")).alias("song")))
+    unknown = F.to_json(F.struct(F.struct(F.col("text").alias("lyrics")).alias("song"), F.struct("lang", "n_chars").alias("about")))
+    wrong = F.to_json(F.struct(artist, F.struct(F.concat(F.lit("id "), "text").alias("id")).alias("song")))
+    payload = (
+        F.when(k == 0, good).when(k == 1, unknown).when(k == 2, wrong).when(k == 3, F.lit(" "))
+        .when(k == 4, F.concat(F.lit("["), good, F.lit("]"))).otherwise(F.left(good, F.length(good) - 1))
+    )
+    rows = parsed(docs.select("doc_id", payload.alias("payload")), keep=("doc_id",))
+    return rows.select("doc_id", "artist_name", "song_id", F.sha2("lyrics", 256).alias("lyrics_key"), json_field("other", "$.about.lang", None).alias("about_lang"), "reason")
+
+
 def q_payload_corpus(spark, d):
     records = corpus_records_from_payloads(landed_payloads(spark, d), "payload")
     return build_corpus(records, None)
@@ -563,6 +580,7 @@ QUERIES: dict[str, Query] = {
     "artist_list_corpus": q_artist_list_corpus,
     "hit_corpus": q_hit_corpus,
     "corpus_report": q_corpus_report,
+    "landed_variants": q_landed_variants,
     "payload_corpus": q_payload_corpus,
     "csv_round_trip": q_csv_round_trip,
     "csv_by_name": q_csv_by_name,

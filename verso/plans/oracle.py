@@ -239,6 +239,11 @@ ORACLE_SQL: dict[str, str] = {
     "merge_corpora": f"WITH {_PREPARED_TEXT}, {_TURNS} SELECT doc_id, genre, lyrics FROM prepared UNION ALL SELECT doc_id, genre, lyrics FROM turns",
     "build_corpus": f"WITH {_BUILD} SELECT * FROM corpus",
     "corpus_report": f"WITH {_BUILD} SELECT artist_name, count(*)::BIGINT AS songs FROM corpus GROUP BY artist_name",
+    "landed_variants": (
+        "SELECT doc_id, CASE WHEN k = 0 THEN source END AS artist_name, CASE WHEN k = 0 THEN doc_id END AS song_id, CASE WHEN k < 2 THEN sha256(text) END AS lyrics_key, "
+        "CASE WHEN k = 1 THEN lang END AS about_lang, CASE WHEN k > 1 THEN ['wrong type: song.id', 'empty', 'not an object', 'malformed'][k - 1] END AS reason "
+        "FROM (SELECT *, doc_id % 6 AS k FROM documents)"
+    ),
     "payload_corpus": f"WITH {_BUILD_PAYLOAD} SELECT * FROM corpus",
     "artist_list_corpus": f"WITH {_BUILD_ARTISTS} SELECT * FROM corpus",
     "hit_corpus": f"WITH {_BUILD_HITS} SELECT * FROM corpus",
