@@ -23,7 +23,8 @@ from verso.plans.corpus import build_corpus, corpus_report
 from verso.plans.training import train_and_evaluate, train_merged
 from verso.schema import SONG_COLUMNS, require_columns
 from verso.sources.csv import read_songs_csv, write_songs_csv
-from verso.sources.models import load_model, save_model
+from verso.sources.model_store import load_version, save_version, version_path, versions
+from verso.sources.models import load_model
 from verso.streaming.score_stream import start_score_stream
 
 
@@ -63,6 +64,12 @@ class TrainOutcome:
     merged_cv_f1: list[float]
 
 
+def _published(spark: SparkSession, model, store: str) -> str:
+    """The model as a new version of its store; the folder of that version. Versions that
+    a scoring job may be reading stay."""
+    return version_path(spark, store, save_version(model, store))
+
+
 def train_job(
     spark: SparkSession, primary_path: str, model_dir: str, secondary_path: str | None = None,
     settings: ForestSettings = ForestSettings(), vocab_sizes=GRID_VOCAB_SIZES, num_trees=GRID_NUM_TREES,
@@ -76,7 +83,7 @@ def train_job(
     """
     primary = with_row_id(read_corpus(spark, primary_path))
     first = train_and_evaluate(primary, settings, with_year=with_year)
-    initial_path = save_model(first.model, f"{model_dir.rstrip('/')}/initial_model")
+    initial_path = _published(spark, first.model, f"{model_dir.rstrip('/')}/initial_model")
     if secondary_path is None:
         return TrainOutcome(initial_path, first.metrics, None, None, [])
     secondary = with_row_id(read_corpus(spark, secondary_path))
@@ -84,7 +91,7 @@ def train_job(
         primary, secondary, settings, with_year=with_year, hold_out=hold_out, vocab_sizes=vocab_sizes,
         num_trees=num_trees, max_depths=max_depths, num_folds=num_folds,
     )
-    merged_path = save_model(merged.model, f"{model_dir.rstrip('/')}/merged_model")
+    merged_path = _published(spark, merged.model, f"{model_dir.rstrip('/')}/merged_model")
     return TrainOutcome(initial_path, first.metrics, merged_path, merged.metrics, merged.cv_f1)
 
 
@@ -96,10 +103,11 @@ def score_job(
     """Score a parquet folder; as a batch job (returns nothing,
     writes parquet) or as an available-now stream with its checkpoint
     beside the output. ``keep`` names the columns that tie a prediction to its
-    row; at least one is needed."""
+    row; at least one is needed. ``model_path``: a model's folder, or a store of versions;
+    then the latest is loaded, once, and used to the end."""
     if not keep:
         raise ValueError("keep needs a column that identifies a row")
-    model = load_model(model_path)
+    model = load_version(spark, model_path) if versions(spark, model_path) else load_model(model_path)
     if stream:
         schema = input_schema or spark.read.parquet(input_path).schema
         q = start_score_stream(spark, model, input_path, schema, output_path,
