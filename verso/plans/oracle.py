@@ -186,9 +186,13 @@ ORACLE_SQL: dict[str, str] = {
         "coalesce(CAST(release_date AS VARCHAR), '') AS release_date, "
         "coalesce(CAST(genre AS VARCHAR), '') AS genre, coalesce(CAST(lyrics AS VARCHAR), '') AS lyrics FROM songs"
     ),
+    # Python's rule: the nearest hundredth by the binary value, ties to even. Scaled by
+    # 2^60 the double is a whole number, so the comparison with the half is exact.
     "percent_rounding": (
-        "SELECT l_orderkey, l_linenumber, CAST(round(CAST(CAST(l_extendedprice / 100000.0 * 100.0 AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE) AS pct "
-        "FROM lineitem"
+        "SELECT l_orderkey, l_linenumber, CAST(CASE WHEN 2 * rest > unit OR (2 * rest = unit AND k % 2 = 1) THEN k + 1 ELSE k END AS DOUBLE) / 100.0 AS pct FROM ("
+        "SELECT l_orderkey, l_linenumber, CAST(1152921504606846976 AS HUGEINT) AS unit, CAST(v * 1152921504606846976.0 AS HUGEINT) * 100 // 1152921504606846976 AS k, "
+        "CAST(v * 1152921504606846976.0 AS HUGEINT) * 100 % 1152921504606846976 AS rest FROM ("
+        "SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DOUBLE) / 100000.0 * 100.0 AS v FROM lineitem))"
     ),
     "json_payload_fields": (
         "SELECT d.doc_id, coalesce(d.source, '') AS artist_field, coalesce(d.source, '') AS artist_name, "
