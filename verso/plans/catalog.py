@@ -97,6 +97,13 @@ def q_tokenize(spark, d):
     return feat.exploded_counts(counts).withColumnRenamed("tf", "n")
 
 
+def q_token_order(spark, d):
+    """Every token with its position in the text."""
+    words = feat.tokenize(_docs(spark, d).select("doc_id", "text"), "text", "words")
+    rows = words.select("doc_id", F.posexplode_outer("words").alias("position", "term"))
+    return rows.where(F.col("term").isNotNull())
+
+
 def q_validate_input(spark, d):
     return _docs(spark, d).select("doc_id", reject_reason("text").alias("error"))
 
@@ -556,6 +563,7 @@ QUERIES: dict[str, Query] = {
     "release_year": q_release_year,
     "release_year_fallback": q_release_year_fallback,
     "tokenize": q_tokenize,
+    "token_order": q_token_order,
     "validate_input": q_validate_input,
     "default_year": q_default_year,
     "stringify_nulls": q_stringify_nulls,

@@ -37,9 +37,12 @@ _SONGS = f"""songs AS (
          TRY_CAST({_year(_SONG_DATE)} AS INTEGER) AS release_date, lang AS genre, text AS lyrics
   FROM documents)"""
 
+# The song's date is its text; none or year 0000 for some ids.
+_OWN_DATE = "(CASE WHEN doc_id % 13 = 0 THEN '0000-06-15' WHEN doc_id % 11 <> 0 THEN text END)"
+
 _SONG_YEARS = f"""{_PAGE_YEARS},
 song_years AS (
-  SELECT d.doc_id, TRY_CAST(coalesce({_year(_SONG_DATE)}, py.detail_year) AS INTEGER) AS release_date
+  SELECT d.doc_id, TRY_CAST(coalesce({_year(_OWN_DATE)}, py.detail_year) AS INTEGER) AS release_date
   FROM documents d LEFT JOIN page_years py ON d.doc_id = py.detail_id)"""
 
 _PREPARED_TEXT = f"""{_SONGS},
@@ -175,6 +178,12 @@ ORACLE_SQL: dict[str, str] = {
     "release_year": f"SELECT doc_id, {_year('text')} AS release_year FROM documents",
     "release_year_fallback": f"WITH {_SONG_YEARS} SELECT doc_id, release_date AS release_year FROM song_years",
     "tokenize": f"WITH {_TOKENS} SELECT doc_id, term, count(*)::BIGINT AS n FROM tokens GROUP BY doc_id, term",
+    "token_order": (
+        "SELECT doc_id, CAST(i - 1 AS INTEGER) AS position, words[i] AS term FROM ("
+        "SELECT doc_id, words, unnest(generate_series(1, n)) AS i FROM ("
+        "SELECT doc_id, words, coalesce(list_max(list_filter(generate_series(1, len(words)), lambda k: words[k] <> '')), CASE WHEN text = '' THEN 1 ELSE 0 END) AS n FROM ("
+        r"SELECT doc_id, text, regexp_split_to_array(lower(text), '[ \t\n\x0b\f\r]') AS words FROM documents)))"
+    ),
     "validate_input": (
         "SELECT doc_id, CASE WHEN coalesce(length(text), 0) < 10 "
         "THEN 'Please provide lyrics with at least 10 characters' END AS error FROM documents"

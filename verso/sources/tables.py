@@ -69,8 +69,13 @@ def songs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def song_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, release_date): the song's year, else the page's. Only ids and
-    years are joined; the text is not read."""
-    ids = read_table(spark, sf_dir, "documents").select("doc_id", first_year(song_date()).alias("_song_year"))
+    """(doc_id, release_date): the year of the song's own date, else the page's.
+
+    The song's date is its whole text; only where the texts would leave a branch idle is it
+    made from the id (no date, or year 0000). The year is taken row-locally, so only ids
+    and years are joined."""
+    docs, c = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text")), F.col("doc_id")
+    date = F.when(c % 13 == 0, F.lit("0000-06-15")).when(c % 11 != 0, F.col("text"))
+    ids = docs.select("doc_id", first_year(date).alias("_song_year"))
     found = ids.join(page_years(read_table(spark, sf_dir, "pages")), ids["doc_id"] == F.col("_detail_id"), "left")
     return found.select("doc_id", F.coalesce("_song_year", "_detail_year").try_cast("int").alias("release_date"))
