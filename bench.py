@@ -43,6 +43,8 @@ HEADLINE = [
     "classification_metrics",
 ]
 
+TUNING = ["tune_classifier", "train_merged"]
+
 
 def _sf(path: str) -> float | str:
     tail = os.path.basename(path.rstrip("/"))
@@ -113,6 +115,14 @@ def main() -> None:
     run_score_stream(spark, model, landing, schema, text_col="text", keep=("doc_id",))
     times["score_stream_reference"] = round(time.perf_counter() - t0, 3)
 
+    # The two tuning queries (24 forests of the grid, a refit, for the merged one also a
+    # held-out fit) on the warm-up tables; not part of the total.
+    tuning: dict[str, float] = {}
+    for name in TUNING:
+        t0 = time.perf_counter()
+        QUERIES[name](spark, WARM_DIR).write.format("noop").mode("overwrite").save()
+        tuning[name] = round(time.perf_counter() - t0, 3)
+
     out = {
         "metric": "total_query_seconds",
         "value": round(sum(times.values()), 3),
@@ -120,6 +130,7 @@ def main() -> None:
         "queries": times,
         "sf": _sf(SF_DIR),
         "cpus": CPUS,
+        "tuning": {"sf": _sf(WARM_DIR), **tuning},
         "reference_model_accuracy": round(metrics["accuracy"], 4),
         "reference_model_f1": round(metrics["f1"], 4),
     }
