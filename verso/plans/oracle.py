@@ -75,10 +75,10 @@ _CAPPED = f"""{_DEDUP},
 per_artist AS (SELECT artist_name, count(*) AS n FROM dedup GROUP BY artist_name),
 kept AS (
   SELECT artist_name FROM (
-    SELECT artist_name, coalesce(sum(n) OVER (ORDER BY artist_name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior
+    SELECT artist_name, coalesce(sum(n) OVER (ORDER BY artist_name NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior
     FROM per_artist)
   WHERE prior < 100),
-capped AS (SELECT * FROM dedup WHERE artist_name IN (SELECT artist_name FROM kept))"""
+capped AS (SELECT d.* FROM dedup d JOIN kept k ON d.artist_name IS NOT DISTINCT FROM k.artist_name)"""
 
 _TOKENS = r"""tokens AS (
   SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[ \t\n\x0b\f\r]')) AS term FROM documents)"""
