@@ -57,6 +57,7 @@ def main(argv: list[str] | None = None) -> None:
     from verso.plans import jobs
 
     if args.command == "corpus":
+        from verso.operators.counts import RowCounts
         from verso.plans.corpus import corpus_records_from_documents
         from verso.sources.payload import corpus_records_from_payloads
 
@@ -65,13 +66,15 @@ def main(argv: list[str] | None = None) -> None:
         else:
             records = corpus_records_from_payloads(spark.read.parquet(args.payloads))
         details = spark.read.parquet(args.pages) if args.pages else None
-        report = jobs.corpus_job(records, details, args.output, args.csv, top_k=args.per_artist, target=args.target, artists=args.artists)
+        counts = RowCounts()
+        report = jobs.corpus_job(records, details, args.output, args.csv, counts, top_k=args.per_artist, target=args.target, artists=args.artists)
         for row in report.orderBy("artist_name").toLocalIterator():
             print(f"{row['artist_name']}\t{row['songs']}")
+        print(json.dumps(counts.get()))
     elif args.command == "train":
         out = jobs.train_job(spark, args.primary, args.models, args.secondary, with_year=not args.text_only, hold_out=args.hold_out)
         summary = {"initial_model": out.initial_model_path, "initial_metrics": out.initial_metrics.first().asDict(),
-                   "merged_model": out.merged_model_path, "merged_cv_f1": out.merged_cv_f1}
+                   "merged_model": out.merged_model_path, "merged_cv_f1": out.merged_cv_f1, "rows": out.counts}
         if out.merged_metrics is not None:
             summary["merged_metrics"] = out.merged_metrics.first().asDict()
         print(json.dumps(summary))

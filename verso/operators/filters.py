@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verso.functions.text import (
@@ -19,14 +19,18 @@ from verso.functions.text import (
 from verso.schema import SONG_COLUMNS
 
 
+def title_excluded(title_col: str = "track_name", terms: Iterable[str] | None = None, literal: bool = False) -> Column:
+    """Whether a title matches an excluded term (case-insensitive search); no for null."""
+    return F.coalesce(F.col(title_col).rlike(title_exclusion_pattern(terms, literal)), F.lit(False))
+
+
 def exclude_titles(
     df: DataFrame, title_col: str = "track_name", terms: Iterable[str] | None = None,
     literal: bool = False,
 ) -> DataFrame:
     """Drop records whose title matches an excluded term (case-insensitive
     search). A null title is kept."""
-    pattern = title_exclusion_pattern(terms, literal)
-    return df.where(~F.coalesce(F.col(title_col).rlike(pattern), F.lit(False)))
+    return df.where(~title_excluded(title_col, terms, literal))
 
 
 def filter_record_kind(df: DataFrame, kind_col: str, keep: Iterable[str]) -> DataFrame:

@@ -4,10 +4,13 @@ M11)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from verso.operators.counts import RowCounts
 from verso.functions.text import TRAIN_MIN_CHARS, has_min_chars
 from verso.schema import SONG_COLUMNS, require_columns
 from verso.session import materialize
@@ -19,11 +22,14 @@ SPLIT_BUCKETS = 10
 
 def prepare_rows(
     df: DataFrame, columns: Sequence[str] = SONG_COLUMNS, keep: Sequence[str] = (),
-    min_chars: int = TRAIN_MIN_CHARS,
+    min_chars: int = TRAIN_MIN_CHARS, counts: RowCounts | None = None, step: str = "prepare",
 ) -> DataFrame:
     """Project, year to int, text strictly longer than ``min_chars``,
     then drop rows with a null in any projected column.
 
+    ``counts`` gets, under ``step``, the rows read, too short (or without a text), incomplete
+    (long enough, with a null) and prepared.
+
     ``try_cast`` gives null for a bad year where a plain cast would fail
     under ANSI mode; such rows then leave with the null check, as in the
     reference.
@@ -33,13 +39,20 @@ def prepare_rows(
     out = df.select(*keep, *cols)
     if "release_date" in cols:
         out = out.withColumn("release_date", F.col("release_date").try_cast("int"))
+    if counts is not None:
+        long = has_min_chars("lyrics", min_chars, strict=True)
+        full = reduce(and_, [F.col(c).isNotNull() for c in cols])
+        out = counts.watch(out, step, read=F.lit(True), too_short=~long, incomplete=long & ~full, prepared=long & full)
     out = out.where(has_min_chars("lyrics", min_chars, strict=True))
     return out.na.drop(subset=cols)
 
 
-def prepare_text_rows(df: DataFrame, keep: Sequence[str] = (), min_chars: int = TRAIN_MIN_CHARS) -> DataFrame:
+def prepare_text_rows(
+    df: DataFrame, keep: Sequence[str] = (), min_chars: int = TRAIN_MIN_CHARS, counts: RowCounts | None = None,
+    step: str = "prepare",
+) -> DataFrame:
     """P5 on (genre, lyrics) only: rows without a year are not lost."""
-    return prepare_rows(df, ("genre", "lyrics"), keep, min_chars)
+    return prepare_rows(df, ("genre", "lyrics"), keep, min_chars, counts, step)
 
 
 def class_distribution(df: DataFrame, label_col: str = "genre") -> DataFrame:
@@ -57,10 +70,13 @@ def hash_bucket(id_col: Column | str, buckets: int = SPLIT_BUCKETS) -> Column:
 
 def hash_split(
     df: DataFrame, id_col: str = "doc_id", train_buckets: int = TRAIN_BUCKETS,
-    buckets: int = SPLIT_BUCKETS,
+    buckets: int = SPLIT_BUCKETS, counts: RowCounts | None = None, step: str = "split",
 ) -> tuple[DataFrame, DataFrame]:
-    """Disjoint, complete train / test split by id hash (80/20)."""
+    """Disjoint, complete train / test split by id hash (80/20). ``counts`` gets the
+    rows of both parts; a read of either part counts both."""
     b = hash_bucket(id_col, buckets)
+    if counts is not None:
+        df = counts.watch(df, step, train=b < train_buckets, test=b >= train_buckets)
     return df.where(b < train_buckets), df.where(b >= train_buckets)
 
 

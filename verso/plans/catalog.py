@@ -37,6 +37,7 @@ from verso.operators.filters import (
     to_song_schema,
     with_default_year,
 )
+from verso.operators.counts import RowCounts
 from verso.operators.growing_corpus import GrowingCorpus
 from verso.operators.model import ForestSettings, tune_classifier
 from verso.operators.prepare import (
@@ -51,6 +52,7 @@ from verso.operators.prepare import (
 )
 from verso.operators.score import decode_label, labels_array, percent, score, score_json
 from verso.plans.corpus import build_corpus, corpus_from_documents, corpus_records_from_documents, corpus_report
+from verso.plans.jobs import corpus_job
 from verso.plans.training import evaluate, train_and_evaluate, train_merged
 from verso.schema import SONG_COLUMNS, SONG_SCHEMA
 from verso.session import materialize, scratch_path, spread
@@ -154,6 +156,21 @@ def q_exclude_titles(spark, d):
     return exclude_titles(titled).select("doc_id", "track_name")
 
 
+def q_job_counts(spark, d):
+    """Rows that the corpus job and a training preparation read, reject and keep, counted
+    by their own jobs. Titles of some ids get a suffix that the title rule excludes, others
+    have no lyrics."""
+    counts = RowCounts()
+    suffix = F.when(F.col("doc_id") % 5 == 0, " (Remix)").otherwise("")
+    lyrics = F.when(F.col("doc_id") % 7 != 0, F.col("lyrics"))
+    records = corpus_records_from_documents(_docs(spark, d)).withColumn("track_name", F.concat("track_name", suffix)).withColumn("lyrics", lyrics)
+    corpus_job(records, None, scratch_path(spark, "counted-corpus"), counts=counts, top_k=None, target=None)
+    rows = prepare_rows(songs(spark, d).withColumn("lyrics", lyrics), keep=("doc_id",), counts=counts, step="initial")
+    train, _ = hash_split(rows, counts=counts)
+    materialize(class_distribution(train))
+    return spark.createDataFrame(sorted(counts.get().items()), "step string, n bigint")  # one row a count
+
+
 def q_filter_record_kind(spark, d):
     conv = read_table(spark, d, "conversations")
     return filter_record_kind(conv, "role", ["user"]).select("conv_id", "turn", "text")
@@ -572,6 +589,7 @@ QUERIES: dict[str, Query] = {
     "request_text": q_request_text,
     "collect_filter": q_collect_filter,
     "exclude_titles": q_exclude_titles,
+    "job_counts": q_job_counts,
     "filter_record_kind": q_filter_record_kind,
     "tag_constant_label": q_tag_constant_label,
     "unmatched_records": q_unmatched_records,

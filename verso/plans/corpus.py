@@ -34,7 +34,8 @@ from verso.operators.corpus import (
     text_key,
     top_per_group,
 )
-from verso.operators.filters import exclude_titles
+from verso.operators.counts import RowCounts
+from verso.operators.filters import title_excluded
 from verso.schema import SONG_COLUMNS
 from verso.session import materialize
 from verso.sources.tables import page_years
@@ -43,21 +44,26 @@ from verso.sources.tables import page_years
 def kept_songs(
     records: DataFrame, order_col: str = "doc_id", popularity_col: str = "popularity",
     top_k: int | None = SONGS_PER_ARTIST, target: int | None = TARGET_SONGS, exclude: bool = True,
-    hits: DataFrame | None = None, artists: Sequence[str] | None = None,
+    hits: DataFrame | None = None, artists: Sequence[str] | None = None, counts: RowCounts | None = None,
 ) -> DataFrame:
     """The songs that the collector keeps, as (id, artist_name, hit_id), narrow and
     checkpointed; ``hit_id`` is the id whose text counts (the song's own id if no
     ``hits`` are given). See ``build_corpus`` for the arguments."""
-    rows = exclude_titles(records) if exclude else records
     rank = F.lit(None).cast("int")
     if artists is not None:
         # The configured list is filter and order: a handful of names in the plan.
-        at = F.array_position(F.array(*map(F.lit, artists)), F.col("artist_name"))
-        rows, rank = rows.where(F.col("artist_name").isin(list(artists))), at.cast("int")
-    narrow = rows.select(
+        rank = F.array_position(F.array(*map(F.lit, artists)), F.col("artist_name")).cast("int")
+    narrow = records.select(
         F.col(order_col).alias("_id"), "artist_name", text_key("track_name").alias("_title"),
         F.col(popularity_col).alias("_popularity"), has_min_chars("lyrics", RAW_MIN_CHARS).alias("_long"), rank.alias("_rank_of_artist"),
+        (title_excluded() if exclude else F.lit(False)).alias("_excluded"),
     )
+    if counts is not None:
+        short = ~F.col("_excluded") & ~F.col("_long")
+        narrow = counts.watch(narrow, "records", read=F.lit(True), excluded=F.col("_excluded"), too_short=short)
+    narrow = narrow.where(~F.col("_excluded"))
+    if artists is not None:
+        narrow = narrow.where(F.col("artist_name").isin(list(artists)))
     if top_k is not None:
         narrow = top_per_group(narrow, ["artist_name"], [F.desc("_popularity"), F.asc("_id")], top_k)
     if hits is None:
@@ -77,7 +83,7 @@ def kept_songs(
 def build_corpus(
     records: DataFrame, details: DataFrame | None = None, order_col: str = "doc_id",
     popularity_col: str = "popularity", top_k: int | None = SONGS_PER_ARTIST, target: int | None = TARGET_SONGS,
-    exclude: bool = True, hits: DataFrame | None = None, artists: Sequence[str] | None = None,
+    exclude: bool = True, hits: DataFrame | None = None, artists: Sequence[str] | None = None, counts: RowCounts | None = None,
 ) -> DataFrame:
     """``records``: order_col (unique), artist_name, track_name, popularity_col
     (not null), genre, lyrics (raw), and either song_date (text holding the song's
@@ -90,10 +96,12 @@ def build_corpus(
     are used (J1).
     ``artists``: optional list; only these artists, taken in this order (else all,
     by name). ``top_k`` and ``target``: None for no limit.
+    ``counts``: gets the records read, excluded by title and (of the rest) too short, from
+    the scan that makes the narrow rows.
     Returns order_col plus the five song columns, lyrics cleaned."""
     # At most target + top_k rows are kept if both are given; Spark picks the
     # join from the sizes it measures.
-    kept = materialize(kept_songs(records, order_col, popularity_col, top_k, target, exclude, hits, artists))
+    kept = materialize(kept_songs(records, order_col, popularity_col, top_k, target, exclude, hits, artists, counts))
     dated = "song_date" in records.columns
     own = ["track_name", "lyrics"] if hits is None else []
     rows = records.select(order_col, "artist_name", "genre", "song_date" if dated else "release_year", *own)

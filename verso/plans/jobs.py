@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verso.operators.counts import RowCounts
 from verso.operators.model import ForestSettings, GRID_MAX_DEPTHS, GRID_NUM_TREES, GRID_VOCAB_SIZES
 from verso.operators.score import score
 from verso.plans.corpus import build_corpus, corpus_report
@@ -28,21 +29,25 @@ from verso.sources.models import load_model
 from verso.streaming.score_stream import start_score_stream
 
 
-def corpus_job(records: DataFrame, details: DataFrame | None, out_path: str, csv_path: str | None = None, **kwargs) -> DataFrame:
+def corpus_job(records: DataFrame, details: DataFrame | None, out_path: str, csv_path: str | None = None, counts: RowCounts | None = None, **kwargs) -> DataFrame:
     """C1 + S4: build the corpus once, write it as parquet (and, if asked for, as
     CSV: nothing for no rows) and return the songs-per-artist report (A1), read
-    from the written table."""
-    build_corpus(records, details, **kwargs).write.mode("overwrite").parquet(out_path)
+    from the written table. ``counts`` gets the steps ``records`` and ``corpus``."""
+    corpus = build_corpus(records, details, counts=counts, **kwargs)
+    if counts is not None:
+        corpus = counts.watch(corpus, "corpus", written=F.lit(True), without_year=F.col("release_date").isNull())
+    corpus.write.mode("overwrite").parquet(out_path)
     corpus = records.sparkSession.read.parquet(out_path)
     if csv_path is not None:
         write_songs_csv(corpus.select(*SONG_COLUMNS), csv_path)
     return corpus_report(corpus)
 
 
-def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """A song table: a CSV file or folder if the path says so, else parquet."""
+def read_corpus(spark: SparkSession, path: str, counts: RowCounts | None = None, step: str = "file") -> DataFrame:
+    """A song table: a CSV file or folder if the path says so, else parquet. ``counts``
+    gets the records of a CSV and how many of them do not fit its header."""
     if path.rstrip("/").lower().endswith((".csv", "-csv", "_csv")):
-        return read_songs_csv(spark, path)
+        return read_songs_csv(spark, path, counts=counts, step=step)
     return require_columns(spark.read.parquet(path), SONG_COLUMNS)
 
 
@@ -62,6 +67,7 @@ class TrainOutcome:
     merged_model_path: str | None
     merged_metrics: DataFrame | None
     merged_cv_f1: list[float]
+    counts: dict[str, int]  # rows of each step, from the jobs above
 
 
 def _published(spark: SparkSession, model, store: str) -> str:
@@ -81,18 +87,19 @@ def train_job(
     without a year are dropped); ``False`` trains on every text. The merged
     model is fitted on all rows; ``hold_out`` measures it by a second fit.
     """
-    primary = with_row_id(read_corpus(spark, primary_path))
-    first = train_and_evaluate(primary, settings, with_year=with_year)
+    counts = RowCounts()
+    primary = with_row_id(read_corpus(spark, primary_path, counts, "primary_file"))
+    first = train_and_evaluate(primary, settings, with_year=with_year, counts=counts)
     initial_path = _published(spark, first.model, f"{model_dir.rstrip('/')}/initial_model")
     if secondary_path is None:
-        return TrainOutcome(initial_path, first.metrics, None, None, [])
-    secondary = with_row_id(read_corpus(spark, secondary_path))
+        return TrainOutcome(initial_path, first.metrics, None, None, [], counts.get())
+    secondary = with_row_id(read_corpus(spark, secondary_path, counts, "secondary_file"))
     merged = train_merged(
-        primary, secondary, settings, with_year=with_year, hold_out=hold_out, vocab_sizes=vocab_sizes,
+        primary, secondary, settings, with_year=with_year, hold_out=hold_out, counts=counts, vocab_sizes=vocab_sizes,
         num_trees=num_trees, max_depths=max_depths, num_folds=num_folds,
     )
     merged_path = _published(spark, merged.model, f"{model_dir.rstrip('/')}/merged_model")
-    return TrainOutcome(initial_path, first.metrics, merged_path, merged.metrics, merged.cv_f1)
+    return TrainOutcome(initial_path, first.metrics, merged_path, merged.metrics, merged.cv_f1, counts.get())
 
 
 def score_job(

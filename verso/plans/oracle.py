@@ -220,6 +220,25 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT doc_id, track_name FROM titled WHERE NOT coalesce("
         "regexp_matches(track_name, '(?i)((Remix))|((Live))|((Cover))|(Instrumental)'), false)"
     ),
+    "job_counts": (
+        "WITH r AS (SELECT doc_id, source, lang, n_chars AS popularity, text, text || CASE WHEN doc_id % 5 = 0 THEN ' (Remix)' ELSE '' END AS title, "
+        "CASE WHEN doc_id % 7 <> 0 THEN text END AS lyrics FROM documents), "
+        "f AS (SELECT *, coalesce(regexp_matches(title, '(?i)((Remix))|((Live))|((Cover))|(Instrumental)'), false) AS excluded, "
+        f"coalesce(length(lyrics), 0) AS n_chars, TRY_CAST({_year(_SONG_DATE)} AS INTEGER) AS release_date, TRY_CAST({_year('text')} AS INTEGER) AS text_year FROM r), "
+        "kept AS (SELECT source, title, arg_min(text_year IS NULL, (-popularity, doc_id)) AS undated FROM f WHERE NOT excluded AND n_chars >= 10 GROUP BY ALL), "
+        "p AS (SELECT doc_id, n_chars > 10 AS long, n_chars > 10 AND source IS NOT NULL AND text IS NOT NULL AND release_date IS NOT NULL AND lang IS NOT NULL AS prepared FROM f) "
+        "SELECT 'records.read' AS step, count(*)::BIGINT AS n FROM f "
+        "UNION ALL SELECT 'records.excluded', count(*) FROM f WHERE excluded "
+        "UNION ALL SELECT 'records.too_short', count(*) FROM f WHERE NOT excluded AND n_chars < 10 "
+        "UNION ALL SELECT 'corpus.written', count(*) FROM kept "
+        "UNION ALL SELECT 'corpus.without_year', count(*) FROM kept WHERE undated "
+        "UNION ALL SELECT 'initial.read', count(*) FROM p "
+        "UNION ALL SELECT 'initial.too_short', count(*) FROM p WHERE NOT long "
+        "UNION ALL SELECT 'initial.incomplete', count(*) FROM p WHERE long AND NOT prepared "
+        "UNION ALL SELECT 'initial.prepared', count(*) FROM p WHERE prepared "
+        f"UNION ALL SELECT 'split.train', count(*) FROM p WHERE prepared AND {_BUCKET} < 8 "
+        f"UNION ALL SELECT 'split.test', count(*) FROM p WHERE prepared AND {_BUCKET} >= 8"
+    ),
     "filter_record_kind": "SELECT conv_id, turn, text FROM conversations WHERE role IN ('user')",
     "tag_constant_label": (
         f"WITH {_SONGS} SELECT doc_id, artist_name, track_name, release_date, 'K-Pop' AS genre, lyrics FROM songs"

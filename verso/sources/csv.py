@@ -16,10 +16,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verso.functions.text import to_text_or_empty
+from verso.operators.counts import RowCounts
 from verso.schema import SONG_SCHEMA, require_columns
 
 CORRUPT = "_corrupt_record"
 
+#: A multi-line file is read by one task; above this size a reader refuses it.
+MAX_FILE_BYTES = 1 << 30
+
+
+class FileTooLargeError(ValueError):
+    """Raised for a CSV file that one task should not read."""
+
+
+def check_file_sizes(spark: SparkSession, path: str, max_file_bytes: int | None = MAX_FILE_BYTES) -> None:
+    """Refuse a file or folder with a file above ``max_file_bytes`` (None: any size).
+    Records may hold line breaks, so Spark cannot split a file. Sizes come from the file
+    listing; no content is read."""
+    if max_file_bytes is None:
+        return
+    files = spark.read.format("binaryFile").load(path)
+    large = files.where(F.col("length") > max_file_bytes).select(F.max(F.struct("length", "path"))).first()[0]
+    if large is not None:
+        raise FileTooLargeError(f"{large.path} has {large.length} bytes, more than {max_file_bytes}; write it as several CSV files, or as parquet")
+
 
 def stringify(df: DataFrame) -> DataFrame:
     """Every column as string, null -> ""."""
@@ -61,11 +81,12 @@ def _reader(spark: SparkSession):
     )
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, max_file_bytes: int | None = MAX_FILE_BYTES) -> DataFrame:
     """All columns as strings, named by the header (of the first file),
     plus ``_corrupt_record``: the raw text of a record whose fields do not fit
     the header, else null. A file of the folder with another header is an error,
-    not a misread."""
+    not a misread. A file above ``max_file_bytes`` is an error."""
+    check_file_sizes(spark, path, max_file_bytes)
     # As data, because a reader renames empty and repeated names in a header.
     first = _reader(spark).option("header", False).csv(path).first()
     names = [v or "" for v in first] if first is not None else []
@@ -75,16 +96,19 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     return reader.option("columnPruning", False).csv(path)
 
 
-def read_songs_csv(spark: SparkSession, path: str, schema: T.StructType = SONG_SCHEMA) -> DataFrame:
+def read_songs_csv(spark: SparkSession, path: str, schema: T.StructType = SONG_SCHEMA, counts: RowCounts | None = None, step: str = "file") -> DataFrame:
     """S1 + S3: the columns of ``schema`` by name, cast to its types.
 
     A column the header lacks raises ``MissingColumnsError``; others are
     ignored. A quoted empty field comes back as null; a value that does not
     cast (a non-numeric year) becomes null instead of failing the read.
-    Records that do not fit the header are dropped here; ``corrupt_records``
-    counts them.
+    Records that do not fit the header are dropped here. ``counts`` gets the
+    records and the dropped ones from the scan that reads the rows;
+    ``corrupt_records`` counts them by a scan of its own.
     """
     rows = require_columns(read_csv_text(spark, path), schema.names)
+    if counts is not None:
+        rows = counts.watch(rows, step, records=F.lit(True), corrupt=F.col(CORRUPT).isNotNull())
     # Spark refuses a query on the marker alone (a count): a column is read beside it.
     rows = rows.where(F.col(CORRUPT).isNull() & (F.coalesce(F.length(schema.names[0]), F.lit(0)) >= 0))
     return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
