@@ -1,6 +1,7 @@
 import random
+import tracemalloc
 
-from verso.llm import common, queries
+from verso.llm import common, queries, seeds
 from verso.llm import string_tiling as G
 from verso.llm.seeds import words
 
@@ -79,3 +80,30 @@ def test_registered_query_on_the_small_table(spark):
     for d, q, ts in got:
         text, item = words(dict(docs)[d]), words(dict(items)[q])
         assert all(text[j : j + n] == item[i : i + n] for i, j, n in ts)
+
+
+def test_repeated_words_equal_brute_force():
+    rnd = random.Random(3)
+    for _ in range(150):
+        letters = rnd.choice(["a", "ab", "abc"])
+        items = [" ".join(rnd.choices(letters, k=rnd.randint(4, 14))) for _ in range(3)]
+        docs = [" ".join(rnd.choices(letters, k=rnd.randint(0, 30))) for _ in range(3)]
+        seeds.PAIRS_AT_ONCE, before = rnd.choice([1, 7, 1 << 18]), seeds.PAIRS_AT_ONCE
+        try:
+            got = {(d, i, tuple(t)) for d, i, _, t in G._found(seeds.Block(items, 4), docs, 0.5)}
+        finally:
+            seeds.PAIRS_AT_ONCE = before
+        assert got == brute_leaks(list(enumerate(docs)), list(enumerate(items)), 0.5, 4)
+
+
+def test_memory_of_a_long_repeated_text():
+    """80,000 times one word against items of 200 such words: seeds are 15.7 million pairs
+    an item."""
+    block = seeds.Block(["w " * 200, "w " * 200 + "end of the item here", "other words that no text holds"], 5)
+    text = "w " * 80_000
+    tracemalloc.start()
+    got = list(G._found(block, [text], 0.8))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(i, c) for _, i, c, _ in got] == [(0, 1.0), (1, 200 / 205)]
+    assert peak < 100e6

@@ -13,6 +13,10 @@ The benchmark is the small side: it is read in blocks of at most about
 block goes to the tasks as a bounded broadcast, with one pass over the documents
 each. Documents are never shuffled or collected.
 
+Very long and repetitive texts: shared seeds are held as runs on their diagonals, listed
+a bounded number at a time, and only for items whose words they can cover, so memory is
+about a row for each diagonal of a text and an item.
+
 Cases: null or empty texts have no words and never match. Items under ``min_match``
 words cannot be told from chance and are never reported. Null ids and repeated rows
 keep their rows. Without items or documents the result is empty. Other columns are
@@ -37,38 +41,26 @@ THRESHOLD = 0.8
 BLOCK_WORDS = 2_000_000
 
 
-def maximal(seeds: list[tuple[int, int]], k: int) -> list[tuple[int, int, int]]:
-    """(item position, document position, words) of the maximal matches."""
-    out: list[list[int]] = []
-    for d, i in sorted((j - i, i) for i, j in seeds):
-        if out and out[-1][1] - out[-1][0] == d and out[-1][0] + out[-1][2] - k + 1 == i:
-            out[-1][2] += 1
-        else:
-            out.append([i, i + d, k])
-    return [tuple(x) for x in out]
-
-
-def tiles(matches: list[tuple[int, int, int]], item_words: int, min_match: int = MIN_MATCH) -> list[tuple[int, int, int]]:
-    """Greedy tiling: longest unmarked match first, ties by item, then document position."""
-    heap = [(-n, i, j) for i, j, n in matches]
+def tiles(matches: np.ndarray, item_words: int, doc_words: int, min_match: int = MIN_MATCH) -> list[tuple[int, int, int]]:
+    """Greedy tiling of ``matches`` (item position, document position, words): longest
+    unmarked match first, ties by item, then document position."""
+    heap = [(-n, i, j) for i, j, n in matches.tolist()]
     heapq.heapify(heap)
-    in_item, in_doc, out = np.zeros(item_words, dtype=bool), set(), []
+    in_item, in_doc, out = np.zeros(item_words, dtype=bool), np.zeros(doc_words, dtype=bool), []
     while heap:
         n, i, j = heapq.heappop(heap)
-        free = [not in_item[i + x] and (j + x) not in in_doc for x in range(-n)]
-        if all(free):
+        marked = in_item[i : i - n] | in_doc[j : j - n]
+        if not marked.any():
             out.append((i, j, -n))
             in_item[i : i - n] = True
-            in_doc.update(range(j, j - n))
+            in_doc[j : j - n] = True
             if in_item.all():
                 break
             continue
-        start = 0
-        for x, ok in enumerate([*free, False]):
-            if not ok:
-                if x - start >= min_match:
-                    heapq.heappush(heap, (start - x, i + start, j + start))
-                start = x + 1
+        edges = np.flatnonzero(np.diff(marked, prepend=True, append=True))  # of the unmarked runs
+        for start, stop in edges.reshape(-1, 2).tolist():
+            if stop - start >= min_match:
+                heapq.heappush(heap, (start - stop, i + start, j + start))
     return sorted(out)
 
 
@@ -87,15 +79,12 @@ def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[tuple[list[int],
 def _found(block: Block, texts: list[str | None], threshold: float) -> Iterator[tuple[int, int, float, list]]:
     """(document index, item index, coverage, tiles) of the leaks in a slice."""
     docs = [block.ids(t) for t in texts]
-    for d, by_item in block.seeds(docs):
-        for item, seeds in sorted(by_item.items()):
-            total = len(block.items[item])
-            if len({i + x for i, _ in seeds for x in range(block.k)}) < threshold * total:
-                continue  # the seeds' words bound what tiles can cover
-            got = tiles(maximal(seeds, block.k), total, block.k)
-            coverage = sum(n for _, _, n in got) / total
-            if coverage >= threshold:
-                yield d, item, coverage, got
+    for d, item, matches in block.runs(docs, threshold):  # the seeds' words bound what tiles can cover
+        total = len(block.items[item])
+        got = tiles(matches, total, len(docs[d]), block.k)
+        coverage = sum(n for _, _, n in got) / total
+        if coverage >= threshold:
+            yield d, item, coverage, got
 
 
 def _task_block(sent) -> Block:
