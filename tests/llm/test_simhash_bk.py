@@ -83,3 +83,31 @@ def test_empty_table_and_keep_first(spark):
     kept = S.keep_first(spark.createDataFrame(rows, DOCS))
     assert kept.columns == ["doc_id", "text", "fp"]
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["2", "9", "None"]
+
+
+@pytest.mark.parametrize("hot_keys", [1, 4, 1000])
+def test_star_merge_with_a_hot_centre(spark, monkeypatch, hot_keys):
+    """A centre with most of the links, a chain through it and small groups."""
+    monkeypatch.setattr(S, "HOT_KEYS", hot_keys)
+    rnd = random.Random(12)
+    pairs = [(500, i) for i in range(600, 900)] + [(i, i + 1) for i in range(40)] + [(40, 500)] + [(1000 + 3 * i, 1001 + 3 * i) for i in range(30)]
+    rnd.shuffle(pairs)
+    edges = spark.createDataFrame([p if rnd.random() < 0.5 else p[::-1] for p in pairs], "a long, b long").repartition(5)
+    got = {r.a: r.b for r in S.merged(edges).collect()}
+    want = {i: 0 for i in [*range(1, 41), 500, *range(600, 900)]} | {1001 + 3 * i: 1000 + 3 * i for i in range(30)}
+    assert got == want
+
+
+@pytest.mark.parametrize("hot_keys", [1, 5])
+def test_large_component_and_long_text(spark, monkeypatch, hot_keys):
+    monkeypatch.setattr(S, "HOT_KEYS", hot_keys)
+    rnd = random.Random(2)
+    base = rnd.getrandbits(63)
+    fps = [base ^ (1 << rnd.randrange(63)) for _ in range(200)] + [rnd.getrandbits(63) for _ in range(30)]
+    ids = [*range(100, 330)]
+    got = {r.doc_id: r.component_id for r in S.components(spark.createDataFrame(list(zip(ids, fps)), "doc_id long, fp long")).collect()}
+    assert got == dict(zip(ids, brute_components(ids, fps)))
+    long = " ".join(f"w{i % 977}" for i in range(200_000))
+    rows = S.near_dedup(spark.createDataFrame([(1, long), (2, long)], "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.component_id, r.fingerprint) for r in sorted(rows)] == [(i, 1, f"{plain_simhash(long):016x}") for i in (1, 2)]
+    assert S.near_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0

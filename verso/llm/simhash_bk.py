@@ -20,11 +20,14 @@ is split into several trees and every query of the shard visits each.
 Links inside a task become spanning links (each node to the smallest of its
 group), so a group of n near copies sends n rows, never n^2. The groups are then
 merged by alternating large-star/small-star joins, each written to the checkpoint
-folder.
+folder. A star centre, or a component, with more than a thousandth of all rows is joined
+by broadcast (there are fewer than a thousand), so one large component is never in
+one task.
 
 Cases: null or empty text, or only white space: fingerprint zero, linked like any
 other. A null id gets a row too, and is never the component id unless the whole
-component has none. Repeated rows stay repeated. Other columns are ignored.
+component has none. Repeated rows stay repeated. Other columns are ignored. A very long
+text is read whole, by one task. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -45,6 +48,7 @@ RADIUS = 4
 SEED = 42
 SHARD_TARGET = 64
 MAX_TREE = 20_000
+HOT_KEYS = 1000  # a key with more than one part in so many of all rows is joined by broadcast
 _ROWS_AT_ONCE = 200_000
 _PAIRS_AT_ONCE = 2_000_000
 
@@ -252,13 +256,24 @@ def links(nodes: DataFrame, radius: int = RADIUS, blocks: int | None = None, max
     return arrow_map(dealt, search, "a long, b long")
 
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
+def _with_value(rows: DataFrame, values: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` joined with ``values`` (key, a value, n: how many of the ``total`` rows have
+    the key). Fewer than ``HOT_KEYS`` keys can have more than one part in ``HOT_KEYS`` of all
+    rows: their values are broadcast and their rows stay where they are. The other rows
+    are shuffled by key."""
+    is_hot = F.col("n") > total // HOT_KEYS
+    hot = F.broadcast(values.filter(is_hot))
+    cold = rows.join(hot, key, "left_anti").join(values.filter(~is_hot), key)
+    return rows.join(hot, key).unionByName(cold).drop("n")
+
+
+def _stars(edges: DataFrame, large: bool, total: int) -> DataFrame:
     if large:
         near = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         near = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    low = near.groupBy("a").agg(F.min(F.least("a", "b")).alias("low"))
-    out = near.join(low, "a")
+    low = near.groupBy("a").agg(F.min(F.least("a", "b")).alias("low"), F.count("*").alias("n"))
+    out = _with_value(near, low, "a", 2 * total if large else total)
     if large:
         out = out.filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
     else:
@@ -273,7 +288,8 @@ def merged(edges: DataFrame) -> DataFrame:
     edges = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     was = state(edges)
     while was[0]:
-        edges = materialize(_stars(_stars(edges, True), False))
+        # a large star has at most two rows a link, a small star no more rows than links
+        edges = materialize(_stars(_stars(edges, True, was[0]), False, was[0]))
         now = state(edges)
         if now == was:
             break
@@ -293,8 +309,8 @@ def components(fps: DataFrame, radius: int = RADIUS, **search) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``fps`` (doc_id, fp)."""
     fps = materialize(fps)
     rooted = _rooted(fps, radius, **search)
-    smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = rooted.join(smallest, "root").select("fp", "component_id")
+    smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("n"))
+    of = _with_value(rooted, smallest, "root", rooted.count()).select("fp", "component_id")
     return fps.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
