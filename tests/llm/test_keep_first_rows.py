@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from tests.llm.test_simhash_bk import plain_simhash
 from verso.llm import simhash_bk as S
 
@@ -46,6 +48,12 @@ def words(rnd, n=40):
     return " ".join(rnd.choice("abcdefgh") + str(rnd.randint(0, 999)) for _ in range(n))
 
 
+@pytest.fixture(params=["few keys", "many keys"], autouse=True)
+def both_plans(request, monkeypatch):
+    if request.param == "many keys":
+        monkeypatch.setattr(S, "BROADCAST_KEYS", -1)
+
+
 def test_one_id_on_unrelated_texts_loses_no_component(spark):
     rnd = random.Random(3)
     a, b, c, d = (words(rnd) for _ in range(4))

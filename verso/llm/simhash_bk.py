@@ -49,6 +49,7 @@ SEED = 42
 SHARD_TARGET = 64
 MAX_TREE = 20_000
 HOT_KEYS = 1000  # a key with more than one part in so many of all rows is joined by broadcast
+BROADCAST_KEYS = 500_000  # (id, text hash) pairs of 16 bytes
 _ROWS_AT_ONCE = 200_000
 _PAIRS_AT_ONCE = 2_000_000
 
@@ -320,11 +321,20 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, **
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _keys(keys: DataFrame) -> tuple[DataFrame, int]:
+    """``keys`` as a written table and its rows; to be broadcast if they are few."""
+    keys = materialize(keys)
+    n = keys.count()
+    return (F.broadcast(keys) if n <= BROADCAST_KEYS else keys), n
+
+
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each component: the smallest by (id, fingerprint, text
     hash), then by the whole row. An id may stand on several texts: rows are told apart
     by (id, text hash), components by their root, as two can share their smallest id.
-    Rows without an id all stay. Only narrow tables are shuffled beside the anti-join."""
+    Rows without an id all stay. Only narrow tables are shuffled; whole rows are only if
+    more than ``BROADCAST_KEYS`` keys lose, and then Spark can split a hot key, as both
+    sides of the join are plain exchanges."""
     hashed = docs.withColumn("_text_hash", F.xxhash64(F.col("text").cast("string")))
     fps = materialize(fingerprints(hashed, shingle, kept="_text_hash"))
     texts = materialize(fps.filter("doc_id IS NOT NULL").groupBy("doc_id", "_text_hash", "fp").agg(F.count("*").alias("rows")))
@@ -335,9 +345,10 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) ->
         .select("low.doc_id", "low._text_hash")
     )
     key = ["doc_id", "_text_hash"]
-    kept = hashed.join(texts.select(*key).join(first, key, "left_anti"), key, "left_anti").select(*docs.columns, "_text_hash")
-    again = materialize(texts.filter("rows > 1").select(*key).join(first, key, "left_semi"))
-    if again.isEmpty():  # no row to be thinned: no second pass over the rows
+    losing, _ = _keys(texts.select(*key).join(first, key, "left_anti"))
+    kept = hashed.join(losing, key, "left_anti").select(*docs.columns, "_text_hash")
+    again, n = _keys(texts.filter("rows > 1").select(*key).join(first, key, "left_semi"))
+    if not n:  # no row to be thinned: no second pass over the rows
         return kept.select(*docs.columns)
     row = F.struct(*docs.columns)  # the smallest by all columns, so that a retried task chooses the same
     once = kept.join(again, key, "left_semi").groupBy(*key).agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
