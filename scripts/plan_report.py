@@ -25,7 +25,7 @@ from verso.plans.catalog import QUERIES  # noqa: E402
 
 # Queries that fit a model, or write before they read: their plan is of the written table.
 SKIP = {"train_and_evaluate", "train_with_year", "model_round_trip", "score_batch", "score_json", "score_stream", "score_stream_split", "score_conversations",
-        "tune_classifier", "train_merged", "csv_round_trip", "csv_by_name"}
+        "tune_classifier", "train_merged", "csv_round_trip", "csv_by_name", "job_counts"}
 
 
 def scans(plan: str) -> list[str]:
