@@ -88,6 +88,16 @@ def test_corpus_job_reports_its_rows(spark):
     assert got["corpus.written"] == 9 == sum(r["songs"] for r in report.collect()) and got["corpus.without_year"] == 2
 
 
+def test_the_format_can_be_told(spark):
+    parquet, csv = scratch_path(spark, "looks-like") + "-csv", scratch_path(spark, "plain")
+    rows = some_songs(spark, 5).drop("doc_id")
+    rows.write.parquet(parquet)
+    write_songs_csv(rows, csv)
+    assert jobs.read_corpus(spark, parquet, fmt="parquet").count() == 9 == jobs.read_corpus(spark, csv, fmt="csv").count()
+    with pytest.raises(ValueError):
+        jobs.read_corpus(spark, csv, fmt="orc")
+
+
 def test_large_csv_files_are_refused(spark):
     path = scratch_path(spark, "large-csv")
     write_songs_csv(some_songs(spark).drop("doc_id").coalesce(1), path)

@@ -3,10 +3,11 @@
     python -m verso corpus (--documents D [--pages P] | --payloads P) --output OUT [--csv OUT_CSV]
                            [--per-artist N|all] [--target N|all] [--artists NAME ...]
     python -m verso train  --primary TABLE [--secondary TABLE] --models DIR [--text-only] [--hold-out]
+                           [--format csv|parquet]
     python -m verso score  --model DIR --input PARQUET --output DIR --keep COL ... [--stream]
 
-Tables are parquet folders; a path that ends in csv is read as CSV. The session
-comes from the environment (``spark-submit`` settings or
+Tables are parquet folders; a path that ends in csv is read as CSV, unless --format says
+which it is. The session comes from the environment (``spark-submit`` settings or
 ``SparkSession.builder.getOrCreate()`` defaults); nothing is hard-wired.
 """
 
@@ -41,6 +42,7 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("--primary", required=True)
     t.add_argument("--secondary")
     t.add_argument("--models", required=True)
+    t.add_argument("--format", choices=["csv", "parquet"], help="of the corpora; default: as their paths say")
     t.add_argument("--text-only", action="store_true", help="keep rows without a year")
     t.add_argument("--hold-out", action="store_true", help="measure the merged model by a second fit")
     s = sub.add_parser("score", help="score a parquet folder of texts")
@@ -72,7 +74,7 @@ def main(argv: list[str] | None = None) -> None:
             print(f"{row['artist_name']}\t{row['songs']}")
         print(json.dumps(counts.get()))
     elif args.command == "train":
-        out = jobs.train_job(spark, args.primary, args.models, args.secondary, with_year=not args.text_only, hold_out=args.hold_out)
+        out = jobs.train_job(spark, args.primary, args.models, args.secondary, with_year=not args.text_only, hold_out=args.hold_out, fmt=args.format)
         summary = {"initial_model": out.initial_model_path, "initial_metrics": out.initial_metrics.first().asDict(),
                    "merged_model": out.merged_model_path, "merged_cv_f1": out.merged_cv_f1, "rows": out.counts}
         if out.merged_metrics is not None:

@@ -43,10 +43,13 @@ def corpus_job(records: DataFrame, details: DataFrame | None, out_path: str, csv
     return corpus_report(corpus)
 
 
-def read_corpus(spark: SparkSession, path: str, counts: RowCounts | None = None, step: str = "file") -> DataFrame:
-    """A song table: a CSV file or folder if the path says so, else parquet. ``counts``
-    gets the records of a CSV and how many of them do not fit its header."""
-    if path.rstrip("/").lower().endswith((".csv", "-csv", "_csv")):
+def read_corpus(spark: SparkSession, path: str, counts: RowCounts | None = None, step: str = "file", fmt: str | None = None) -> DataFrame:
+    """A song table in ``fmt`` ("csv" or "parquet"; None: a CSV file or folder if the path
+    says so, else parquet). ``counts`` gets the records of a CSV and how many of them do
+    not fit its header."""
+    if fmt not in (None, "csv", "parquet"):
+        raise ValueError(f"unknown format {fmt!r}")
+    if fmt == "csv" or (fmt is None and path.rstrip("/").lower().endswith((".csv", "-csv", "_csv"))):
         return read_songs_csv(spark, path, counts=counts, step=step)
     return require_columns(spark.read.parquet(path), SONG_COLUMNS)
 
@@ -80,20 +83,22 @@ def train_job(
     spark: SparkSession, primary_path: str, model_dir: str, secondary_path: str | None = None,
     settings: ForestSettings = ForestSettings(), vocab_sizes=GRID_VOCAB_SIZES, num_trees=GRID_NUM_TREES,
     max_depths=GRID_MAX_DEPTHS, num_folds: int = 3, with_year: bool = True, hold_out: bool = False,
+    fmt: str | None = None,
 ) -> TrainOutcome:
     """The trainer's main flow on two corpora (parquet or CSV folders).
 
     ``with_year`` keeps the reference's five-column preparation (rows
     without a year are dropped); ``False`` trains on every text. The merged
-    model is fitted on all rows; ``hold_out`` measures it by a second fit.
+    model is fitted on all rows; ``hold_out`` measures it by a second fit. ``fmt``: the
+    corpora's format (``read_corpus``).
     """
     counts = RowCounts()
-    primary = with_row_id(read_corpus(spark, primary_path, counts, "primary_file"))
+    primary = with_row_id(read_corpus(spark, primary_path, counts, "primary_file", fmt))
     first = train_and_evaluate(primary, settings, with_year=with_year, counts=counts)
     initial_path = _published(spark, first.model, f"{model_dir.rstrip('/')}/initial_model")
     if secondary_path is None:
         return TrainOutcome(initial_path, first.metrics, None, None, [], counts.get())
-    secondary = with_row_id(read_corpus(spark, secondary_path, counts, "secondary_file"))
+    secondary = with_row_id(read_corpus(spark, secondary_path, counts, "secondary_file", fmt))
     merged = train_merged(
         primary, secondary, settings, with_year=with_year, hold_out=hold_out, counts=counts, vocab_sizes=vocab_sizes,
         num_trees=num_trees, max_depths=max_depths, num_folds=num_folds,
