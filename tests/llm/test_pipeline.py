@@ -8,7 +8,7 @@ import pytest
 import tiktoken
 
 import corpus_pipeline
-from tests.llm.test_pii_weak import brute_base
+from tests.llm.test_pii_weak import brute_base, brute_secrets
 from tests.llm.test_simhash_bk import brute_components, plain_simhash
 from tests.llm.test_string_tiling import brute_leaks
 from verso.llm import common, hd_langid
@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 
 def redacted(text):
     out, at = [], 0
-    for s in brute_base(text):
+    for s in sorted(brute_base(text) + brute_secrets(text), key=lambda s: int(s.split(":")[1])):
         k, a, b = s.split(":")
         if int(a) >= at:
             out += [text[at : int(a)], f"[{k.upper()}]"]

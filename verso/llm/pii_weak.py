@@ -2,24 +2,31 @@
 
 Base spans are the validated matches of four patterns (email, ip, card, phone); they
 always stay. Further candidates are matches that fail validation, looser written
-forms (``name (at) host``, ``555-123-4567``) and titled names. Four labelers vote on
-every span, for (1), against (-1) or not at all (0):
-
-* pattern: a validated base match, or a failed one;
-* gazetteer: known domains, calling codes, issuer digits, private networks, given names;
-* context: cue words shortly before the span;
-* edges: a span that goes on into another word or number.
+forms (``name (at) host``, ``10[.]1[.]2[.]3``, ``4111.1111.1111.1111``,
+``555-123-4567``), titled names, and secrets: unbroken runs of 16 or more letters,
+digits and ``+/_-`` that hold both a letter and a digit. Four labelers vote on every
+span, for (1), against (-1) or not at all (0):
+
+* pattern: a validated match or a key's known beginning; a failed match, or a word with
+  a short number;
+* gazetteer: known domains, calling codes, issuer digits, private networks, given names,
+  names of credentials and of digests just before a value;
+* context: cue words within ``NEAR`` characters on either side; for a secret, that it
+  is assigned or quoted, or part of a path;
+* edges: a span that stands alone, or goes on into another word or number.
 
 The votes of all spans are counted by kind and pattern of votes (at most kinds x 3^4
 rows go to the driver, whatever the input). Expectation-maximisation over those counts
-estimates each labeler's reliability and every pattern's probability. The same counts,
+estimates each labeler's reliability (one for all kinds), each kind's rate and every
+pattern's probability. The same counts,
 split by span features, train the final classifier (naive Bayes on the probabilities:
 length, digits, neighbours, cue, form, gazetteer). Candidates of probability ``threshold`` or more join
 the base spans; one that touches a base span is left out.
 
 Positions are code points. They come from the text between matches, so a text is cut
 once for each pattern that occurs in it. Patterns are written so that a run of
-characters is tried once.
+characters is tried once. Running sums are made in blocks of ``BLOCK`` matches, so a
+very long text takes work in proportion to its matches (times ``BLOCK``).
 
 Cases: null text is empty. Null ids and repeated rows keep their rows. Without any span
 the reliabilities stay at their priors. Other columns are ignored (``redact`` keeps
@@ -30,17 +37,19 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verso.llm.common import materialize
 
-KINDS = ["email", "ip", "card", "phone", "name"]
+KINDS = ["email", "ip", "card", "phone", "name", "secret"]
 BASE = KINDS[:4]
 THRESHOLD = 0.9
 ROUNDS = 50
-NEAR = 30  # characters before a span in which a cue counts
+NEAR = 30  # characters before and after a span in which a cue counts
+BLOCK = 64  # matches of one running sum
 
 # The contract's patterns. Lookbehinds and possessive quantifiers only spare attempts
 # that must fail: inside a run of local-part characters every start meets the same @
@@ -54,8 +63,11 @@ PATTERNS = {
 }
 LOOSE = {
     "email": rf"(?<![{_LOCAL}])[{_LOCAL}]++ ?[(\[]at[)\]] ?[A-Za-z0-9-]++(?: ?(?:\.|[(\[]dot[)\]]) ?[A-Za-z0-9-]++)++",
+    "ip": r"(?<![0-9.])[0-9]{1,3}+(?:(?:\[\.\]|\(\.\))[0-9]{1,3}+){3}(?![0-9])",
+    "card": r"(?<![0-9A-Za-z.])[0-9]{4}(?:[./_][0-9]{4}){3}(?![0-9])",
     "phone": r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "name": r"(?<!\p{L})(?:Mrs|Mr|Ms|Dr|Herr|Frau|Mme|Señora|Señor)\.? \p{Lu}\p{Ll}++(?: \p{Lu}\p{Ll}++)?+",
+    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{16,}+",
 }
 # A text without this holds no match: cheaper to look for than the pattern.
 NEEDS = {("email", True): ["@"], ("phone", True): ["+"], ("email", False): ["(at)", "[at]"]}
@@ -63,18 +75,37 @@ NEEDS = {("email", True): ["@"], ("phone", True): ["+"], ("email", False): ["(at
 # Gazetteers and cues.
 TOP_DOMAINS = "com org net edu gov info io de fr es uk eu example".split()
 CALLING_CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 52 54 55 56 57 61 62 63 64 65 66 81 82 84 86 90 91".split()
-GIVEN_NAMES = "James John Robert Michael Mary Patricia Anna Maria Hans Peter Klaus Julia Pierre Jean Marie Claire Juan Carlos Carmen Ana".split()
+GIVEN_NAMES = (
+    "Alice Amy Andrew Anthony Barbara Brian Charles Daniel David Donald Elizabeth Emily Emma George Helen James Jennifer John Joseph Karen Kevin Laura Linda Lisa "
+    "Margaret Mark Mary Matthew Michael Nancy Patricia Paul Richard Robert Sarah Susan Thomas William "
+    "Andreas Anna Birgit Christian Claudia Hans Heike Jürgen Julia Karl Katrin Klaus Monika Peter Sabine Stefan Ursula Wolfgang "
+    "André Camille Catherine Claire François Isabelle Jacques Jean Louis Marie Michel Nicolas Philippe Pierre Sophie "
+    "Alejandro Ana Antonio Carlos Carmen Elena Francisco Javier José Juan Lucía Luis Manuel María Maria Miguel Pablo Pedro"
+).split()
+CREDENTIALS = "token secret password passwd pwd passphrase api[_ -]?key access[_ -]?key private[_ -]?key secret[_ -]?key auth[_ -]?key bearer credential".split()
+DIGESTS = "sha sha-?1 sha-?256 md5 commit checksum hash digest etag revision uuid guid fingerprint".split()
+KEY_STARTS = "AKIA ghp_ gho_ ghs_ ghu_ glpat- sk- sk_live_ pk_live_ xoxb- xoxp- AIza".split()
 CUES = {
     "email": "mail contact contacto kontakt write courriel correo",
     "ip": "ip host server address adresse",
     "card": "card visa mastercard amex karte carte tarjeta credit",
     "phone": "phone tel call mobile fax telefon téléphone teléfono",
-    "name": "dear by from signed attn",
+    "name": "dear by from signed attn regards sincerely wrote writes said asked",
+    "secret": "login credentials confidential",
 }
-AGAINST = "isbn version order invoice page figure section doi"
+AGAINST = "isbn version order invoice page figure section doi part serial tracking"
 LABELERS = ["pattern", "gazetteer", "context", "edges"]
-# Priors: (vote for, no vote, vote against) of a true and of a false span.
-PRIOR_TRUE, PRIOR_FALSE, PRIOR_WEIGHT, PRIOR_RATE = (0.6, 0.35, 0.05), (0.05, 0.45, 0.5), 10.0, 0.5
+# Priors: (vote for, no vote, vote against) of a true and of a false span. To stand
+# alone says little, a failed validation much.
+PRIORS = {
+    "pattern": ((0.6, 0.38, 0.02), (0.05, 0.35, 0.6)),
+    "gazetteer": ((0.6, 0.35, 0.05), (0.15, 0.4, 0.45)),
+    "context": ((0.45, 0.5, 0.05), (0.05, 0.6, 0.35)),
+    "edges": ((0.9, 0.05, 0.05), (0.6, 0.15, 0.25)),
+}
+# A labeler has one reliability for all kinds: of a kind whose spans only one labeler
+# tells apart, EM by itself would take all for one class.
+PRIOR_WEIGHT, PRIOR_RATE = 10.0, 0.5
 
 
 # --- spans ----------------------------------------------------------------------
@@ -86,7 +117,7 @@ def _valid(kind: str, said: Column) -> Column:
     digits = F.regexp_replace(said, "[^0-9]", "")
     if kind == "ip":
         part = lambda p: F.regexp_replace(p, "^0+", "")
-        return F.forall(F.split(said, r"\."), lambda p: (F.length(part(p)) < 3) | ((F.length(part(p)) == 3) & (part(p) <= "255")))
+        return F.forall(F.split(said, r"[\[(]?\.[\])]?"), lambda p: (F.length(part(p)) < 3) | ((F.length(part(p)) == 3) & (part(p) <= "255")))
     if kind == "card":
         figures = F.filter(F.split(F.reverse(digits), ""), lambda c: c != "")
         twice = lambda c, i: c.cast("int") * (1 + i % 2)
@@ -97,24 +128,43 @@ def _valid(kind: str, said: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is made once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _sums(values: Column) -> Column:
+    """Inclusive running sums of an array of integers; quadratic in its length."""
+    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
+    return F.aggregate(values, start, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"] + x)).alias("out")), lambda acc: acc["out"])
+
+
+def _running(values: Column) -> Column:
+    """Inclusive running sums of a non-empty array, block by block."""
+
+    def joined(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + x))
+        before = _let(totals, lambda t: F.zip_with(_sums(t), t, lambda upto, own: upto - own))
+        return F.flatten(F.zip_with(F.transform(blocks, _sums), before, lambda block, at: F.transform(block, lambda x: x + at)))
+
+    cut = lambda v: F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int")), lambda b: F.slice(v, b * BLOCK + 1, F.lit(BLOCK)))
+    return _let(values, lambda v: _let(cut(v), joined))
+
+
 def _matches(text: str, kind: str, base: bool) -> Column:
     """All matches of one pattern with their positions and neighbourhood."""
     pattern = (PATTERNS if base else LOOSE)[kind]
     pieces, said = F.split(F.col(text), pattern, -1), F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
     rows = F.arrays_zip(said.alias("said"), pieces.alias("gap"), F.slice(pieces, F.lit(2), F.size(pieces)).alias("after"))
     rows = F.filter(rows, lambda r: r["said"].isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.expr(_EMPTY).alias("out"))
-
-    def add(acc: Column, r: Column) -> Column:
-        begin = acc["at"] + F.char_length(r["gap"])
-        end = begin + F.char_length(r["said"])
-        span = F.struct(
-            begin.alias("start"), end.alias("stop"), F.lit(kind).alias("kind"), F.lit(base).alias("base"), _valid(kind, r["said"]).alias("ok"),
-            r["said"].alias("said"), F.right(r["gap"], F.lit(NEAR)).alias("left"), F.left(r["after"], F.lit(1)).alias("right"),
+
+    def span(r: Column, stop: Column) -> Column:
+        return F.struct(
+            (stop - F.char_length(r["said"])).alias("start"), stop.alias("stop"), F.lit(kind).alias("kind"), F.lit(base).alias("base"),
+            _valid(kind, r["said"]).alias("ok"), r["said"].alias("said"), F.right(r["gap"], F.lit(NEAR)).alias("left"), F.left(r["after"], F.lit(NEAR)).alias("right"),
         )
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    found = F.aggregate(rows, start, add, lambda acc: acc["out"])
+    found = _let(rows, lambda found: F.zip_with(found, _running(F.transform(found, lambda r: F.char_length(r["gap"]) + F.char_length(r["said"]))), span))
     there = F.col(text).rlike(pattern)
     if needs := NEEDS.get((kind, base)):
         seen = F.contains(F.col(text), F.lit(needs[0]))
@@ -134,7 +184,7 @@ def candidates(docs: DataFrame, rows: bool = False) -> DataFrame:
     for k in LOOSE:
         texts = texts.withColumn(f"_loose_{k}", _matches("_text", k, False))
     strict = F.concat(*(f"_{k}" for k in BASE))
-    texts = texts.withColumn("base", F.array_sort(F.filter(strict, lambda s: s["ok"]), _in_order))
+    texts = texts.withColumn("base", _in_order(F.filter(strict, lambda s: s["ok"])))
     more = F.concat(F.filter(strict, lambda s: ~s["ok"]), *(f"_loose_{k}" for k in LOOSE))
     free = lambda s: ~F.exists("base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
     return texts.withColumn("more", F.filter(more, free)).select("doc_id", *["_row"][: len(keep)], "base", "more")
@@ -144,10 +194,10 @@ def _place(kind: Column) -> Column:
     return F.array_position(F.array(*map(F.lit, KINDS)), kind)
 
 
-def _in_order(a: Column, b: Column) -> Column:
-    """By start, then kind as listed, then end."""
-    less = lambda x, y: F.when(x < y, -1).when(x > y, 1)
-    return F.coalesce(less(a["start"], b["start"]), less(_place(a["kind"]), _place(b["kind"])), less(a["stop"], b["stop"]), F.lit(0))
+def _in_order(items: Column, span: Callable[[Column], Column] = lambda x: x) -> Column:
+    """Sorted by start, then kind as listed, then end of each one's span."""
+    keyed = F.transform(items, lambda x: F.struct(span(x)["start"].alias("start"), _place(span(x)["kind"]).alias("place"), span(x)["stop"].alias("stop"), x.alias("x")))
+    return F.transform(F.sort_array(keyed), lambda k: k["x"])
 
 
 # --- labelers and features --------------------------------------------------------
@@ -157,27 +207,40 @@ def _any(words: str) -> str:
     return r"(?i)(?<!\p{L})(?:" + "|".join(words.split()) + r")(?!\p{L})"
 
 
+def _among(words: list[str]) -> str:
+    return "(?:" + "|".join(words) + ")"
+
+
+_SIGN = r"[\"']?\s{0,3}(?:[=:]|=>|is)?\s{0,3}[\"']?$"  # between a name and its value
+
+
 def _cue(s: Column) -> Column:
     out = F.lit(0)
     for k, words in CUES.items():
-        out = F.when((s["kind"] == k) & s["left"].rlike(_any(words)), 1).otherwise(out)
-    return F.when(s["left"].rlike(_any(AGAINST)), -1).otherwise(out)
+        said = s["left"].rlike(_any(words)) | s["right"].rlike(_any(words))
+        if k == "secret":
+            said = said | s["left"].rlike(r"[=:]\s{0,3}[\"']?$") | (s["left"].rlike(r"[\"']$") & s["right"].rlike(r"^[\"']"))
+        out = F.when((s["kind"] == k) & said, 1).otherwise(out)
+    path = (s["kind"] == "secret") & s["left"].rlike(r"[./#@\\]$")
+    return F.when(path | s["left"].rlike(_any(AGAINST)), -1).otherwise(out)
 
 
 def votes(s: Column) -> list[Column]:
     """The four labelers' votes on a span."""
     said, kind, digits = s["said"], s["kind"], F.regexp_replace(s["said"], "[^0-9]", "")
-    pattern = F.when(~s["ok"], -1).when(s["base"], 1).otherwise(0)
-    among = lambda words: "(?:" + "|".join(words) + ")"
+    shape = F.when(said.rlike(f"^{_among(KEY_STARTS)}"), 1).when(said.rlike(r"^[A-Za-z_/+-]+[0-9]{1,4}$") | said.rlike(r"^[0-9]{1,4}[A-Za-z_/+-]+$"), -1).otherwise(0)
+    pattern = F.when(~s["ok"], -1).when(s["base"] | kind.isin("ip", "card"), 1).when(kind == "secret", shape).otherwise(0)
     gazetteer = (
-        F.when(kind == "email", F.when(said.rlike(rf"(?i)[.)\] ]{among(TOP_DOMAINS)}$"), 1).otherwise(0))
-        .when(kind == "phone", F.when(said.rlike(rf"^\+{among(CALLING_CODES)}"), 1).when(digits.rlike("^[01]"), -1).otherwise(0))
+        F.when(kind == "email", F.when(said.rlike(rf"(?i)[.)\] ]{_among(TOP_DOMAINS)}$"), 1).otherwise(0))
+        .when(kind == "phone", F.when(said.rlike(rf"^\+{_among(CALLING_CODES)}"), 1).when(digits.rlike("^[01]"), -1).otherwise(0))
         .when(kind == "card", F.when(digits.rlike("^(?:4|5[1-5]|2[2-7]|3[47]|6)"), 1).otherwise(-1))
-        .when(kind == "ip", F.when(said.rlike(r"^0*(?:0|127|255)\."), -1).otherwise(1))
-        .otherwise(F.when(said.rlike(among(GIVEN_NAMES)), 1).otherwise(0))
+        .when(kind == "ip", F.when(said.rlike(r"^0*(?:0|127|255)[\[(.]"), -1).otherwise(1))
+        .when(kind == "secret", F.when(s["left"].rlike(rf"(?i){_among(CREDENTIALS)}s?{_SIGN}"), 1).when(s["left"].rlike(rf"(?i)(?<!\p{{L}}){_among(DIGESTS)}{_SIGN}"), -1).otherwise(0))
+        .otherwise(F.when(said.rlike(rf" {_among(GIVEN_NAMES)}(?!\p{{L}})"), 1).otherwise(0))
     )
     joined = r"[\p{L}\p{N}_]"
-    edges = F.when(F.right(s["left"], F.lit(1)).rlike(joined) | s["right"].rlike(joined), -1).otherwise(0)
+    before, after = F.right(s["left"], F.lit(1)), F.left(s["right"], F.lit(1))
+    edges = F.when(before.rlike(joined) | after.rlike(joined), -1).otherwise(1)
     return [pattern, gazetteer, _cue(s), edges]
 
 
@@ -187,22 +250,19 @@ def features(s: Column) -> list[Column]:
     n, digits = F.char_length(s["said"]), F.char_length(F.regexp_replace(s["said"], "[^0-9]", ""))
     values = {
         "length": F.least(F.floor(F.log2(n.cast("double"))), F.lit(7)), "digits": F.floor(4 * digits / n),
-        "left": side(F.right(s["left"], F.lit(1))), "right": side(s["right"]), "cue": _cue(s),
+        "left": side(F.right(s["left"], F.lit(1))), "right": side(F.left(s["right"], F.lit(1))), "cue": _cue(s),
         "form": F.when(~s["ok"], "failed").when(s["base"], "base").otherwise("loose"), "known": votes(s)[1],
     }
     return [F.concat(s["kind"], F.lit(f":{name}="), v.cast("string")) for name, v in values.items()]
 
 
 class Weights:
-    """What EM and the classifier learned: reliability of each labeler for each kind,
-    and the log odds of a kind and of its features."""
+    """What EM and the classifier learned: rate of each kind, reliability of each
+    labeler (one for all kinds), and the log odds of a kind and of its features."""
 
     def __init__(self, counts: dict[tuple[str, tuple[int, ...]], int], seen: dict[tuple[str, tuple[int, ...]], dict[str, int]]):
         self.rate, self.reliability, self.odds = {}, {}, {}
-        posterior: dict[tuple[str, tuple[int, ...]], float] = {}
-        for kind in KINDS:
-            own = {v: n for (k, v), n in counts.items() if k == kind}
-            posterior |= {(kind, v): p for v, p in self._em(kind, own).items()}
+        posterior = self._em(counts)
         good, bad = defaultdict(float), defaultdict(float)
         for key, by_feature in seen.items():
             for name, n in by_feature.items():
@@ -216,23 +276,24 @@ class Weights:
             self.odds[name] = math.log((good[name] + 1) / (a + 2)) - math.log((bad[name] + 1) / (b + 2))
         self.posterior = posterior
 
-    def _em(self, kind: str, own: dict[tuple[int, ...], int]) -> dict[tuple[int, ...], float]:
+    def _em(self, counts: dict[tuple[str, tuple[int, ...]], int]) -> dict[tuple[str, tuple[int, ...]], float]:
         index = {1: 0, 0: 1, -1: 2}
-        true, false, rate = [list(PRIOR_TRUE) for _ in LABELERS], [list(PRIOR_FALSE) for _ in LABELERS], PRIOR_RATE
-        p: dict[tuple[int, ...], float] = {}
+        true, false = [list(PRIORS[x][0]) for x in LABELERS], [list(PRIORS[x][1]) for x in LABELERS]
+        rate, p = dict.fromkeys(KINDS, PRIOR_RATE), dict.fromkeys(counts, PRIOR_RATE)
         for _ in range(ROUNDS):
-            for v in own:
-                a = math.log(rate) + sum(math.log(true[i][index[x]]) for i, x in enumerate(v))
-                b = math.log(1 - rate) + sum(math.log(false[i][index[x]]) for i, x in enumerate(v))
-                p[v] = 1 / (1 + math.exp(min(500.0, max(-500.0, b - a))))
-            all_, yes = sum(own.values()), sum(n * p[v] for v, n in own.items())
-            rate = min(1 - 1e-6, max(1e-6, (yes + PRIOR_WEIGHT * PRIOR_RATE) / (all_ + PRIOR_WEIGHT)))
-            for i in range(len(LABELERS)):
-                for prior, table, mass, share in ((PRIOR_TRUE, true, yes, p.get), (PRIOR_FALSE, false, all_ - yes, lambda v: 1 - p[v])):
-                    for j in range(3):
-                        got = sum(n * share(v) for v, n in own.items() if index[v[i]] == j)
-                        table[i][j] = (got + PRIOR_WEIGHT * prior[j]) / (mass + PRIOR_WEIGHT)
-        self.rate[kind], self.reliability[kind] = rate, {name: (true[i], false[i]) for i, name in enumerate(LABELERS)}
+            for kind, v in counts:
+                a = math.log(rate[kind]) + sum(math.log(true[i][index[x]]) for i, x in enumerate(v))
+                b = math.log(1 - rate[kind]) + sum(math.log(false[i][index[x]]) for i, x in enumerate(v))
+                p[kind, v] = 1 / (1 + math.exp(min(500.0, max(-500.0, b - a))))
+            for kind in KINDS:
+                own = {key: n for key, n in counts.items() if key[0] == kind}
+                yes = sum(n * p[key] for key, n in own.items())
+                rate[kind] = min(1 - 1e-6, max(1e-6, (yes + PRIOR_WEIGHT * PRIOR_RATE) / (sum(own.values()) + PRIOR_WEIGHT)))
+            for i, labeler in enumerate(LABELERS):
+                for table, prior, share in ((true, PRIORS[labeler][0], p.get), (false, PRIORS[labeler][1], lambda key: 1 - p[key])):
+                    got = [sum(n * share(key) for key, n in counts.items() if index[key[1][i]] == j) for j in range(3)]
+                    table[i] = [(got[j] + PRIOR_WEIGHT * prior[j]) / (sum(got) + PRIOR_WEIGHT) for j in range(3)]
+        self.rate, self.reliability = rate, {kind: {name: (true[i], false[i]) for i, name in enumerate(LABELERS)} for kind in KINDS}
         return p
 
     def probability(self, s: Column) -> Column:
@@ -250,7 +311,7 @@ def learn(found: DataFrame) -> Weights:
     spans = found.select(F.explode(F.concat("base", "more")).alias("s"))
     rows = spans.select(F.col("s.kind").alias("kind"), F.array(*votes(F.col("s"))).alias("votes"), F.explode(F.array(F.lit("all"), *features(F.col("s")))).alias("feature"))
     counts, seen = {}, defaultdict(dict)
-    for r in rows.groupBy("kind", "votes", "feature").count().collect():
+    for r in sorted(rows.groupBy("kind", "votes", "feature").count().collect()):  # sums in one order
         key = (r.kind, tuple(r.votes))
         if r.feature == "all":
             counts[key] = r["count"]
@@ -263,22 +324,36 @@ def learn(found: DataFrame) -> Weights:
 
 
 def accepted(found: DataFrame, weights: Weights, threshold: float = THRESHOLD) -> DataFrame:
-    """Adds ``spans``: base spans and accepted candidates in order."""
-    more = F.filter("more", lambda s: weights.probability(s) >= threshold)
-    return found.withColumn("spans", F.array_sort(F.concat("base", more), _in_order))
+    """Adds ``weighed``, the candidates as (s, p) with their probability, and ``spans``:
+    base spans and accepted candidates in order."""
+    found = found.withColumn("weighed", F.transform("more", lambda s: F.struct(s.alias("s"), weights.probability(s).alias("p"))))
+    more = F.transform(F.filter("weighed", lambda x: x["p"] >= threshold), lambda x: x["s"])
+    return found.withColumn("spans", _in_order(F.concat("base", more)))
 
 
 def _written(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
+def _listed(weighed: Column) -> Column:
+    ordered = _in_order(weighed, lambda x: x["s"])
+    said = lambda x: F.concat_ws(":", x["s"]["kind"], x["s"]["start"].cast("string"), x["s"]["stop"].cast("string"), F.format_number(x["p"], 3))
+    return F.array_join(F.transform(ordered, said), ",")
+
+
 def find(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: numbers of base spans, digest of the base spans, and all
-    spans as kind:start:end."""
+    spans as kind:start:end; then how many candidates joined them, and the ``added`` and
+    ``refused`` ones as kind:start:end:probability."""
     found = materialize(candidates(docs))  # spans only, no text
-    out = accepted(found, learn(found), threshold)
+    weights = learn(found)
+    out = accepted(found, weights, threshold)
     number = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
-    return out.select("doc_id", *(number(k) for k in BASE), F.sha2(_written("base"), 256).alias("base_sha256"), _written("spans").alias("spans"))
+    yes, no = F.filter("weighed", lambda x: x["p"] >= threshold), F.filter("weighed", lambda x: x["p"] < threshold)
+    return out.select(
+        "doc_id", *(number(k) for k in BASE), F.sha2(_written("base"), 256).alias("base_sha256"), _written("spans").alias("spans"),
+        F.size(yes).cast("long").alias("n_added"), _listed(yes).alias("added"), _listed(no).alias("refused"),
+    )
 
 
 def redact(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
