@@ -117,7 +117,7 @@ def labelled(rnd, i):
 
 
 def test_added_spans_are_right_on_held_out_texts(spark):
-    rnd = random.Random(29)  # not the seed on which the form of EM was chosen
+    rnd = random.Random(101)  # not one of the seeds on which the form of EM was chosen
     made = [labelled(rnd, i) for i in range(1200)]
     frame = lambda rows: spark.createDataFrame([(i, t) for i, (t, _) in rows], "doc_id long, text string")
     weights = P.learn(P.candidates(frame(list(enumerate(made))[:600])))  # no labels

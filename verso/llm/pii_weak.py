@@ -104,8 +104,9 @@ PRIORS = {
     "edges": ((0.9, 0.05, 0.05), (0.6, 0.15, 0.25)),
 }
 # A labeler has one reliability for all kinds: of a kind whose spans only one labeler
-# tells apart, EM by itself would take all for one class.
-PRIOR_WEIGHT, PRIOR_RATE = 10.0, 0.5
+# tells apart, EM by itself would take all for one class. Priors weigh as much as
+# ``PRIOR_WEIGHT`` spans and ``PRIOR_SHARE`` of all.
+PRIOR_WEIGHT, PRIOR_SHARE, PRIOR_RATE = 10.0, 0.2, 0.5
 
 
 # --- spans ----------------------------------------------------------------------
@@ -280,6 +281,7 @@ class Weights:
         index = {1: 0, 0: 1, -1: 2}
         true, false = [list(PRIORS[x][0]) for x in LABELERS], [list(PRIORS[x][1]) for x in LABELERS]
         rate, p = dict.fromkeys(KINDS, PRIOR_RATE), dict.fromkeys(counts, PRIOR_RATE)
+        weight = PRIOR_WEIGHT + PRIOR_SHARE * sum(counts.values())
         for _ in range(ROUNDS):
             for kind, v in counts:
                 a = math.log(rate[kind]) + sum(math.log(true[i][index[x]]) for i, x in enumerate(v))
@@ -292,7 +294,7 @@ class Weights:
             for i, labeler in enumerate(LABELERS):
                 for table, prior, share in ((true, PRIORS[labeler][0], p.get), (false, PRIORS[labeler][1], lambda key: 1 - p[key])):
                     got = [sum(n * share(key) for key, n in counts.items() if index[key[1][i]] == j) for j in range(3)]
-                    table[i] = [(got[j] + PRIOR_WEIGHT * prior[j]) / (sum(got) + PRIOR_WEIGHT) for j in range(3)]
+                    table[i] = [(got[j] + weight * prior[j]) / (sum(got) + weight) for j in range(3)]
         self.rate, self.reliability = rate, {kind: {name: (true[i], false[i]) for i, name in enumerate(LABELERS)} for kind in KINDS}
         return p
 
