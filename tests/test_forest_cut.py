@@ -1,0 +1,101 @@
+"""A forest cut at a depth is the forest of a fit with this depth; the grid uses it."""
+
+import pytest
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from verso.operators import model as M
+from verso.operators.forest import cut_forest, one_group_levels
+from verso.operators.model import ForestSettings, fit_classifier, grid_points, make_stages, small_settings, tune
+from verso.operators.prepare import prepare_text_rows
+from verso.sources.tables import songs
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    return prepare_text_rows(songs(spark, SF_SMALL), keep=("doc_id",)).cache()
+
+
+def nodes(forest, tmp_path, name):
+    """Every node of the saved forest: ids, predictions, class counts, splits."""
+    forest.write().save(f"{tmp_path}/{name}")
+    at = SparkSession.active().read.parquet(f"{tmp_path}/{name}/data").orderBy("treeID", "nodeData.id")
+    return [r.asDict(recursive=True) for r in at.collect()]
+
+
+def test_a_cut_forest_is_the_forest_of_a_shallow_fit(spark, rows, tmp_path):
+    s = small_settings(num_trees=12, min_df=2.0)
+    deep = fit_classifier(rows, M.replace(s, max_depth=8)).stages[-1]
+    for depth in (0, 1, 3, 5):
+        own = fit_classifier(rows, M.replace(s, max_depth=depth)).stages[-1]
+        cut = cut_forest(deep, depth)
+        assert nodes(cut, tmp_path, f"cut{depth}") == nodes(own, tmp_path, f"own{depth}")
+        assert cut.getMaxDepth() == depth and cut.getNumTrees == 12 and max(t.depth for t in cut.trees) <= depth
+    assert max(t.depth for t in deep.trees) > 5
+
+
+def test_a_cut_forest_scores_like_a_shallow_fit(spark, rows):
+    s = small_settings(num_trees=6, min_df=2.0, subsampling_rate=0.7)
+    deep, own = (fit_classifier(rows, M.replace(s, max_depth=d)) for d in (7, 2))
+    deep.stages[-1] = cut_forest(deep.stages[-1], 2)
+    a, b = (m.transform(rows).select("doc_id", F.col("probability").cast("string"), "prediction") for m in (deep, own))
+    assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_levels_that_are_one_group():
+    assert one_group_levels(100, 10_001, 7, 32, 1024) == 6  # the grid: 5 levels are needed
+    node = 100 * 32 * 5 * 8
+    for levels in (1, 2, 5):
+        nodes_mb = node * 10 * 2 ** (levels - 1) / 2**20
+        assert one_group_levels(10, 10_000, 4, 32, int(nodes_mb) + 1) == levels
+    assert one_group_levels(100, 10_000, 500, 32, 16) == 0
+    assert one_group_levels(1, 10_000, 4, 32, 64) == one_group_levels(100, 10_000, 4, 32, 64)  # one tree: all features
+
+
+def test_grid_points_that_share_a_fit():
+    st, grid = make_stages(ForestSettings()), grid_points()
+    fits = M.fits_of_grid(grid, st, 4)
+    assert sorted(i for f in fits for i in f) == list(range(len(grid))) and len(fits) == 4
+    for f in fits:
+        assert len({(grid[i].vocab_size, grid[i].num_trees) for i in f}) == 1 and [grid[i].max_depth for i in f] == [10, 5]
+    # histograms of a level above the memory for a group: a fit for each point
+    assert sorted(M.fits_of_grid(grid, st, 5000)) == [[i] for i in range(len(grid))]
+    twice = grid + grid[:1]
+    assert sorted(i for f in M.fits_of_grid(twice, st, 4) for i in f) == list(range(9))
+    assert sorted(i for f in M.fits_of_grid(twice, st, 5000) for i in f) == list(range(9))
+
+
+def test_a_grid_over_depths_fits_once_and_gives_the_same(spark, rows, monkeypatch):
+    s, fitted, real = small_settings(min_df=2.0), [], RandomForestClassifier._fit
+
+    def spy(self, data):
+        fitted.append((self.getNumTrees(), self.getMaxDepth()))
+        return real(self, data)
+
+    monkeypatch.setattr(RandomForestClassifier, "_fit", spy)
+    grid = dict(vocab_sizes=[200], num_trees=[3, 5], max_depths=[2, 4, 6], num_folds=2, parallelism=2)
+    shared = tune(rows, s, **grid)
+    assert sorted(fitted[:-1]) == [(3, 6)] * 2 + [(5, 6)] * 2
+    fitted.clear()
+    monkeypatch.setattr(M, "one_group_levels", lambda *args: 0)
+    alone = tune(rows, s, **grid)
+    assert len(fitted) == 13 and shared.cv_f1 == alone.cv_f1 and len(set(alone.cv_f1)) > 2
+    assert shared.model.stages[-1].toDebugString.split("\n")[1:] == alone.model.stages[-1].toDebugString.split("\n")[1:]
+
+
+def test_a_failed_fit_or_score_is_raised(spark, rows, monkeypatch):
+    def broken(*args):
+        raise ValueError("no cut")
+
+    monkeypatch.setattr(M, "cut_forest", broken)
+    with pytest.raises(ValueError, match="no cut"):
+        tune(rows, small_settings(min_df=2.0), vocab_sizes=[200], num_trees=[3], max_depths=[1, 2], num_folds=2)
+
+
+def test_fits_side_by_side_keep_their_binned_rows_in_memory():
+    # 3 executors of 4 cores; training rows of a fold in train_merged on 0.1 GB, tune_classifier on 1 GB
+    assert [M.fits_in_memory(p, rows, 10_000, 12) for p, rows in ((6, 51_354), (2, 273_000), (8, 1000), (0, 1000), (3, 0))] == [4, 1, 8, 1, 3]
+    for rows in (20_000, 51_354, 100_000):
+        assert M.fits_in_memory(8, rows, 10_000, 12) * rows * 40_000 <= M.BINNED_MB_PER_CORE * 1e6 * 12
