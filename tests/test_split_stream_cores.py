@@ -1,0 +1,29 @@
+"""A micro-batch of few files is scored by all cores, with the same rows."""
+
+from conftest import SF_SMALL
+from verso.operators.model import fit_classifier, small_settings
+from verso.operators.score import score
+from verso.session import scratch_path
+from verso.sources.tables import songs
+from verso.streaming import split_stream as S
+from verso.streaming.score_stream import run_score_stream
+
+
+def test_a_micro_batch_of_one_file_is_scored_by_all_cores(spark):
+    docs = songs(spark, SF_SMALL).select("doc_id", "lyrics", "genre")
+    model = fit_classifier(docs.where("genre is not null"), small_settings(vocab_size=60, num_trees=3, max_depth=3, min_df=2.0))
+    landing, sink = scratch_path(spark, "one-file"), scratch_path(spark, "split")
+    docs.select("doc_id", "lyrics").repartition(2).write.parquet(landing)
+    schema, cores = spark.read.parquet(landing).schema, spark.sparkContext.defaultParallelism
+    S.start_split_stream(spark, model, landing, schema, sink, scratch_path(spark, "ckpt"), max_files_per_trigger=1).awaitTermination()
+    done = S.done_batches(spark, sink)
+    assert dict(done.dtypes) == dict.fromkeys(("batch", "accepted", "rejected"), "bigint") and done.count() == 2
+    for batch in (0, 1):
+        files = spark.read.parquet(f"{sink}/accepted/batch={batch}").inputFiles()
+        assert len(files) == cores > 1
+    want = sorted(r["doc_id"] for r in score(model, docs).where("error is null").collect())
+    got = S.read_split(spark, sink, S.ACCEPTED, "doc_id long, predicted_label string")
+    assert sorted(r["doc_id"] for r in got.collect()) == want
+    # a batch of many files has a task for each as it is
+    out = run_score_stream(spark, model, landing, schema, max_files_per_trigger=cores)
+    assert len(spark.read.parquet(out).inputFiles()) <= 2
